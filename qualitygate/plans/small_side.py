@@ -1,0 +1,25 @@
+"""Broadcasting behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from qualitygate.plans.scratch import pin
+
+BROADCAST_ROWS = 100_000
+
+
+def fits(pinned: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether an already written table has at most ``max_rows`` rows."""
+    return pinned.limit(max_rows + 1).count() <= max_rows
+
+
+def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """The written form of ``df``, marked for broadcast only if it was counted to be small.
+
+    Meant for narrow tables of one row per version or per range bucket. A larger one joins
+    by shuffle, where adaptive execution splits skewed partitions.
+    """
+    written = pin(df)
+    return F.broadcast(written) if fits(written, max_rows) else written
