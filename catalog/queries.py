@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import qualitygate as qg
 from catalog import tables as t
-from qualitygate.functions import answer_problem, answer_unit, quality_band
+from qualitygate.functions import answer_problem, answer_unit, item_of, quality_band
 from qualitygate.plans import new_folder, pin
 from qualitygate.sources import read_csv, read_json, write_csv, write_json
 from qualitygate.spec import MANIFEST, NOUL, SCORE, Options, Question
@@ -237,7 +237,7 @@ FROM docs_scored"""
 )
 def answer_units(spark, folder):
     answered = t.documents_evaluator().answers(t.documents(spark, folder), t.DOCUMENTS)
-    units = [F.round(answer_unit(F.col("answers").getItem(q.key)), 9).alias(q.key) for q in t.DOCUMENTS.questions]
+    units = [F.round(answer_unit(item_of(q.key)), 9).alias(q.key) for q in t.DOCUMENTS.questions]
     return answered.select("row_id", *units)
 
 
@@ -276,7 +276,7 @@ SELECT row_id, CASE WHEN value / 100.0 > 1.0 THEN 'value_high: noul' END AS prob
 def answer_validation(spark, folder):
     bare = qg.ExpressionEvaluator({"value_high": F.col("value") / 100.0})
     answered = bare.answers(t.events(spark, folder), t.EVENTS)
-    complaint = answer_problem(F.col("answers").getItem("value_high"))
+    complaint = answer_problem(item_of("value_high"))
     named = F.concat(F.lit("value_high: "), F.substring_index(complaint, " ", 1))
     return answered.select("row_id", named.alias("problem"))
 

@@ -1,13 +1,13 @@
-"""Column builders. Each takes Columns and returns a Column; none touches a DataFrame."""
+"""Expression builders. None touches a DataFrame."""
 
 from qualitygate.functions.answers import (
-    answer,
     answer_map,
     answer_problem,
     answer_text,
     answer_unit,
-    answers_from_raw,
+    answers_problem,
     in_unit_interval,
+    item_of,
     quality_band,
     row_quality,
     token_cost,
@@ -16,18 +16,18 @@ from qualitygate.functions.predicates import check_status, is_blank, is_not_allo
 from qualitygate.functions.text import fixed
 
 __all__ = [
-    "answer",
     "answer_map",
     "answer_problem",
     "answer_text",
     "answer_unit",
-    "answers_from_raw",
+    "answers_problem",
     "check_status",
     "fixed",
     "in_unit_interval",
     "is_blank",
     "is_not_allowed",
     "is_older_than",
+    "item_of",
     "quality_band",
     "row_quality",
     "sample_hash",

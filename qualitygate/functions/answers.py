@@ -1,4 +1,7 @@
-"""Typed answers as Columns: building, validating, normalising and combining them."""
+"""Typed answers: building, validating, normalising and combining them.
+
+``item`` is SQL text that yields one answer, for instance ``item_of("category_correct")``.
+"""
 
 from __future__ import annotations
 
@@ -7,42 +10,41 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from qualitygate.functions.text import fixed
-from qualitygate.spec import ANSWER, CHOICE, DEFAULT_RUBRIC, NOUL, SCORE, Question
-
+from qualitygate.functions.text import sql_double, sql_name, sql_string
+from qualitygate.spec import CHOICE, DEFAULT_RUBRIC, NOUL, SCORE, Question
 
-def answer(question: Question, value: Column, confidence: Column | None = None) -> Column:
-    """An ANSWER struct. ``value`` fills the field that belongs to the question's type."""
-    def own(kind: str, sql_type: str) -> Column:
-        return (value if question.type == kind else F.lit(None)).cast(sql_type).alias(kind)
+SQL_TYPES = {NOUL: "double", CHOICE: "string", SCORE: "double"}
 
-    sure = F.lit(1.0) if confidence is None else F.coalesce(confidence.cast("double"), F.lit(1.0))
-    return F.struct(
-        F.lit(question.key).alias("key"),
-        F.lit(question.type).alias("type"),
-        own(NOUL, "double"),
-        own(CHOICE, "string"),
-        own(SCORE, "double"),
-        sure.alias("confidence"),
-    ).cast(ANSWER)
 
+def item_of(key: str, answers: str = "answers") -> str:
+    return f"{sql_name(answers)}[{sql_string(key)}]"
 
-def answer_map(answers: Mapping[str, Column]) -> Column:
-    pairs = [part for key, value in answers.items() for part in (F.lit(key), value)]
-    return F.create_map(*pairs)
 
+def answer_map(
+    questions: Sequence[Question], values: Mapping[str, str], confidence: Mapping[str, str], first_level: int = 1
+) -> Column:
+    """The map of question key to answer.
 
-def answers_from_raw(questions: Sequence[Question], value_of, confidence_of) -> Column:
-    """Map raw typed responses to answers.
-
-    A raw score is a 0-based place on the rubric; answers count levels from 1.
-    A missing confidence becomes 1.
+    ``values`` and ``confidence`` name the columns that hold them. ``first_level`` says from where
+    scores count; answers count levels from 1. A missing confidence is 1.
     """
-    def shifted(question: Question) -> Column:
-        value = value_of(question)
-        return value + F.lit(1.0) if question.type == SCORE else value
-
-    return answer_map({q.key: answer(q, shifted(q), confidence_of(q)) for q in questions})
+    entries = []
+    for q in questions:
+        if q.key not in values:
+            continue
+        value = f"cast({sql_name(values[q.key])} as {SQL_TYPES[q.type]})"
+        if q.type == SCORE and first_level != 1:
+            value = f"({value} + {sql_double(1 - first_level)})"
+        fields = {kind: value if kind == q.type else f"cast(null as {t})" for kind, t in SQL_TYPES.items()}
+        sure = "1.0D"
+        if q.key in confidence:
+            sure = f"coalesce(cast({sql_name(confidence[q.key])} as double), 1.0D)"
+        typed = ", ".join(f"{sql_string(kind)}, {text}" for kind, text in fields.items())
+        key = sql_string(q.key)
+        entries.append(
+            f"{key}, named_struct('key', {key}, 'type', {sql_string(q.type)}, {typed}, 'confidence', {sure})"
+        )
+    return F.expr(f"map({', '.join(entries)})")
 
 
 def in_unit_interval(value: Column) -> Column:
@@ -50,47 +52,59 @@ def in_unit_interval(value: Column) -> Column:
     return value.isNull() | value.between(0.0, 1.0)
 
 
-def answer_problem(item: Column) -> Column:
+def _problem_sql(item: str) -> str:
+    def complaint(name: str) -> str:
+        value = f"{item}.{name}"
+        return (
+            f"CASE WHEN {value} IS NOT NULL AND NOT ({value} BETWEEN 0.0D AND 1.0D) "
+            f"THEN concat('{name} is not in [0, 1]: ', cast({value} as string)) END"
+        )
+
+    return f"coalesce({complaint(NOUL)}, {complaint('confidence')})"
+
+
+def answer_problem(item: str) -> Column:
     """Why an answer is invalid, or NULL. Scores are not range-checked."""
-    def complaint(name: str) -> Column:
-        value = item.getField(name)
-        text = F.concat(F.lit(f"{name} is not in [0, 1]: "), value.cast("string"))
-        return F.when(~in_unit_interval(value), text)
+    return F.expr(_problem_sql(item))
 
-    return F.coalesce(complaint("noul"), complaint("confidence"))
 
+def answers_problem(questions: Sequence[Question], answers: str = "answers") -> Column:
+    """The first problem among a row's answers, with its key, or NULL."""
+    found = [f"concat({sql_string(q.key + ': ')}, {_problem_sql(item_of(q.key, answers))})" for q in questions]
+    return F.expr(f"coalesce({', '.join(found)})") if found else F.lit(None).cast("string")
 
-def answer_unit(item: Column, n_levels: int = len(DEFAULT_RUBRIC)) -> Column:
-    """Goodness of one answer in [0, 1]."""
+
+def _unit_sql(item: str, n_levels: int) -> str:
     if n_levels < 2:
         raise ValueError("a rubric needs at least two levels")
-    kind = item.getField("type")
-    place = (F.coalesce(item.getField("score"), F.lit(1.0)) - F.lit(1.0)) / F.lit(float(n_levels - 1))
+    place = f"(coalesce({item}.score, 1.0D) - 1.0D) / {sql_double(n_levels - 1)}"
     return (
-        F.when(kind == NOUL, F.coalesce(item.getField("noul"), F.lit(0.0)))
-        .when(kind == SCORE, F.greatest(F.lit(0.0), F.least(F.lit(1.0), place)))
-        .when(kind == CHOICE, item.getField("confidence"))
-        .otherwise(F.lit(0.0))
+        f"CASE {item}.type WHEN {sql_string(NOUL)} THEN coalesce({item}.noul, 0.0D) "
+        f"WHEN {sql_string(SCORE)} THEN greatest(0.0D, least(1.0D, {place})) "
+        f"WHEN {sql_string(CHOICE)} THEN {item}.confidence ELSE 0.0D END"
     )
 
 
+def answer_unit(item: str, n_levels: int = len(DEFAULT_RUBRIC)) -> Column:
+    """Goodness of one answer in [0, 1]."""
+    return F.expr(_unit_sql(item, n_levels))
+
+
 def row_quality(
-    answers: Column, weights: Mapping[str, float], questions: Sequence[Question] = ()
+    weights: Mapping[str, float], questions: Sequence[Question] = (), answers: str = "answers"
 ) -> Column:
     """Weighted mean of the answers that are present, in the order of ``weights``; 0 without any.
 
     A plain row expression: no explode, no shuffle.
     """
     levels = {q.key: len(q.rubric) for q in questions if q.type == SCORE}
-    total = F.lit(0.0)
-    weight_sum = F.lit(0.0)
+    total, weight_sum = "0.0D", "0.0D"
     for key, weight in weights.items():
-        item = answers.getItem(key)
-        present = item.isNotNull()
-        share = F.lit(float(weight)) * answer_unit(item, levels.get(key, len(DEFAULT_RUBRIC)))
-        total = total + F.when(present, share).otherwise(F.lit(0.0))
-        weight_sum = weight_sum + F.when(present, F.lit(float(weight))).otherwise(F.lit(0.0))
-    return F.when(weight_sum != 0.0, total / weight_sum).otherwise(F.lit(0.0))
+        item, w = item_of(key, answers), sql_double(weight)
+        unit = _unit_sql(item, levels.get(key, len(DEFAULT_RUBRIC)))
+        total += f" + CASE WHEN {item} IS NOT NULL THEN {w} * ({unit}) ELSE 0.0D END"
+        weight_sum += f" + CASE WHEN {item} IS NOT NULL THEN {w} ELSE 0.0D END"
+    return F.expr(f"CASE WHEN {weight_sum} != 0.0D THEN ({total}) / ({weight_sum}) ELSE 0.0D END")
 
 
 def token_cost(tokens: Column, price_per_mtok: float) -> Column:
@@ -102,10 +116,9 @@ def quality_band(quality: Column) -> Column:
     return F.when(quality >= 0.7, "green").when(quality >= 0.5, "yellow").otherwise("red")
 
 
-def answer_text(item: Column) -> Column:
-    kind = item.getField("type")
-    return (
-        F.when(kind == SCORE, fixed(item.getField("score"), 1))
-        .when(kind == CHOICE, item.getField("choice"))
-        .otherwise(fixed(item.getField("noul"), 2))
+def answer_text(item: str) -> Column:
+    """An answer for display: one digit for a score, two for a probability, the option for a choice."""
+    return F.expr(
+        f"CASE {item}.type WHEN {sql_string(SCORE)} THEN format_number({item}.score, '0.0') "
+        f"WHEN {sql_string(CHOICE)} THEN {item}.choice ELSE format_number({item}.noul, '0.00') END"
     )

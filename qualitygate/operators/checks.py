@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qualitygate.functions import check_status, is_blank, is_not_allowed, is_older_than
+from qualitygate.plans import names_table
 from qualitygate.spec import CREATED_AT, ROW_ID, VERSION, DatasetSpec
 
 CHECKS = ("completeness", "schema", "uniqueness", "freshness")
@@ -57,7 +58,7 @@ def check_report(
         ],
     )
     if versions is not None:
-        asked = df.sparkSession.createDataFrame([(v,) for v in dict.fromkeys(versions)], f"{VERSION} string")
+        asked = names_table(df.sparkSession, versions, VERSION)
         report = asked.join(report, VERSION, "left").na.fill(0, ["total_rows", *CHECKS])
     return report.withColumn("all_passed", sum((F.col(c) for c in CHECKS), F.lit(0)) == 0)
 

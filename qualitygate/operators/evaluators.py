@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from qualitygate.functions import answer, answer_map, answers_from_raw
+from qualitygate.functions import answer_map
 from qualitygate.spec import CHOICE, KEYS, NOUL, SCORE, DatasetSpec, Options
 
 
@@ -47,20 +47,25 @@ class ExpressionEvaluator:
     price_per_mtok: float = Options.price_per_mtok
 
     def answers(self, df: DataFrame, spec: DatasetSpec) -> DataFrame:
-        asked = {q.key: q for q in spec.questions if q.key in self.values}
+        asked = [q for q in spec.questions if q.key in self.values]
         if not asked:
             raise ValueError(f"no expression answers a question of dataset {spec.name!r}")
-        built = {k: answer(q, self.values[k], self.confidence.get(k)) for k, q in asked.items()}
-
-        def or_zero(c: Column | None) -> Column:
-            return F.lit(0.0) if c is None else F.coalesce(c.cast("double"), F.lit(0.0))
-
-        return df.select(
-            "*",
-            answer_map(built).alias("answers"),
-            or_zero(self.tokens).alias("tokens"),
-            or_zero(self.latency_ms).alias("latency_ms"),
-            F.lit(None).cast("string").alias("error"),
+        nothing = F.lit(0.0)
+        raw = {f"_value_{q.key}": self.values[q.key] for q in asked}
+        raw |= {f"_confidence_{q.key}": self.confidence[q.key] for q in asked if q.key in self.confidence}
+        raw |= {"_tokens": nothing if self.tokens is None else self.tokens}
+        raw |= {"_latency": nothing if self.latency_ms is None else self.latency_ms}
+        answers = answer_map(
+            asked,
+            {q.key: f"_value_{q.key}" for q in asked},
+            {q.key: f"_confidence_{q.key}" for q in asked if q.key in self.confidence},
+        )
+        return df.withColumns(raw).select(
+            *df.columns,
+            answers.alias("answers"),
+            F.expr("coalesce(cast(_tokens as double), 0.0D)").alias("tokens"),
+            F.expr("coalesce(cast(_latency as double), 0.0D)").alias("latency_ms"),
+            F.expr("cast(null as string)").alias("error"),
         )
 
 
@@ -109,10 +114,12 @@ class BatchEvaluator:
             df = df.repartition(self.options.max_concurrency, *KEYS)
         answered = df.mapInPandas(run, schema)
 
-        def raw_column(part: str):
-            return lambda q: F.col(f"`{q.key}.{part}`")
-
-        mapped = answers_from_raw(spec.questions, raw_column("value"), raw_column("confidence"))
+        mapped = answer_map(
+            spec.questions,
+            {q.key: f"{q.key}.value" for q in spec.questions},
+            {q.key: f"{q.key}.confidence" for q in spec.questions},
+            first_level=0,
+        )
         return answered.select(
             *df.columns,
             F.when(F.col("error").isNull(), mapped).alias("answers"),

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from qualitygate.functions import fixed
-from qualitygate.plans import first_rows, small_side
-from qualitygate.spec import ROW_ID, VERSION, Options
+from qualitygate.plans import first_by, names_table, small_side
+from qualitygate.spec import ANSWERS, ROW_ID, VERSION, Options
 
 CLOSED = "closed"
 OPEN = "open"
@@ -17,16 +17,10 @@ WINDOW_K = 1_000
 INLINE_VERSIONS = 1_000
 
 
-def mean_quality(evals: DataFrame, version: str) -> Column:
-    """The mean of one version as a scalar; NULL if it has no rows."""
-    one = evals.filter(F.col(VERSION) == version).agg(F.avg("quality").alias("mean_quality"))
-    return one.scalar()
-
-
 def decide(
     evals: DataFrame,
     versions: Sequence[str] | None = None,
-    baseline: float | str | Column | None = None,
+    baseline: float | str | None = None,
     options: Options = Options(),
 ) -> DataFrame:
     """One decision per version.
@@ -36,17 +30,20 @@ def decide(
     drifted by more than ``drift_threshold`` or its mean is below ``quality_floor``.
     ``versions`` asks for exactly those; one without rows is closed with mean 1.
     """
-    rows = evals if versions is None else evals.filter(F.col(VERSION).isin(*versions))
+    named = isinstance(baseline, str)
+    rows = evals
+    if versions is not None:
+        rows = evals.filter(F.col(VERSION).isin(*versions, *([baseline] if named else [])))
     means = rows.groupBy(VERSION).agg(F.avg("quality").alias("_mean"), F.count("*").alias("n_rows"))
+    base = F.lit(None if named else baseline).cast("double")
+    if named:
+        # over one row per version; saves reading the evaluations a second time
+        of_baseline = F.max(F.when(F.col(VERSION) == baseline, F.col("_mean"))).over(Window.partitionBy())
+        means = means.withColumn("_base", of_baseline)
+        base = F.col("_base")
     if versions is not None:
-        asked = evals.sparkSession.createDataFrame([(v,) for v in dict.fromkeys(versions)], f"{VERSION} string")
+        asked = names_table(evals.sparkSession, versions, VERSION)
         means = asked.join(means, VERSION, "left")
-    if isinstance(baseline, str):
-        base = mean_quality(evals, baseline)
-    elif isinstance(baseline, Column):
-        base = baseline
-    else:
-        base = F.lit(baseline).cast("double")
 
     seen = F.col("n_rows").isNotNull() & (F.col("n_rows") > 0)
     mean, drift = F.col("mean_quality"), F.col("drift_vs_baseline")
@@ -93,11 +90,12 @@ def worst_rows(evals: DataFrame, k: int = Options.review_k) -> DataFrame:
     goes by range partitions, so that no task has to order a whole version.
     """
     if k > WINDOW_K:
-        rest = [c for c in evals.columns if c not in (VERSION, "quality", ROW_ID, "answers")]
-        order = [F.col(c).asc_nulls_last() for c in ("quality", ROW_ID, *rest)]
+        sortable = evals
         if "answers" in evals.columns:
-            order.append(F.to_json("answers").asc_nulls_last())
-        return first_rows(evals, [VERSION], order, lambda n: F.lit(k).cast("long"))
+            sortable = evals.withColumn("answers", F.to_json("answers", {"ignoreNullFields": "false"}))
+        ties = [ROW_ID, *[c for c in sortable.columns if c not in (VERSION, "quality", ROW_ID)]]
+        worst = first_by(sortable, [VERSION], "quality", ties, lambda n: F.lit(k).cast("long"))
+        return worst.withColumn("answers", F.from_json("answers", ANSWERS)) if sortable is not evals else worst
     order = Window.partitionBy(VERSION).orderBy("quality", F.col(ROW_ID).asc_nulls_last())
     return evals.withColumn("_place", F.row_number().over(order)).filter(F.col("_place") <= k).drop("_place")
 

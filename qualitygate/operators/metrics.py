@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from qualitygate.functions import answer_text, quality_band
+from qualitygate.functions import answer_text, item_of, quality_band
 from qualitygate.plans import pin, value_at_rank
 from qualitygate.spec import KEYS, ROW_ID, VERSION, DatasetSpec, Options
 
@@ -199,8 +199,8 @@ def answers_wide(evals: DataFrame, spec: DatasetSpec, as_text: bool = False) ->
     The question keys are known, so this is a projection, not a pivot.
     """
     def cell(question) -> Column:
-        item = F.col("answers").getItem(question.key)
-        return answer_text(item) if as_text else item.getField(question.type)
+        item = item_of(question.key)
+        return answer_text(item) if as_text else F.expr(f"{item}.{question.type}")
 
     cells = [cell(q).alias(q.header) for q in spec.questions]
     return evals.select(VERSION, ROW_ID, *cells, "quality", quality_band(F.col("quality")).alias("band"))

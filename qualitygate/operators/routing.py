@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from qualitygate.functions import sample_hash
 from qualitygate.operators.checks import passing_rows
-from qualitygate.plans import first_rows
+from qualitygate.plans import first_by
 from qualitygate.spec import ROW_ID, VERSION, DatasetSpec
 
 
@@ -39,13 +39,12 @@ def route_prefix(
     rows = routed_columns(df, spec, version)
     if rate >= 1.0:
         return rows
-    rest = [c for c in (*tie_break, *spec.text_columns) if c != ROW_ID]
-    order = [F.col(c).asc_nulls_last() for c in dict.fromkeys((ROW_ID, *rest))]
+    ties = [c for c in dict.fromkeys((*tie_break, *spec.text_columns)) if c != ROW_ID]
 
     def keep(n: Column) -> Column:
         return F.greatest(F.lit(1), F.floor(n * F.lit(rate)))
 
-    return first_rows(rows, [VERSION], order, keep)
+    return first_by(rows, [VERSION], ROW_ID, ties, keep)
 
 
 def route_hash_sample(

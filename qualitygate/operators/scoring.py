@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from qualitygate.functions import answer_problem, row_quality, token_cost
+from qualitygate.functions import answers_problem, row_quality, token_cost
 from qualitygate.operators.evaluators import Evaluator, state_columns
 from qualitygate.plans import fits, pin
 from qualitygate.spec import EVALUATION, KEYS, DatasetSpec
@@ -62,22 +62,27 @@ def _collapse(df: DataFrame, order: Sequence[str], content: Sequence[str]) -> Da
 def unscored(df: DataFrame, scored: DataFrame) -> DataFrame:
     """Rows whose key is not in ``scored``, a metrics log or any table with the keys.
 
-    If ``df`` has few keys they are sent to the log, so that only matching log rows move; otherwise
-    both sides are shuffled on the keys, the log reduced to distinct keys before.
+    Old and new keys are told apart on the key columns alone, and few keys are sent to the log
+    rather than the log to them. The rows themselves move only if neither the known nor the
+    new keys are few.
     """
     log = _renamed_keys(scored, "_s_")
-    asked = pin(_renamed_keys(df, "_a_").distinct())
+    asked = pin(df.select(*KEYS).distinct())
     if fits(asked):
-        pairs = [log[f"_s_{k}"].eqNullSafe(asked[f"_a_{k}"]) for k in KEYS]
-        log = log.join(F.broadcast(asked), reduce(lambda a, b: a & b, pairs), "left_semi")
-    seen = log.distinct()
-    return df.join(seen, same_key(df, seen, "_s_"), "left_anti")
+        log = log.join(F.broadcast(asked), same_key(asked, log, "_s_"), "left_semi")
+    log = log.distinct()
+    known = pin(_renamed_keys(asked.join(log, same_key(asked, log, "_s_"), "left_semi"), "_k_"))
+    if fits(known):
+        return df.join(F.broadcast(known), same_key(df, known, "_k_"), "left_anti")
+    fresh = pin(_renamed_keys(asked.join(known, same_key(asked, known, "_k_"), "left_anti"), "_f_"))
+    if fits(fresh):
+        return df.join(F.broadcast(fresh), same_key(df, fresh, "_f_"), "left_semi")
+    return df.join(known, same_key(df, known, "_k_"), "left_anti")
 
 
 def with_problems(answered: DataFrame, spec: DatasetSpec) -> DataFrame:
     """Extend ``error`` by answers outside their range."""
-    problems = [F.concat(F.lit(f"{q.key}: "), answer_problem(F.col("answers").getItem(q.key))) for q in spec.questions]
-    return answered.withColumn("error", F.coalesce(F.col("error"), *problems))
+    return answered.withColumn("error", F.coalesce(F.col("error"), answers_problem(spec.questions)))
 
 
 def score_with_errors(
@@ -97,7 +102,7 @@ def score_with_errors(
     return answered.select(
         *[F.col(k).cast("string").alias(k) for k in KEYS],
         "answers",
-        row_quality(F.col("answers"), spec.quality_weights, spec.questions).alias("quality"),
+        row_quality(spec.quality_weights, spec.questions).alias("quality"),
         F.lit(evaluator.name).alias("backend"),
         "latency_ms",
         token_cost(F.col("tokens"), evaluator.price_per_mtok).alias("cost_usd"),

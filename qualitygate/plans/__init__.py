@@ -1,7 +1,18 @@
 """Plan building blocks shared by the operators."""
 
-from qualitygate.plans.ranking import first_rows, value_at_rank
-from qualitygate.plans.scratch import new_folder, pin, shared_folder
+from qualitygate.plans.ranking import first_by, first_rows, value_at_rank
+from qualitygate.plans.scratch import empty_table, names_table, new_folder, pin, shared_folder
 from qualitygate.plans.small_side import fits, small_side
 
-__all__ = ["first_rows", "fits", "new_folder", "pin", "shared_folder", "small_side", "value_at_rank"]
+__all__ = [
+    "empty_table",
+    "first_by",
+    "first_rows",
+    "fits",
+    "names_table",
+    "new_folder",
+    "pin",
+    "shared_folder",
+    "small_side",
+    "value_at_rank",
+]

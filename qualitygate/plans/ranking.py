@@ -1,16 +1,20 @@
 """Exact order statistics without sorting a group in one task.
 
-``first_rows`` keeps the first k rows of every group. The rows are range-partitioned on the
-full order, the partition number is written down with them, and counts per (group, partition)
-tell which partitions lie wholly before the cut; only the one partition that holds the cut is
-numbered row by row.
+``first_by`` keeps the first k rows of every group by one column. It looks for the value of that
+column at the cut first, on a narrow table of distinct values and their counts, and then filters
+the full rows by it, so wide rows are neither shuffled nor written. Only rows that tie at the cut
+are ordered by the remaining columns, by ``first_rows``.
 
-``value_at_rank`` finds the value at given ranks of a numeric column. Quantile sketches
-propose an interval, exact counts decide which side of it the rank is on, and the interval
-shrinks until few distinct values are left to order. No row is shuffled before that.
+Both find a cut in the same way: range-partition on the order, write the partition number down
+with the rows, count per (group, partition), and number rows only inside the one partition that
+holds the cut.
 
-Both are exact whatever the sketch or the range bounds look like: those only set how much work
-is left, not what comes out.
+``value_at_rank`` finds the value at given ranks of a numeric column. Quantile sketches propose an
+interval, exact counts decide which side of it the rank is on, and the interval shrinks until few
+distinct values are left to order. No row is shuffled before that.
+
+All are exact whatever the sketch or the range bounds look like: those only set how much work is
+left, not what comes out.
 """
 
 from __future__ import annotations
@@ -33,37 +37,45 @@ def _same(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -
     return reduce(lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in pairs])
 
 
+def _buckets(df: DataFrame, groups: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """``df`` written down with the number ``_bucket`` of its range partition."""
+    ranged = df.repartitionByRange(*[F.col(g) for g in groups], *order)
+    return pin(ranged.withColumn("_bucket", F.spark_partition_id()))
+
+
+def _reached(tagged: DataFrame, groups: Sequence[str], weight: Column, keep: Callable[[Column], Column]) -> DataFrame:
+    """Per (group, bucket) that holds rows to keep: ``_rows`` in it and ``_room`` left for it."""
+    whole_group = Window.partitionBy(*groups)
+    up_to_here = whole_group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sizes = tagged.groupBy(*groups, "_bucket").agg(F.sum(weight).alias("_rows"))
+    room = keep(F.sum("_rows").over(whole_group)) - (F.sum("_rows").over(up_to_here) - F.col("_rows"))
+    named = [F.col(g).alias(f"_cut_{g}") for g in groups]
+    return (
+        sizes.withColumn("_room", room)
+        .filter(F.col("_room") > 0)
+        .select(*named, F.col("_bucket").alias("_cut_bucket"), "_rows", "_room")
+    )
+
+
+def _bucket_pairs(groups: Sequence[str]) -> list[tuple[str, str]]:
+    return [("_bucket", "_cut_bucket"), *[(g, f"_cut_{g}") for g in groups]]
+
+
 def first_rows(
     df: DataFrame,
     groups: Sequence[str],
     order: Sequence[Column],
     keep: Callable[[Column], Column],
 ) -> DataFrame:
-    """The first ``keep(group size)`` rows of each group.
+    """The first ``keep(group size)`` rows of each group. Moves and writes the rows.
 
     ``order`` must tell apart all rows that differ, so that equal rows are interchangeable;
-    a random last range key may then spread copies of one hot row over many partitions.
+    a random last range key then spreads copies of one hot row over many partitions.
     """
     columns = df.columns
-    ranged = (
-        df.withColumn("_salt", F.rand(11))
-        .repartitionByRange(*[F.col(g) for g in groups], *order, F.col("_salt"))
-        .withColumn("_bucket", F.spark_partition_id())
-        .drop("_salt")
-    )
-    tagged = pin(ranged)
-
-    whole_group = Window.partitionBy(*groups)
-    up_to_here = whole_group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sizes = tagged.groupBy(*groups, "_bucket").agg(F.count("*").alias("_rows"))
-    room = keep(F.sum("_rows").over(whole_group)) - (F.sum("_rows").over(up_to_here) - F.col("_rows"))
-    cuts = small_side(
-        sizes.withColumn("_room", room)
-        .filter(F.col("_room") > 0)
-        .select(*[F.col(g).alias(f"_cut_{g}") for g in groups], F.col("_bucket").alias("_cut_bucket"), "_rows", "_room")
-    )
-    pairs = [("_bucket", "_cut_bucket"), *[(g, f"_cut_{g}") for g in groups]]
-    reached = tagged.join(cuts, _same(tagged, cuts, pairs), "inner")
+    tagged = _buckets(df.withColumn("_salt", F.rand(11)), groups, [*order, F.col("_salt")])
+    cuts = small_side(_reached(tagged, groups, F.lit(1), keep))
+    reached = tagged.join(cuts, _same(tagged, cuts, _bucket_pairs(groups)), "inner")
 
     before_cut = reached.filter(F.col("_rows") <= F.col("_room")).select(*columns)
     numbering = Window.partitionBy(*groups, "_bucket").orderBy(*order)
@@ -76,6 +88,53 @@ def first_rows(
     return before_cut.unionByName(at_cut)
 
 
+def _cut_values(df: DataFrame, groups: Sequence[str], by: str, keep: Callable[[Column], Column]) -> DataFrame:
+    """Per group: the value ``_at`` of the last row to keep, ``_copies`` of it and ``_take`` of those."""
+    counted = df.groupBy(*groups, by).agg(F.count("*").alias("_copies"))
+    tagged = _buckets(counted, groups, [F.col(by).asc_nulls_last()])
+    last = _reached(tagged, groups, F.col("_copies"), lambda n: F.least(keep(n), n)).filter(
+        F.col("_room") <= F.col("_rows")
+    )
+    inside = tagged.join(last, _same(tagged, last, _bucket_pairs(groups)), "inner")
+    running = (
+        Window.partitionBy(*groups, "_bucket")
+        .orderBy(F.col(by).asc_nulls_last())
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    take = F.col("_room") - (F.sum("_copies").over(running) - F.col("_copies"))
+    return (
+        inside.withColumn("_take", take)
+        .filter((F.col("_take") > 0) & (F.col("_take") <= F.col("_copies")))
+        .select(*[F.col(g).alias(f"_cut_{g}") for g in groups], F.col(by).alias("_at"), "_copies", "_take")
+    )
+
+
+def first_by(
+    df: DataFrame,
+    groups: Sequence[str],
+    by: str,
+    ties: Sequence[str],
+    keep: Callable[[Column], Column],
+) -> DataFrame:
+    """The first ``keep(group size)`` rows of each group by ``by``, then by ``ties``; NULLs last.
+
+    ``ties`` must tell apart all rows that differ.
+    """
+    columns = df.columns
+    cuts = small_side(_cut_values(df, groups, by, keep))
+    joined = df.join(cuts, _same(df, cuts, [(g, f"_cut_{g}") for g in groups]), "inner")
+    value, at = F.col(by), F.col("_at")
+    before = F.when(at.isNull(), value.isNotNull()).otherwise(F.coalesce(value < at, F.lit(False)))
+    whole = F.col("_take") == F.col("_copies")
+    kept = joined.filter(before | (whole & value.eqNullSafe(at))).select(*columns)
+    if not cuts.filter(~whole).limit(1).count():
+        return kept
+    tied = joined.filter(~whole & value.eqNullSafe(at)).select(*columns, "_take")
+    order = [F.col(c).asc_nulls_last() for c in ties]
+    some = first_rows(tied, [*groups, "_take"], order, lambda n: F.col("_take"))
+    return kept.unionByName(some.select(*columns))
+
+
 def value_at_rank(
     df: DataFrame,
     groups: Sequence[str],

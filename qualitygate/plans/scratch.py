@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -40,3 +43,13 @@ def pin(df: DataFrame) -> DataFrame:
     """
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def names_table(spark: SparkSession, names: Iterable[str], column: str) -> DataFrame:
+    """A one-column table of a few distinct names, built without a Python worker."""
+    values = F.array(*[F.lit(n) for n in dict.fromkeys(names)]).cast("array<string>")
+    return spark.range(1).select(F.explode(values).alias(column))
+
+
+def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])

@@ -10,12 +10,13 @@ from qualitygate.plans.scratch import pin
 BROADCAST_ROWS = 100_000
 
 
-def fits(pinned: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether an already written table has at most ``max_rows`` rows."""
+def fits(pinned: DataFrame, max_rows: int | None = None) -> bool:
+    """Whether an already written table has at most ``max_rows`` (``BROADCAST_ROWS``) rows."""
+    max_rows = BROADCAST_ROWS if max_rows is None else max_rows
     return pinned.limit(max_rows + 1).count() <= max_rows
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def small_side(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """The written form of ``df``, marked for broadcast only if it was counted to be small.
 
     Meant for narrow tables of one row per version or per range bucket. A larger one joins

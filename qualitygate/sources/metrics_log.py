@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from qualitygate.plans import empty_table
 from qualitygate.spec import ANSWERS, EVALUATION, KEYS, METRICS, VERSION
 
 
@@ -29,7 +30,7 @@ class MetricsLog:
 
     def create(self) -> "MetricsLog":
         """Write an empty log unless there is one; then reading works before the first append."""
-        self.spark.createDataFrame([], METRICS).coalesce(1).write.mode("ignore").parquet(self.path)
+        empty_table(self.spark, METRICS).write.mode("ignore").parquet(self.path)
         return self
 
     def read(self, since: str | None = None) -> DataFrame:

@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from qualitygate.operators.checks import passing_rows
 from qualitygate.operators.evaluators import Evaluator
-from qualitygate.operators.routing import clamp_rate, route_hash_sample
+from qualitygate.operators.routing import route_hash_sample
 from qualitygate.operators.scoring import score
-from qualitygate.operators.checks import passing_rows
 from qualitygate.sources.metrics_log import MetricsLog
 from qualitygate.spec import KEYS, DatasetSpec
 
@@ -34,6 +34,7 @@ def score_stream(
     only_passing: bool = False,
     as_of: Column | None = None,
     on_error: str = "quarantine",
+    seen_since: str | None = None,
     on_batch: Callable[[DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
     """Route, score and append what has arrived, then stop.
@@ -41,18 +42,24 @@ def score_stream(
     Every micro-batch leaves out keys the log already has, so a batch that is replayed after a lost
     driver, or a row that comes twice, is neither scored nor appended again. Size the batches with
     the source's own options (``maxFilesPerTrigger``); each one is written before the next begins,
-    which bounds the work a failure can lose. ``on_batch`` gets every micro-batch before scoring,
+    which bounds the work a failure can lose. ``seen_since`` (a date) limits how far back the log is
+    searched when repeats are known to come within some days. ``on_batch`` gets every micro-batch before scoring,
     e.g. for deterministic checks.
     """
     log.create()
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if on_batch is not None:
-            on_batch(batch, batch_id)
-        rows = passing_rows(batch, spec, as_of) if only_passing else batch
-        routed = route_hash_sample(rows, spec, clamp_rate(rate))
-        evals = score(routed, spec, evaluator, scored=log.read(), on_error=on_error, repeat_copies=False)
-        log.append(evals, run_id=f"batch-{batch_id}")
+        batch.persist()
+        try:
+            if on_batch is not None:
+                on_batch(batch, batch_id)
+            rows = passing_rows(batch, spec, as_of) if only_passing else batch
+            routed = route_hash_sample(rows, spec, rate)
+            seen = log.read(seen_since)
+            evals = score(routed, spec, evaluator, scored=seen, on_error=on_error, repeat_copies=False)
+            log.append(evals, run_id=f"batch-{batch_id}")
+        finally:
+            batch.unpersist()
 
     return (
         stream.writeStream.foreachBatch(handle)
