@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 
 from qualitygate.functions import answers_problem, row_quality, token_cost
 from qualitygate.operators.evaluators import Evaluator, state_columns
-from qualitygate.plans import fits, pin
+from qualitygate.plans import fits, spool
+from qualitygate.plans.broadcasting import BROADCAST_ROWS
 from qualitygate.spec import EVALUATION, KEYS, DatasetSpec
 
 COPIES_PER_CHUNK = 10_000
@@ -24,15 +26,23 @@ def _renamed_keys(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*[F.col(k).alias(f"{prefix}{k}") for k in KEYS])
 
 
-def repeated_keys(df: DataFrame) -> DataFrame:
-    """Keys that occur more than once, with their number of rows ``_n``; written down.
+@dataclass(frozen=True)
+class Repeats:
+    """Keys that occur more than once, how many there are, and the number of rows of the commonest."""
 
-    Reads and moves the two key columns only, copies collapsing before the shuffle.
-    """
-    return pin(df.groupBy(*KEYS).agg(F.count("*").alias("_n")).filter(F.col("_n") > 1))
+    keys: DataFrame
+    n_keys: int
+    most: int
+
+
+def repeated_keys(df: DataFrame) -> Repeats:
+    """Reads and moves the two key columns only, copies collapsing before the shuffle."""
+    keys = spool(df.groupBy(*KEYS).agg(F.count("*").alias("_n")).filter(F.col("_n") > 1))
+    n_keys, most = keys.agg(F.count("*"), F.max("_n")).first()
+    return Repeats(keys, n_keys, most or 1)
 
 
-def first_per_key(df: DataFrame, tie_break: Sequence[str] = (), repeated: DataFrame | None = None) -> DataFrame:
+def first_per_key(df: DataFrame, tie_break: Sequence[str] = (), repeats: Repeats | None = None) -> DataFrame:
     """One row per key with ``_copies``; the first by ``tie_break``, then by the content columns.
 
     Only rows whose key repeats are moved: as long as those keys are few, all other rows, with all
@@ -40,10 +50,12 @@ def first_per_key(df: DataFrame, tie_break: Sequence[str] = (), repeated: DataFr
     """
     content = state_columns(df)
     order = list(dict.fromkeys([*tie_break, *content]))
-    repeated = repeated_keys(df) if repeated is None else repeated
-    if not fits(repeated):
+    repeats = repeated_keys(df) if repeats is None else repeats
+    if not repeats.n_keys:
+        return df.withColumn("_copies", F.lit(1).cast("long"))
+    if repeats.n_keys > BROADCAST_ROWS:
         return _collapse(df, order, content)
-    marks = F.broadcast(_renamed_keys(repeated, "_r_"))
+    marks = F.broadcast(_renamed_keys(repeats.keys, "_r_"))
     known = same_key(df, marks, "_r_")
     single = df.join(marks, known, "left_anti").withColumn("_copies", F.lit(1).cast("long"))
     return single.unionByName(_collapse(df.join(marks, known, "left_semi"), order, content))
@@ -67,14 +79,14 @@ def unscored(df: DataFrame, scored: DataFrame) -> DataFrame:
     new keys are few.
     """
     log = _renamed_keys(scored, "_s_")
-    asked = pin(df.select(*KEYS).distinct())
+    asked = spool(df.select(*KEYS).distinct())
     if fits(asked):
         log = log.join(F.broadcast(asked), same_key(asked, log, "_s_"), "left_semi")
     log = log.distinct()
-    known = pin(_renamed_keys(asked.join(log, same_key(asked, log, "_s_"), "left_semi"), "_k_"))
+    known = spool(_renamed_keys(asked.join(log, same_key(asked, log, "_s_"), "left_semi"), "_k_"))
     if fits(known):
         return df.join(F.broadcast(known), same_key(df, known, "_k_"), "left_anti")
-    fresh = pin(_renamed_keys(asked.join(known, same_key(asked, known, "_k_"), "left_anti"), "_f_"))
+    fresh = spool(_renamed_keys(asked.join(known, same_key(asked, known, "_k_"), "left_anti"), "_f_"))
     if fits(fresh):
         return df.join(F.broadcast(fresh), same_key(df, fresh, "_f_"), "left_semi")
     return df.join(known, same_key(df, known, "_k_"), "left_anti")
@@ -90,14 +102,14 @@ def score_with_errors(
     spec: DatasetSpec,
     evaluator: Evaluator,
     tie_break: Sequence[str] = (),
-    repeated: DataFrame | None = None,
+    repeats: Repeats | None = None,
     unique: bool = False,
 ) -> DataFrame:
     """One evaluation per key, plus ``error`` (NULL if fine) and ``_copies`` in the input.
 
     ``unique=True`` says that keys are known not to repeat and skips looking for copies.
     """
-    once = df.withColumn("_copies", F.lit(1).cast("long")) if unique else first_per_key(df, tie_break, repeated)
+    once = df.withColumn("_copies", F.lit(1).cast("long")) if unique else first_per_key(df, tie_break, repeats)
     answered = with_problems(evaluator.answers(once, spec), spec)
     return answered.select(
         *[F.col(k).cast("string").alias(k) for k in KEYS],
@@ -165,10 +177,9 @@ def score(
     """
     if scored is not None:
         df = unscored(df, scored)
-    repeated = None if unique else repeated_keys(df)
-    rows = score_with_errors(df, spec, evaluator, tie_break, repeated, unique)
+    repeats = None if unique else repeated_keys(df)
+    rows = score_with_errors(df, spec, evaluator, tie_break, repeats, unique)
     rows = without_errors(rows) if on_error == "fail" else accepted(rows)
-    if repeated is not None and repeat_copies:
-        hot = repeated.filter(F.col("_n") > COPIES_PER_CHUNK).limit(1).count() > 0
-        rows = per_input_row(rows, deal=hot)
+    if repeats is not None and repeats.n_keys and repeat_copies:
+        rows = per_input_row(rows, deal=repeats.most > COPIES_PER_CHUNK)
     return rows.select(*EVALUATION.fieldNames())

@@ -1,8 +1,8 @@
 """Plan building blocks shared by the operators."""
 
 from qualitygate.plans.ranking import first_by, first_rows, value_at_rank
-from qualitygate.plans.scratch import empty_table, names_table, new_folder, pin, shared_folder
-from qualitygate.plans.small_side import fits, small_side
+from qualitygate.plans.scratch import empty_table, names_table, new_folder, pin, shared_folder, spool
+from qualitygate.plans.broadcasting import fits, small_side
 
 __all__ = [
     "empty_table",
@@ -14,5 +14,6 @@ __all__ = [
     "pin",
     "shared_folder",
     "small_side",
+    "spool",
     "value_at_rank",
 ]

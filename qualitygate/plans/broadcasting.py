@@ -10,10 +10,9 @@ from qualitygate.plans.scratch import pin
 BROADCAST_ROWS = 100_000
 
 
-def fits(pinned: DataFrame, max_rows: int | None = None) -> bool:
+def fits(written: DataFrame, max_rows: int | None = None) -> bool:
     """Whether an already written table has at most ``max_rows`` (``BROADCAST_ROWS``) rows."""
-    max_rows = BROADCAST_ROWS if max_rows is None else max_rows
-    return pinned.limit(max_rows + 1).count() <= max_rows
+    return written.count() <= (BROADCAST_ROWS if max_rows is None else max_rows)
 
 
 def small_side(df: DataFrame, max_rows: int | None = None) -> DataFrame:

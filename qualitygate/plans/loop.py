@@ -23,14 +23,28 @@ from qualitygate.spec import KEYS, VERSION, DatasetSpec, Options
 
 @dataclass(frozen=True)
 class LoopResult:
+    """What a loop left behind. Tables are computed when asked for, from the log."""
+
     run_id: str
     report: DataFrame
     evaluations: DataFrame
     decisions: DataFrame
-    review: DataFrame
-    metrics: DataFrame
-    trend: DataFrame
-    history: DataFrame
+    log: MetricsLog
+    spec: DatasetSpec
+    options: Options
+
+    def review(self) -> DataFrame:
+        """Rows for people to look at."""
+        return review_queue(self.evaluations, self.decisions, self.options.review_k, self.spec.review_reason)
+
+    def metrics(self, labels: DataFrame | None = None) -> DataFrame:
+        return loop_metrics(self.evaluations, labels, self.options.disagreement_threshold)
+
+    def trend(self) -> DataFrame:
+        return drift_trend(self.log.read())
+
+    def history(self) -> DataFrame:
+        return drift_by_version(self.log.read())
 
 
 def run_loop(
@@ -41,7 +55,6 @@ def run_loop(
     baseline: str,
     candidates: Sequence[str],
     as_of: Column | None = None,
-    labels: DataFrame | None = None,
     options: Options = Options(),
     on_error: str = "fail",
     skip_scored: bool = False,
@@ -75,13 +88,4 @@ def run_loop(
         mine = mine.filter(F.col("run_id") == run_id)
     mine = mine.filter(F.col(VERSION).isin(*versions))
     decisions = pin(decide(mine, candidates, baseline, options))
-    return LoopResult(
-        run_id=run_id,
-        report=report,
-        evaluations=mine,
-        decisions=decisions,
-        review=review_queue(mine, decisions, options.review_k, spec.review_reason),
-        metrics=loop_metrics(mine, labels, options.disagreement_threshold),
-        trend=drift_trend(log.read()),
-        history=drift_by_version(log.read()),
-    )
+    return LoopResult(run_id, report, mine, decisions, log, spec, options)

@@ -25,10 +25,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from qualitygate.plans.scratch import pin
-from qualitygate.plans.small_side import small_side
+from qualitygate.plans.scratch import spool
+from qualitygate.plans.broadcasting import small_side
 
 WINDOW_ROWS = 1_000_000
+SMALL_TABLE_ROWS = 100_000
 SKETCH_STEPS = 500
 SKETCH_ACCURACY = 10_000
 
@@ -40,7 +41,7 @@ def _same(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -
 def _buckets(df: DataFrame, groups: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """``df`` written down with the number ``_bucket`` of its range partition."""
     ranged = df.repartitionByRange(*[F.col(g) for g in groups], *order)
-    return pin(ranged.withColumn("_bucket", F.spark_partition_id()))
+    return spool(ranged.withColumn("_bucket", F.spark_partition_id()))
 
 
 def _reached(tagged: DataFrame, groups: Sequence[str], weight: Column, keep: Callable[[Column], Column]) -> DataFrame:
@@ -118,9 +119,15 @@ def first_by(
 ) -> DataFrame:
     """The first ``keep(group size)`` rows of each group by ``by``, then by ``ties``; NULLs last.
 
-    ``ties`` must tell apart all rows that differ.
+    ``ties`` must tell apart all rows that differ. A table counted to be small is simply numbered.
     """
     columns = df.columns
+    if df.count() <= SMALL_TABLE_ROWS:
+        place = Window.partitionBy(*groups).orderBy(*[F.col(c).asc_nulls_last() for c in (by, *ties)])
+        numbered = df.withColumn("_place", F.row_number().over(place)).withColumn(
+            "_size", F.count("*").over(Window.partitionBy(*groups))
+        )
+        return numbered.filter(F.col("_place") <= keep(F.col("_size"))).select(*columns)
     cuts = small_side(_cut_values(df, groups, by, keep))
     joined = df.join(cuts, _same(df, cuts, [(g, f"_cut_{g}") for g in groups]), "inner")
     value, at = F.col(by), F.col("_at")

@@ -36,7 +36,7 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 def pin(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder once and go on from the written copy.
+    """Write a small ``df`` to the shared folder once and go on from the written copy.
 
     Used where two parts of a plan must see the very same rows (sampled range bounds,
     sketches) and where running a step twice would cost money.
@@ -45,6 +45,13 @@ def pin(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spool(df: DataFrame) -> DataFrame:
+    """The same for a table that may be large: columnar files, so later reads take only what they need."""
+    path = new_folder(df.sparkSession, "spool")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def names_table(spark: SparkSession, names: Iterable[str], column: str) -> DataFrame:
     """A one-column table of a few distinct names, built without a Python worker."""
     values = F.array(*[F.lit(n) for n in dict.fromkeys(names)]).cast("array<string>")
