@@ -33,16 +33,16 @@ def state_columns(df: DataFrame) -> list[str]:
 
 @dataclass(frozen=True)
 class ExpressionEvaluator:
-    """Answers written as Columns over the row; runs inside Spark's generated code.
+    """Answers written as Columns or SQL text over the row; runs inside Spark's generated code.
 
-    ``values`` holds one Column per question key: a probability for ``noul``, an option for
+    ``values`` holds one expression per question key: a probability for ``noul``, an option for
     ``choice``, a level counted from 1 for ``score``. Keys left out are missing from the answers.
     """
 
-    values: Mapping[str, Column]
-    confidence: Mapping[str, Column] = field(default_factory=dict)
-    tokens: Column | None = None
-    latency_ms: Column | None = None
+    values: Mapping[str, Column | str]
+    confidence: Mapping[str, Column | str] = field(default_factory=dict)
+    tokens: Column | str = "0"
+    latency_ms: Column | str = "0"
     name: str = "expression"
     price_per_mtok: float = Options.price_per_mtok
 
@@ -50,11 +50,10 @@ class ExpressionEvaluator:
         asked = [q for q in spec.questions if q.key in self.values]
         if not asked:
             raise ValueError(f"no expression answers a question of dataset {spec.name!r}")
-        nothing = F.lit(0.0)
         raw = {f"_value_{q.key}": self.values[q.key] for q in asked}
         raw |= {f"_confidence_{q.key}": self.confidence[q.key] for q in asked if q.key in self.confidence}
-        raw |= {"_tokens": nothing if self.tokens is None else self.tokens}
-        raw |= {"_latency": nothing if self.latency_ms is None else self.latency_ms}
+        raw |= {"_tokens": self.tokens, "_latency": self.latency_ms}
+        raw = {name: F.expr(c) if isinstance(c, str) else c for name, c in raw.items()}
         answers = answer_map(
             asked,
             {q.key: f"_value_{q.key}" for q in asked},
