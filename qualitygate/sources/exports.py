@@ -14,13 +14,15 @@ from qualitygate.spec import MANIFEST, DatasetSpec
 
 def write_csv(df: DataFrame, path: str) -> None:
     """A folder of CSV parts with headers, quotes doubled; empty strings quoted, NULLs bare."""
-    writer = df.write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", '""')
+    writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
     writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Such files back. A bare empty field is NULL, a quoted one an empty string."""
     reader = spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", True)
-    return reader.option("enforceSchema", False).csv(path)
+    # the mark that stands for a bare empty field while parsing; by default it equals the empty string
+    return reader.option("nullValue", "\u0000").option("enforceSchema", False).csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
