@@ -5,6 +5,7 @@ from qualitygate.functions.answers import (
     answer_problem,
     answer_text,
     answer_unit,
+    answers_or_raise,
     answers_problem,
     in_unit_interval,
     item_of,
@@ -20,6 +21,7 @@ __all__ = [
     "answer_problem",
     "answer_text",
     "answer_unit",
+    "answers_or_raise",
     "answers_problem",
     "check_status",
     "fixed",

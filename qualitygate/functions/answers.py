@@ -52,37 +52,55 @@ def in_unit_interval(value: Column) -> Column:
     return value.isNull() | value.between(0.0, 1.0)
 
 
-def _problem_sql(item: str) -> str:
-    def complaint(name: str) -> str:
-        value = f"{item}.{name}"
-        return (
-            f"CASE WHEN {value} IS NOT NULL AND NOT ({value} BETWEEN 0.0D AND 1.0D) "
-            f"THEN concat('{name} is not in [0, 1]: ', cast({value} as string)) END"
-        )
+def _problems(item: str, prefix: str = "") -> list[tuple[str, str]]:
+    """Conditions that make an answer invalid, each with its message. Scores are not range-checked."""
+    return [
+        (f"NOT ({item}.{name} BETWEEN 0.0D AND 1.0D)", sql_string(f"{prefix}{name} is not in [0, 1]"))
+        for name in (NOUL, "confidence")
+    ]
+
+
+def _all_problems(questions: Sequence[Question], answers: str) -> list[tuple[str, str]]:
+    return [found for q in questions for found in _problems(item_of(q.key, answers), f"{q.key}: ")]
+
 
-    return f"coalesce({complaint(NOUL)}, {complaint('confidence')})"
+def _case(branches: Sequence[tuple[str, str]], otherwise: str) -> Column:
+    if not branches:
+        return F.expr(otherwise)
+    return F.expr("CASE " + " ".join(f"WHEN {when} THEN {then}" for when, then in branches) + f" ELSE {otherwise} END")
 
 
 def answer_problem(item: str) -> Column:
-    """Why an answer is invalid, or NULL. Scores are not range-checked."""
-    return F.expr(_problem_sql(item))
+    """Why an answer is invalid, or NULL."""
+    return _case(_problems(item), "cast(null as string)")
 
 
-def answers_problem(questions: Sequence[Question], answers: str = "answers") -> Column:
-    """The first problem among a row's answers, with its key, or NULL."""
-    found = [f"concat({sql_string(q.key + ': ')}, {_problem_sql(item_of(q.key, answers))})" for q in questions]
-    return F.expr(f"coalesce({', '.join(found)})") if found else F.lit(None).cast("string")
+def answers_problem(questions: Sequence[Question], answers: str = "answers", error: str = "error") -> Column:
+    """``error``, or the first problem among a row's answers with its key, or NULL."""
+    given = sql_name(error)
+    return _case([(f"{given} IS NOT NULL", given), *_all_problems(questions, answers)], "cast(null as string)")
 
 
-def _unit_sql(item: str, n_levels: int) -> str:
+def answers_or_raise(questions: Sequence[Question], answers: str = "answers", error: str = "error") -> Column:
+    """True for a row without a problem; a row with one ends the job."""
+    given = sql_name(error)
+    problems = [(f"{given} IS NOT NULL", given), *_all_problems(questions, answers)]
+    return _case([(when, f"cast(raise_error({text}) as boolean)") for when, text in problems], "true")
+
+
+def _unit_sql(item: str, n_levels: int, kind: str | None = None) -> str:
+    """Goodness of an answer; 0 for an absent one. With ``kind`` the type is known beforehand."""
     if n_levels < 2:
         raise ValueError("a rubric needs at least two levels")
     place = f"(coalesce({item}.score, 1.0D) - 1.0D) / {sql_double(n_levels - 1)}"
-    return (
-        f"CASE {item}.type WHEN {sql_string(NOUL)} THEN coalesce({item}.noul, 0.0D) "
-        f"WHEN {sql_string(SCORE)} THEN greatest(0.0D, least(1.0D, {place})) "
-        f"WHEN {sql_string(CHOICE)} THEN {item}.confidence ELSE 0.0D END"
-    )
+    by_kind = {
+        NOUL: f"coalesce({item}.noul, 0.0D)",
+        SCORE: f"greatest(0.0D, least(1.0D, {place}))",
+        CHOICE: f"coalesce({item}.confidence, 0.0D)",
+    }
+    if kind is not None:
+        return by_kind[kind]
+    return f"CASE {item}.type {' '.join(f'WHEN {sql_string(k)} THEN {v}' for k, v in by_kind.items())} ELSE 0.0D END"
 
 
 def answer_unit(item: str, n_levels: int = len(DEFAULT_RUBRIC)) -> Column:
@@ -95,16 +113,18 @@ def row_quality(
 ) -> Column:
     """Weighted mean of the answers that are present, in the order of ``weights``; 0 without any.
 
-    A plain row expression: no explode, no shuffle.
+    A plain row expression: no explode, no shuffle. It is kept short because the JVM leaves very
+    long generated methods uncompiled: an absent answer adds 0 to the sum anyway, and the types of
+    ``questions`` are settled here rather than per row.
     """
-    levels = {q.key: len(q.rubric) for q in questions if q.type == SCORE}
+    known = {q.key: q for q in questions}
     total, weight_sum = "0.0D", "0.0D"
     for key, weight in weights.items():
-        item, w = item_of(key, answers), sql_double(weight)
-        unit = _unit_sql(item, levels.get(key, len(DEFAULT_RUBRIC)))
-        total += f" + CASE WHEN {item} IS NOT NULL THEN {w} * ({unit}) ELSE 0.0D END"
-        weight_sum += f" + CASE WHEN {item} IS NOT NULL THEN {w} ELSE 0.0D END"
-    return F.expr(f"CASE WHEN {weight_sum} != 0.0D THEN ({total}) / ({weight_sum}) ELSE 0.0D END")
+        item, w, q = item_of(key, answers), sql_double(weight), known.get(key)
+        n_levels = len(q.rubric) if q and q.type == SCORE else len(DEFAULT_RUBRIC)
+        total += f" + {w} * {_unit_sql(item, n_levels, q.type if q else None)}"
+        weight_sum += f" + if({item} IS NULL, 0.0D, {w})"
+    return F.expr(f"coalesce(try_divide({total}, {weight_sum}), 0.0D)")
 
 
 def token_cost(tokens: Column, price_per_mtok: float) -> Column:

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from qualitygate.functions import answers_problem, row_quality, token_cost
+from qualitygate.functions import answers_or_raise, answers_problem, row_quality, token_cost
 from qualitygate.operators.evaluators import Evaluator, state_columns
 from qualitygate.plans import fits, spool
 from qualitygate.plans.broadcasting import BROADCAST_ROWS
@@ -92,9 +92,24 @@ def unscored(df: DataFrame, scored: DataFrame) -> DataFrame:
     return df.join(known, same_key(df, known, "_k_"), "left_anti")
 
 
-def with_problems(answered: DataFrame, spec: DatasetSpec) -> DataFrame:
-    """Extend ``error`` by answers outside their range."""
-    return answered.withColumn("error", F.coalesce(F.col("error"), answers_problem(spec.questions)))
+def _evaluations(answered: DataFrame, spec: DatasetSpec, evaluator: Evaluator) -> DataFrame:
+    return answered.select(
+        *[F.col(k).cast("string").alias(k) for k in KEYS],
+        "answers",
+        row_quality(spec.quality_weights, spec.questions).alias("quality"),
+        F.lit(evaluator.name).alias("backend"),
+        "latency_ms",
+        token_cost(F.col("tokens"), evaluator.price_per_mtok).alias("cost_usd"),
+        "error",
+        "_copies",
+    )
+
+
+def _answered(
+    df: DataFrame, spec: DatasetSpec, evaluator: Evaluator, tie_break: Sequence[str], repeats: Repeats | None, unique: bool
+) -> DataFrame:
+    once = df.withColumn("_copies", F.lit(1).cast("long")) if unique else first_per_key(df, tie_break, repeats)
+    return evaluator.answers(once, spec)
 
 
 def score_with_errors(
@@ -109,18 +124,9 @@ def score_with_errors(
 
     ``unique=True`` says that keys are known not to repeat and skips looking for copies.
     """
-    once = df.withColumn("_copies", F.lit(1).cast("long")) if unique else first_per_key(df, tie_break, repeats)
-    answered = with_problems(evaluator.answers(once, spec), spec)
-    return answered.select(
-        *[F.col(k).cast("string").alias(k) for k in KEYS],
-        "answers",
-        row_quality(spec.quality_weights, spec.questions).alias("quality"),
-        F.lit(evaluator.name).alias("backend"),
-        "latency_ms",
-        token_cost(F.col("tokens"), evaluator.price_per_mtok).alias("cost_usd"),
-        "error",
-        "_copies",
-    )
+    answered = _answered(df, spec, evaluator, tie_break, repeats, unique)
+    checked = answered.withColumn("error", answers_problem(spec.questions))
+    return _evaluations(checked, spec, evaluator)
 
 
 def accepted(scored: DataFrame) -> DataFrame:
@@ -133,12 +139,6 @@ def quarantined(scored: DataFrame) -> DataFrame:
     return scored.filter(F.col("error").isNotNull()).select(*KEYS, "error")
 
 
-def without_errors(scored: DataFrame) -> DataFrame:
-    """The same rows; a row with an error ends the job."""
-    fine = F.when(F.col("error").isNull(), F.lit(True)).otherwise(F.raise_error(F.col("error")).cast("boolean"))
-    return scored.filter(fine)
-
-
 def per_input_row(scored: DataFrame, deal: bool = False, chunk: int = COPIES_PER_CHUNK) -> DataFrame:
     """Repeat each evaluation for every copy of its key in the input.
 
@@ -178,8 +178,11 @@ def score(
     if scored is not None:
         df = unscored(df, scored)
     repeats = None if unique else repeated_keys(df)
-    rows = score_with_errors(df, spec, evaluator, tie_break, repeats, unique)
-    rows = without_errors(rows) if on_error == "fail" else accepted(rows)
+    if on_error == "fail":
+        answered = _answered(df, spec, evaluator, tie_break, repeats, unique)
+        rows = _evaluations(answered.filter(answers_or_raise(spec.questions)), spec, evaluator)
+    else:
+        rows = accepted(score_with_errors(df, spec, evaluator, tie_break, repeats, unique))
     if repeats is not None and repeats.n_keys and repeat_copies:
         rows = per_input_row(rows, deal=repeats.most > COPIES_PER_CHUNK)
     return rows.select(*EVALUATION.fieldNames())
