@@ -2,7 +2,7 @@
 
 An evaluator has a ``name``, a price and one method, ``answers(df, spec)``, which returns the
 same rows with four more columns: ``answers`` (map of question key to answer), ``tokens``,
-``latency_ms`` and ``error`` (NULL for a scored row).
+``latency_ms`` and ``error``: NULL for a scored row, else the reason, and then its answers do not count.
 """
 
 from __future__ import annotations
@@ -121,7 +121,7 @@ class BatchEvaluator:
         )
         return answered.select(
             *df.columns,
-            F.when(F.col("error").isNull(), mapped).alias("answers"),
+            mapped.alias("answers"),
             "tokens",
             "latency_ms",
             "error",

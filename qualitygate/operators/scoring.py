@@ -28,17 +28,24 @@ def _renamed_keys(df: DataFrame, prefix: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Repeats:
-    """Keys that occur more than once, how many there are, and the number of rows of the commonest."""
+    """Keys that occur more than once (``_n`` times), how many they are, and the most rows of one."""
 
     keys: DataFrame
     n_keys: int
     most: int
 
 
-def repeated_keys(df: DataFrame) -> Repeats:
-    """Reads and moves the two key columns only, copies collapsing before the shuffle."""
-    keys = spool(df.groupBy(*KEYS).agg(F.count("*").alias("_n")).filter(F.col("_n") > 1))
+def count_keys(df: DataFrame) -> DataFrame:
+    """Rows per key. Reads and moves the two key columns only, copies collapsing before the shuffle."""
+    return df.groupBy(*KEYS).agg(F.count("*").alias("_n"))
+
+
+def repeated_keys(df: DataFrame, counted: DataFrame | None = None) -> Repeats:
+    """``counted`` is the written result of ``count_keys``, if there is one already."""
+    keys = (count_keys(df) if counted is None else counted).filter(F.col("_n") > 1)
     n_keys, most = keys.agg(F.count("*"), F.max("_n")).first()
+    if n_keys and counted is None:
+        keys = spool(keys)
     return Repeats(keys, n_keys, most or 1)
 
 
@@ -71,20 +78,23 @@ def _collapse(df: DataFrame, order: Sequence[str], content: Sequence[str]) -> Da
     )
 
 
-def unscored(df: DataFrame, scored: DataFrame) -> DataFrame:
+def unscored(df: DataFrame, scored: DataFrame, counted: DataFrame | None = None) -> DataFrame:
     """Rows whose key is not in ``scored``, a metrics log or any table with the keys.
 
     Old and new keys are told apart on the key columns alone, and few keys are sent to the log
     rather than the log to them. The rows themselves move only if neither the known nor the
-    new keys are few.
+    new keys are few. ``counted`` is the written result of ``count_keys``, if there is one already.
     """
     log = _renamed_keys(scored, "_s_")
-    asked = spool(df.select(*KEYS).distinct())
+    asked = spool(count_keys(df)) if counted is None else counted
     if fits(asked):
         log = log.join(F.broadcast(asked), same_key(asked, log, "_s_"), "left_semi")
     log = log.distinct()
     known = spool(_renamed_keys(asked.join(log, same_key(asked, log, "_s_"), "left_semi"), "_k_"))
-    if fits(known):
+    n_known = known.count()
+    if not n_known:
+        return df
+    if n_known <= BROADCAST_ROWS:
         return df.join(F.broadcast(known), same_key(df, known, "_k_"), "left_anti")
     fresh = spool(_renamed_keys(asked.join(known, same_key(asked, known, "_k_"), "left_anti"), "_f_"))
     if fits(fresh):
@@ -125,8 +135,9 @@ def score_with_errors(
     ``unique=True`` says that keys are known not to repeat and skips looking for copies.
     """
     answered = _answered(df, spec, evaluator, tie_break, repeats, unique)
-    checked = answered.withColumn("error", answers_problem(spec.questions))
-    return _evaluations(checked, spec, evaluator)
+    rows = _evaluations(answered.withColumn("error", answers_problem(spec.questions)), spec, evaluator)
+    fine = F.col("error").isNull()
+    return rows.withColumns({c: F.when(fine, F.col(c)) for c in ("answers", "quality")})
 
 
 def accepted(scored: DataFrame) -> DataFrame:
@@ -175,9 +186,11 @@ def score(
     The result is lazy: every action on it scores again. Append it to the metrics log or ``pin`` it
     before using it twice, at the latest when scoring costs money.
     """
+    counted = None
     if scored is not None:
-        df = unscored(df, scored)
-    repeats = None if unique else repeated_keys(df)
+        counted = spool(count_keys(df))
+        df = unscored(df, scored, counted)
+    repeats = None if unique else repeated_keys(df, counted)
     if on_error == "fail":
         answered = _answered(df, spec, evaluator, tie_break, repeats, unique)
         rows = _evaluations(answered.filter(answers_or_raise(spec.questions)), spec, evaluator)

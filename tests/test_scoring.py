@@ -85,6 +85,7 @@ def test_very_many_copies_are_dealt_out(spark, monkeypatch, many_partitions):
 @pytest.mark.parametrize("limit", [100_000, 3, 0])
 def test_unscored(notes, monkeypatch, limit):
     monkeypatch.setattr(broadcasting, "BROADCAST_ROWS", limit)
+    monkeypatch.setattr(scoring, "BROADCAST_ROWS", limit)
     log = notes([("1", "v1", "x", "x")] * 5 + [(None, "v1", "x", "x"), ("9", "v9", "x", "x")])
     got = rows(qg.unscored(notes(DATA), log), "row_id", "deployment_version")
     assert got == [("1", "v2"), ("2", "v1")]
