@@ -24,6 +24,7 @@ from qualitygate.operators.metrics import (
     drift_by_version,
     drift_report,
     drift_trend,
+    labels_from_keys,
     latency_percentiles,
     loop_metrics,
     mean_quality_by_version,

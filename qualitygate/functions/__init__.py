@@ -13,7 +13,7 @@ from qualitygate.functions.answers import (
     row_quality,
     token_cost,
 )
-from qualitygate.functions.predicates import check_status, is_blank, is_not_allowed, is_older_than, sample_hash
+from qualitygate.functions.predicates import check_status, is_blank, is_not_allowed, is_older_than, row_key, sample_hash
 from qualitygate.functions.text import fixed
 
 __all__ = [
@@ -31,6 +31,7 @@ __all__ = [
     "is_older_than",
     "item_of",
     "quality_band",
+    "row_key",
     "row_quality",
     "sample_hash",
     "token_cost",

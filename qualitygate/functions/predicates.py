@@ -36,3 +36,8 @@ def check_status(failures: Column) -> Column:
 def sample_hash(key: Column) -> Column:
     """A stable number in [0, 2^32) per key, equal on every engine that has MD5."""
     return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("double")
+
+
+def row_key(row_id: Column, version: Column) -> Column:
+    """``row_id@version`` as one text, for output; operators keep the two columns."""
+    return F.concat(row_id, F.lit("@"), version)

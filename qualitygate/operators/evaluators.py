@@ -72,9 +72,10 @@ class ExpressionEvaluator:
 class BatchEvaluator:
     """A Python scorer called with small pandas batches, e.g. a client of a hosted model.
 
-    ``score(state, questions)`` gets the content columns of up to ``batch_size`` rows and returns
-    a frame with one row per input row, in order: a column per question key (probability, option,
-    or 0-based place on the rubric), optionally ``<key>.confidence`` and ``tokens``.
+    ``score(state, questions)`` gets the content columns of up to ``batch_size`` rows and the
+    questions as plain dicts by key. It returns a frame with one row per input row, in order: a
+    column per question key (probability, option, or 0-based place on the rubric), optionally
+    ``<key>.confidence`` and ``tokens``.
 
     Failed calls are repeated with doubling pauses. Rows with an unusable answer are repeated too,
     without the good ones; after a failed call every row goes alone, so that one bad row does not
@@ -131,7 +132,7 @@ class BatchEvaluator:
 def _batch_function(score, questions, state, out_columns, options, on_error):
     """The function sent to the Python workers. Nested, so that it travels with its helpers."""
     kinds = [(q.key, q.type) for q in questions]
-    questions = tuple(questions)
+    payloads = {q.key: q.payload() for q in questions}
     size, attempts, first_pause = options.batch_size, options.max_retries, options.first_backoff_s
     noul, numeric = NOUL, (NOUL, SCORE)
 
@@ -143,7 +144,7 @@ def _batch_function(score, questions, state, out_columns, options, on_error):
 
         def response(part):
             """One call, brought to the raw columns, with a reason per unusable row."""
-            got = score(part[state].reset_index(drop=True), list(questions))
+            got = score(part[state].reset_index(drop=True), payloads)
             if len(got) != len(part):
                 raise ValueError(f"scorer returned {len(got)} rows for {len(part)}")
             out = pd.DataFrame(index=part.index)

@@ -78,6 +78,13 @@ def one_label_per_key(labels: DataFrame, order: Column | None = None) -> DataFra
     return labels.groupBy(*KEYS).agg(F.max_by("is_good", place).alias("is_good"))
 
 
+def labels_from_keys(labels: DataFrame, key: str = "key", is_good: str = "is_good") -> DataFrame:
+    """Labels given as ``row_id@version`` texts; the version follows the last ``@``."""
+    version = F.substring_index(key, "@", -1)
+    row_id = F.expr(f"left(`{key}`, length(`{key}`) - length(substring_index(`{key}`, '@', -1)) - 1)")
+    return labels.select(row_id.alias(ROW_ID), version.alias(VERSION), F.col(is_good).alias("is_good"))
+
+
 def _verdicts_and_labels(
     evals: DataFrame, labels: DataFrame, threshold: float, label_order: Column | None = None
 ) -> DataFrame:

@@ -93,9 +93,8 @@ def _cut_values(df: DataFrame, groups: Sequence[str], by: str, keep: Callable[[C
     """Per group: the value ``_at`` of the last row to keep, ``_copies`` of it and ``_take`` of those."""
     counted = df.groupBy(*groups, by).agg(F.count("*").alias("_copies"))
     tagged = _buckets(counted, groups, [F.col(by).asc_nulls_last()])
-    last = _reached(tagged, groups, F.col("_copies"), lambda n: F.least(keep(n), n)).filter(
-        F.col("_room") <= F.col("_rows")
-    )
+    reached = _reached(tagged, groups, F.col("_copies"), lambda n: F.least(keep(n), n))
+    last = small_side(reached.filter(F.col("_room") <= F.col("_rows")))
     inside = tagged.join(last, _same(tagged, last, _bucket_pairs(groups)), "inner")
     running = (
         Window.partitionBy(*groups, "_bucket")
@@ -123,25 +122,32 @@ def first_by(
     """
     columns = df.columns
     if df.count() <= SMALL_TABLE_ROWS:
-        place = Window.partitionBy(*groups).orderBy(*[F.col(c).asc_nulls_last() for c in (by, *ties)])
-        numbered = df.withColumn("_place", F.row_number().over(place)).withColumn(
-            "_size", F.count("*").over(Window.partitionBy(*groups))
-        )
-        return numbered.filter(F.col("_place") <= keep(F.col("_size"))).select(*columns)
+        sized = df.withColumn("_size", F.count("*").over(Window.partitionBy(*groups)))
+        return _numbered(sized, groups, (by, *ties), keep(F.col("_size"))).select(*columns)
     cuts = small_side(_cut_values(df, groups, by, keep))
     joined = df.join(cuts, _same(df, cuts, [(g, f"_cut_{g}") for g in groups]), "inner")
     value, at = F.col(by), F.col("_at")
     before = F.when(at.isNull(), value.isNotNull()).otherwise(F.coalesce(value < at, F.lit(False)))
     whole = F.col("_take") == F.col("_copies")
     kept = joined.filter(before | (whole & value.eqNullSafe(at))).select(*columns)
-    if not cuts.filter(~whole).limit(1).count():
+    n_tied = cuts.filter(~whole).agg(F.sum("_copies")).first()[0] or 0
+    if not n_tied:
         return kept
     tied = joined.filter(~whole & value.eqNullSafe(at)).select(*columns, "_take")
-    order = [F.col(c).asc_nulls_last() for c in ties]
-    some = first_rows(tied, [*groups, "_take"], order, lambda n: F.col("_take"))
+    if n_tied <= SMALL_TABLE_ROWS:
+        some = _numbered(tied, groups, ties, F.col("_take"))
+    else:
+        order = [F.col(c).asc_nulls_last() for c in ties]
+        some = first_rows(tied, [*groups, "_take"], order, lambda n: F.col("_take"))
     return kept.unionByName(some.select(*columns))
 
 
+def _numbered(df: DataFrame, groups: Sequence[str], order: Sequence[str], limit: Column) -> DataFrame:
+    """The plain way, for few rows: number each group in one task."""
+    place = Window.partitionBy(*groups).orderBy(*[F.col(c).asc_nulls_last() for c in order])
+    return df.withColumn("_place", F.row_number().over(place)).filter(F.col("_place") <= limit)
+
+
 def value_at_rank(
     df: DataFrame,
     groups: Sequence[str],

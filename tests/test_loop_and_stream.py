@@ -108,3 +108,20 @@ def test_repeats_within_the_delay_are_dropped(spark, two_versions, tmp_path):
     )
     job.awaitTermination()
     assert spark.read.parquet(out).count() == 26
+
+
+def test_jobs_from_the_command_line(spark, two_versions, tmp_path, capsys):
+    import json
+
+    from qualitygate.__main__ import load_evaluator, main
+
+    qg.write_table(two_versions, qg.TICKETS, str(tmp_path / "t"))
+    (tmp_path / "answers.json").write_text(json.dumps({"values": dict(GOOD.values), "tokens": "10"}))
+    common = ["--table", str(tmp_path / "t")]
+    loop = ["loop", *common, "--log", str(tmp_path / "log"), "--evaluator", str(tmp_path / "answers.json")]
+    assert main([*loop, "--as-of", "2024-02-10"]) == 1
+    assert "semantic drift" in capsys.readouterr().out
+    assert main([*loop, "--drift-threshold", "2", "--quality-floor", "0"]) == 0
+    assert main(["export", *common, "--out", str(tmp_path / "out")]) == 0
+    assert "tickets: 26 rows, 13 changed columns" in capsys.readouterr().out
+    assert load_evaluator("tests.test_loop_and_stream:GOOD") == GOOD

@@ -114,3 +114,13 @@ def test_published_figures_keep_their_shape(evals):
     labels = evals(data).select("row_id", "deployment_version", (F.col("deployment_version") == "v1").alias("is_good"))
     rate = qg.disagreement_rate(evals(data), labels).first()
     assert rate.compared == 26 and f"{rate.disagreement_rate:.0%}" == "31%"
+
+
+def test_labels_by_composite_key(spark, evals):
+    from qualitygate.functions import row_key
+
+    keyed = evals(DATA[:2] + [("a@b", "v1", 0.9, 1, 0)]).select(
+        row_key(F.col("row_id"), F.col("deployment_version")).alias("key"), F.lit(True).alias("is_good")
+    )
+    assert rows(keyed, "key") == [("1@v1",), ("2@v1",), ("a@b@v1",)]
+    assert rows(qg.labels_from_keys(keyed)) == [("1", "v1", True), ("2", "v1", True), ("a@b", "v1", True)]

@@ -165,7 +165,7 @@ def test_batch_equals_expression(notes, tmp_path):
 
     def scorer(state, questions, answer):
         mark(f"call{len(state)}")
-        assert list(state.columns) == ["note", "kind"] and [q.key for q in questions] == ["good", "kind", "depth"]
+        assert list(state.columns) == ["note", "kind"] and list(questions) == ["good", "kind", "depth"]
         return answer(state, questions)
 
     evals = qg.score(numbered(notes), SPEC, qg.BatchEvaluator(by_value(scorer), options=FAST))
