@@ -852,7 +852,7 @@ def stream_scored(spark, folder):
     source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
     log = qg.MetricsLog(spark, new_folder(spark, "stream-metrics"))
     job = qg.score_stream(
-        t.as_events(source), t.EVENTS, t.events_evaluator(), log, new_folder(spark, "stream-checkpoint"), on_error="fail"
+        t.as_events(source), t.EVENTS, t.events_evaluator(), log, new_folder(spark, "stream-checkpoint")
     )
     job.awaitTermination()
     return log.read().select("row_id", "deployment_version", F.round("quality", 9).alias("quality"))

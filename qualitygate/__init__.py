@@ -37,11 +37,12 @@ from qualitygate.operators.scoring import (
     per_input_row,
     quarantined,
     score,
+    score_and_split,
     score_with_errors,
     unscored,
 )
 from qualitygate.operators.versions import drift_manifest, fork_version, manifest_in_order, stack_versions
-from qualitygate.plans.loop import LoopResult, run_loop
+from qualitygate.plans.loop import LoopResult, run_loop, score_into
 from qualitygate.sources import (
     MetricsLog,
     evaluations_to_json,

@@ -43,6 +43,7 @@ def loop(spark: SparkSession, args: argparse.Namespace) -> int:
         args.candidate,
         as_of=F.lit(args.as_of).cast("date") if args.as_of else None,
         options=options,
+        rejects=args.rejects,
         skip_scored=args.skip_scored,
         slices=args.slices,
     )
@@ -75,6 +76,7 @@ def parser() -> argparse.ArgumentParser:
     one.add_argument("--drift-threshold", type=float, default=defaults.drift_threshold)
     one.add_argument("--quality-floor", type=float, default=defaults.quality_floor)
     one.add_argument("--review-k", type=int, default=defaults.review_k)
+    one.add_argument("--rejects", help="folder for rows that cannot be scored; without it they end the job")
     one.add_argument("--skip-scored", action="store_true", help="leave out keys the log already has")
     one.add_argument("--slices", type=int, default=1)
 

@@ -167,6 +167,23 @@ def per_input_row(scored: DataFrame, deal: bool = False, chunk: int = COPIES_PER
     return rows.withColumn("_i", F.explode(F.sequence(one, copies))).drop("_i")
 
 
+def _to_score(
+    df: DataFrame, scored: DataFrame | None, unique: bool
+) -> tuple[DataFrame, Repeats | None]:
+    """The rows that are left to score, and which keys repeat among them (None if none can)."""
+    counted = None
+    if scored is not None:
+        counted = spool(count_keys(df))
+        df = unscored(df, scored, counted)
+    return df, None if unique else repeated_keys(df, counted)
+
+
+def _repeat(rows: DataFrame, repeats: Repeats | None, repeat_copies: bool) -> DataFrame:
+    if repeats is not None and repeats.n_keys and repeat_copies:
+        rows = per_input_row(rows, deal=repeats.most > COPIES_PER_CHUNK)
+    return rows.select(*EVALUATION.fieldNames())
+
+
 def score(
     df: DataFrame,
     spec: DatasetSpec,
@@ -174,28 +191,35 @@ def score(
     tie_break: Sequence[str] = (),
     scored: DataFrame | None = None,
     unique: bool = False,
-    on_error: str = "fail",
     repeat_copies: bool = True,
 ) -> DataFrame:
     """Evaluations of ``df``: one per input row, equal keys sharing the result of the first.
 
-    ``scored`` (the metrics log) names keys to leave out. With ``on_error="fail"`` an answer outside
-    its range ends the job, with ``"quarantine"`` such rows are left out here; ``score_with_errors``
-    keeps them.
+    ``scored`` (the metrics log) names keys to leave out. An answer outside its range ends the job;
+    ``score_and_split`` sets such rows aside instead.
 
     The result is lazy: every action on it scores again. Append it to the metrics log or ``pin`` it
     before using it twice, at the latest when scoring costs money.
     """
-    counted = None
-    if scored is not None:
-        counted = spool(count_keys(df))
-        df = unscored(df, scored, counted)
-    repeats = None if unique else repeated_keys(df, counted)
-    if on_error == "fail":
-        answered = _answered(df, spec, evaluator, tie_break, repeats, unique)
-        rows = _evaluations(answered.filter(answers_or_raise(spec.questions)), spec, evaluator)
-    else:
-        rows = accepted(score_with_errors(df, spec, evaluator, tie_break, repeats, unique))
-    if repeats is not None and repeats.n_keys and repeat_copies:
-        rows = per_input_row(rows, deal=repeats.most > COPIES_PER_CHUNK)
-    return rows.select(*EVALUATION.fieldNames())
+    df, repeats = _to_score(df, scored, unique)
+    answered = _answered(df, spec, evaluator, tie_break, repeats, unique)
+    rows = _evaluations(answered.filter(answers_or_raise(spec.questions)), spec, evaluator)
+    return _repeat(rows, repeats, repeat_copies)
+
+
+def score_and_split(
+    df: DataFrame,
+    spec: DatasetSpec,
+    evaluator: Evaluator,
+    tie_break: Sequence[str] = (),
+    scored: DataFrame | None = None,
+    unique: bool = False,
+    repeat_copies: bool = True,
+) -> tuple[DataFrame, DataFrame]:
+    """The evaluations, and the keys that could not be scored with the reason.
+
+    Rows are scored once, into the shared folder, and both tables read from there.
+    """
+    df, repeats = _to_score(df, scored, unique)
+    rows = spool(score_with_errors(df, spec, evaluator, tie_break, repeats, unique))
+    return _repeat(accepted(rows), repeats, repeat_copies), quarantined(rows)

@@ -15,12 +15,35 @@ from qualitygate.operators.evaluators import Evaluator
 from qualitygate.operators.gate import decide, review_queue
 from qualitygate.operators.metrics import drift_by_version, drift_trend, loop_metrics
 from qualitygate.operators.routing import route_prefix
-from qualitygate.operators.scoring import score
+from qualitygate.operators.scoring import score, score_and_split
 from qualitygate.plans.scratch import pin
 from qualitygate.sources.metrics_log import MetricsLog
 from qualitygate.spec import KEYS, VERSION, DatasetSpec, Options
 
 
+def score_into(
+    log: MetricsLog,
+    df: DataFrame,
+    spec: DatasetSpec,
+    evaluator: Evaluator,
+    run_id: str,
+    scored: DataFrame | None = None,
+    repeat_copies: bool = True,
+    rejects: str | None = None,
+) -> None:
+    """Score ``df`` and append the evaluations to ``log``.
+
+    Rows that cannot be scored end the job, or are appended with the reason to the Parquet folder
+    ``rejects`` if there is one.
+    """
+    if rejects is None:
+        log.append(score(df, spec, evaluator, scored=scored, repeat_copies=repeat_copies), run_id)
+        return
+    evals, bad = score_and_split(df, spec, evaluator, scored=scored, repeat_copies=repeat_copies)
+    log.append(evals, run_id)
+    bad.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(rejects)
+
+
 @dataclass(frozen=True)
 class LoopResult:
     """What a loop left behind. Tables are computed when asked for, from the log."""
@@ -56,14 +79,15 @@ def run_loop(
     candidates: Sequence[str],
     as_of: Column | None = None,
     options: Options = Options(),
-    on_error: str = "fail",
+    rejects: str | None = None,
     skip_scored: bool = False,
     slices: int = 1,
 ) -> LoopResult:
     """Run one loop over the ``baseline`` and ``candidates`` versions of ``df``.
 
     The single forced step is the append to ``log``; gate and metrics read this run's rows back from
-    there and never score again. Failing checks are reported and do not stop scoring.
+    there and never score again. Failing checks are reported and do not stop scoring. Rows that
+    cannot be scored end the job unless ``rejects`` names a folder for them.
 
     ``slices`` splits the work by a hash of the row id into that many appends, so that a lost driver
     costs at most one slice; start again with ``skip_scored=True`` to go on where it stopped.
@@ -81,7 +105,7 @@ def run_loop(
         if slices > 1:
             share = routed.filter(F.pmod(F.floor(sample_hash(F.coalesce(KEYS[0], F.lit("")))), F.lit(slices)) == part)
         seen = log.read() if skip_scored else None
-        log.append(score(share, spec, evaluator, scored=seen, on_error=on_error), run_id=run_id)
+        score_into(log, share, spec, evaluator, run_id, scored=seen, rejects=rejects)
 
     mine = log.read()
     if not skip_scored:

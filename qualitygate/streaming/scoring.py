@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from qualitygate.operators.checks import passing_rows
 from qualitygate.operators.evaluators import Evaluator
 from qualitygate.operators.routing import route_hash_sample
-from qualitygate.operators.scoring import score
+from qualitygate.plans.loop import score_into
 from qualitygate.sources.metrics_log import MetricsLog
 from qualitygate.spec import KEYS, DatasetSpec
 
@@ -33,7 +33,7 @@ def score_stream(
     rate: float = 1.0,
     only_passing: bool = False,
     as_of: Column | None = None,
-    on_error: str = "quarantine",
+    rejects: str | None = None,
     seen_since: str | None = None,
     on_batch: Callable[[DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
@@ -43,7 +43,8 @@ def score_stream(
     driver, or a row that comes twice, is neither scored nor appended again. Size the batches with
     the source's own options (``maxFilesPerTrigger``); each one is written before the next begins,
     which bounds the work a failure can lose. ``seen_since`` (a date) limits how far back the log is
-    searched when repeats are known to come within some days. ``on_batch`` gets every micro-batch before scoring,
+    searched when repeats are known to come within some days. Rows that cannot be scored stop the
+    stream unless ``rejects`` names a folder for them. ``on_batch`` gets every micro-batch before scoring,
     e.g. for deterministic checks.
     """
     log.create()
@@ -56,8 +57,7 @@ def score_stream(
             rows = passing_rows(batch, spec, as_of) if only_passing else batch
             routed = route_hash_sample(rows, spec, rate)
             seen = log.read(seen_since)
-            evals = score(routed, spec, evaluator, scored=seen, on_error=on_error, repeat_copies=False)
-            log.append(evals, run_id=f"batch-{batch_id}")
+            score_into(log, routed, spec, evaluator, f"batch-{batch_id}", seen, repeat_copies=False, rejects=rejects)
         finally:
             batch.unpersist()
 

@@ -11,7 +11,7 @@ from tools.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    return local_session("4", partitions=4)
+    return local_session("4", partitions=3)
 
 
 @pytest.fixture

@@ -83,6 +83,22 @@ def test_stream_equals_batch_and_replays_add_nothing(spark, two_versions, tmp_pa
     assert len(run("c1")) == 39
 
 
+def test_rows_that_cannot_be_scored_are_kept_aside(spark, two_versions, tmp_path):
+    source, rejects = str(tmp_path / "in"), str(tmp_path / "rejects")
+    two_versions.coalesce(1).write.parquet(source)
+    values = {**GOOD.values, "category_correct": "CASE WHEN row_id = 'T03' THEN 2.0D ELSE 0.9D END"}
+    partly = qg.ExpressionEvaluator(values)
+    log = qg.MetricsLog(spark, str(tmp_path / "log"))
+    qg.score_stream(stream_of(spark, source), qg.TICKETS, partly, log, str(tmp_path / "c"), rejects=rejects).awaitTermination()
+    want = [("T03", v, "category_correct: noul is not in [0, 1]") for v in ("v1", "v2")]
+    assert rows(spark.read.parquet(rejects), "row_id", "deployment_version", "error") == want
+    assert log.read().count() == 24
+    qg.run_loop(two_versions, qg.TICKETS, partly, log, "v1", ["v2"], rejects=rejects, skip_scored=True)
+    assert log.read().count() == 24 and spark.read.parquet(rejects).count() == 4
+    with pytest.raises(Exception, match="category_correct: noul is not in"):
+        qg.run_loop(two_versions, qg.TICKETS, partly, log, "v1", ["v2"])
+
+
 def test_stream_options(spark, two_versions, tmp_path):
     source = str(tmp_path / "in")
     bad = two_versions.filter("row_id = 'T01'").withColumn("resolution_summary", F.lit(" ")).withColumn("row_id", F.lit("B"))

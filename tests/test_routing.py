@@ -13,8 +13,10 @@ def hundred(tickets):
     return tickets([(f"T{i:03d}", "v1", f"text {i}", "other", "s", "2024-01-01") for i in range(100)])
 
 
-@pytest.mark.parametrize("rate,n", [(1.0, 100), (1.5, 100), (0.29, 28), (0.0, 1), (-1, 1), (0.999, 99)])
-@pytest.mark.parametrize("small", [100_000, 0])
+@pytest.mark.parametrize(
+    "rate,n,small",
+    [(1.0, 100, 0), (1.5, 100, 0), (0.29, 28, 0), (0.29, 28, 100_000), (0.0, 1, 100_000), (-1, 1, 0), (0.999, 99, 0)],
+)
 def test_prefix_size_and_order(hundred, many_partitions, monkeypatch, rate, n, small):
     monkeypatch.setattr(ranking, "SMALL_TABLE_ROWS", small)
     got = qg.route_prefix(hundred, qg.TICKETS, rate, "v1")
