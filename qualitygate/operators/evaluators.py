@@ -1,7 +1,7 @@
 """Evaluators: given rows and questions, add typed answers.
 
 An evaluator has a ``name``, a price and one method, ``answers(df, spec)``, which returns the
-same rows with four more columns: ``answers`` (map of question key to answer), ``tokens``,
+keys and bookkeeping columns of the same rows (and content, if it likes) with four more columns: ``answers`` (map of question key to answer), ``tokens``,
 ``latency_ms`` and ``error``: NULL for a scored row, else the reason, and then its answers do not count.
 """
 
@@ -108,8 +108,11 @@ class BatchEvaluator:
             T.StructField("latency_ms", T.DoubleType()),
             T.StructField("error", T.StringType()),
         ]
-        schema = T.StructType([*df.schema.fields, *raw, *tail])
-        run = _batch_function(self.score, spec.questions, state_columns(df), schema.fieldNames(), self.options, self.on_error)
+        state = state_columns(df)
+        # texts go to the workers and do not come back
+        kept = [f for f in df.schema.fields if f.name not in state]
+        schema = T.StructType([*kept, *raw, *tail])
+        run = _batch_function(self.score, spec.questions, state, schema.fieldNames(), self.options, self.on_error)
         if self.throttle:
             df = df.repartition(self.options.max_concurrency, *KEYS)
         answered = df.mapInPandas(run, schema)
@@ -120,13 +123,7 @@ class BatchEvaluator:
             {q.key: f"{q.key}.confidence" for q in spec.questions},
             first_level=0,
         )
-        return answered.select(
-            *df.columns,
-            mapped.alias("answers"),
-            "tokens",
-            "latency_ms",
-            "error",
-        )
+        return answered.select(*[f.name for f in kept], mapped.alias("answers"), "tokens", "latency_ms", "error")
 
 
 def _batch_function(score, questions, state, out_columns, options, on_error):
@@ -199,7 +196,8 @@ def _batch_function(score, questions, state, out_columns, options, on_error):
                 pending = last.index
                 if not len(pending):
                     break
-            result = part.join(pd.concat(done)) if done else part.copy()
+            result = part.drop(columns=state)
+            result = result.join(pd.concat(done)) if done else result
             result["error"] = None
             if len(pending):
                 if on_error == "fail":
