@@ -2,11 +2,22 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from qualitygate.llm import byte_bpe, packing
 from qualitygate.llm.common import documents
 from qualitygate.llm.exact_dedup import exact_groups
 from qualitygate.llm.license_scan import license_scan
 
 
+def op3_byte_bpe(spark, sf_dir):
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    coded = byte_bpe.decode(byte_bpe.encode(documents(spark, sf_dir), ranks), ranks)
+    listed = F.concat_ws(",", F.col("ids").cast("array<string>"))
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
 def op4_exact_dedup(spark, sf_dir):
     return exact_groups(documents(spark, sf_dir))
 
@@ -15,7 +26,12 @@ def op7_license_scan(spark, sf_dir):
     return license_scan(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op4_exact_dedup, op7_license_scan)}
+def op8_best_fit_packing(spark, sf_dir):
+    pieces = packing.token_pieces(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(pieces)
+
+
+QUERIES = {f.__name__: f for f in (op3_byte_bpe, op4_exact_dedup, op7_license_scan, op8_best_fit_packing)}
 
 ORACLE = {
     "op4_exact_dedup": r"""
