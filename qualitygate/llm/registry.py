@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from qualitygate.llm import byte_bpe, packing
+from qualitygate.llm import byte_bpe, packing, simhash
 from qualitygate.llm.common import documents
 from qualitygate.llm.exact_dedup import exact_groups
 from qualitygate.llm.license_scan import license_scan
@@ -22,6 +22,10 @@ def op4_exact_dedup(spark, sf_dir):
     return exact_groups(documents(spark, sf_dir))
 
 
+def op6_simhash(spark, sf_dir):
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
 def op7_license_scan(spark, sf_dir):
     return license_scan(documents(spark, sf_dir))
 
@@ -31,7 +35,7 @@ def op8_best_fit_packing(spark, sf_dir):
     return packing.pack(pieces)
 
 
-QUERIES = {f.__name__: f for f in (op3_byte_bpe, op4_exact_dedup, op7_license_scan, op8_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op3_byte_bpe, op4_exact_dedup, op6_simhash, op7_license_scan, op8_best_fit_packing)}
 
 ORACLE = {
     "op4_exact_dedup": r"""
