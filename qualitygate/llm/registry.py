@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from qualitygate.llm import byte_bpe, packing, simhash
+from qualitygate.llm import byte_bpe, neighbours, packing, quality, simhash
 from qualitygate.llm.common import documents
 from qualitygate.llm.exact_dedup import exact_groups
 from qualitygate.llm.license_scan import license_scan
@@ -35,7 +35,15 @@ def op8_best_fit_packing(spark, sf_dir):
     return packing.pack(pieces)
 
 
-QUERIES = {f.__name__: f for f in (op3_byte_bpe, op4_exact_dedup, op6_simhash, op7_license_scan, op8_best_fit_packing)}
+def op9_quality_classifier(spark, sf_dir):
+    return quality.quality_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op10_nearest_neighbours(spark, sf_dir):
+    return neighbours.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+QUERIES = {f.__name__: f for f in (op3_byte_bpe, op4_exact_dedup, op6_simhash, op7_license_scan, op8_best_fit_packing, op9_quality_classifier, op10_nearest_neighbours)}
 
 ORACLE = {
     "op4_exact_dedup": r"""
