@@ -9,6 +9,15 @@ from qualitygate.llm import byte_bpe, neighbours, packing, quality, simhash
 from qualitygate.llm.common import documents
 from qualitygate.llm.exact_dedup import exact_groups
 from qualitygate.llm.license_scan import license_scan
+from qualitygate.llm.repeats import removed
+from qualitygate.llm.substring_dedup import drop_repeated_words
+from qualitygate.llm.suffix_dedup import drop_repeated_bytes
+
+
+def op1_suffix_array_dedup(spark, sf_dir):
+    kept = drop_repeated_bytes(documents(spark, sf_dir))
+    n_spans = F.size("spans").cast("long").alias("n_spans")
+    return kept.select("doc_id", F.col("n_units").alias("n_bytes"), removed().alias("n_removed"), n_spans, F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op3_byte_bpe(spark, sf_dir):
@@ -22,6 +31,11 @@ def op4_exact_dedup(spark, sf_dir):
     return exact_groups(documents(spark, sf_dir))
 
 
+def op5_substring_dedup(spark, sf_dir):
+    kept = drop_repeated_words(documents(spark, sf_dir))
+    return kept.select("doc_id", F.col("n_units").alias("n_words"), removed().alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_simhash(spark, sf_dir):
     return simhash.near_duplicates(documents(spark, sf_dir))
 
@@ -43,7 +57,7 @@ def op10_nearest_neighbours(spark, sf_dir):
     return neighbours.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
-QUERIES = {f.__name__: f for f in (op3_byte_bpe, op4_exact_dedup, op6_simhash, op7_license_scan, op8_best_fit_packing, op9_quality_classifier, op10_nearest_neighbours)}
+QUERIES = {f.__name__: f for f in (op1_suffix_array_dedup, op3_byte_bpe, op4_exact_dedup, op5_substring_dedup, op6_simhash, op7_license_scan, op8_best_fit_packing, op9_quality_classifier, op10_nearest_neighbours)}
 
 ORACLE = {
     "op4_exact_dedup": r"""
