@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from qualitygate.llm.common import spool, text_of
+from qualitygate.llm.common import text_of
 from qualitygate.llm.pretokens import split, text_blocks
 
 
@@ -57,17 +57,19 @@ def _gather(starts: np.ndarray, lengths: np.ndarray, values: np.ndarray) -> np.n
 
 
 def _blocks(docs: DataFrame, parts: int, text: str, key: str) -> DataFrame:
-    """Rows of two kinds: a block's documents and word numbers (part -1), and its words by part."""
+    """Rows of two kinds: a block's documents and word numbers (part -1), sent to the block, and its words by part, sent there."""
     kind = docs.schema[key].dataType
-    schema = T.StructType(
+    payload = T.StructType(
         [T.StructField("block", T.LongType()), T.StructField("part", T.IntegerType()), T.StructField("words", T.BinaryType()), T.StructField("numbers", T.BinaryType()), T.StructField("part_of", T.BinaryType()), T.StructField("counts", T.ArrayType(T.LongType())), T.StructField("ids_of_docs", T.ArrayType(kind))]
     )
+    # Not null, so that the join adds no filter of its own and both readers see the same exchange.
+    schema = T.StructType([T.StructField("goal", T.LongType(), False), T.StructField("payload", payload, False)])
 
     def cut(batches):
         from pyspark import TaskContext
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        shape, block = to_arrow_schema(schema), TaskContext.get().partitionId() << 32
+        shape, block = to_arrow_schema(schema), parts + (TaskContext.get().partitionId() << 32)
         for batch, texts in text_blocks(batches):
             tokens, counts = split(texts)
             words = [w for w, _ in Counter(tokens).most_common()]  # frequent words get small numbers
@@ -83,7 +85,9 @@ def _blocks(docs: DataFrame, parts: int, text: str, key: str) -> DataFrame:
                 if own:
                     data = _packed([len(w) for w in own])
                     rows.append([block, p, len(data).to_bytes(4, "little") + data + zlib.compress(b"".join(own), 1), None, None, None, None])
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), shape, strict=True)], schema=shape)
+            inner = shape.field("payload").type
+            whole = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), inner, strict=True)], fields=list(inner))
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] if r[1] < 0 else r[1] for r in rows], pa.int64()), whole], schema=shape)
             block += 1
 
     return docs.select(F.col(key).alias("doc_id"), text_of(text).alias("text")).mapInArrow(cut, schema)
@@ -96,7 +100,9 @@ def _encode_words(ranks: str):
         encoding, known = _encoding(ranks), {}
         for batch in batches:
             out = []
-            for packed in batch.column("words").to_pylist():
+            rows = batch.column("payload").to_pylist()
+            rows = [r for r in rows if r["part"] >= 0]
+            for packed in (r["words"] for r in rows):
                 n = int.from_bytes(packed[:4], "little")
                 raw, lengths = zlib.decompress(packed[4 + n :]), _unpacked(packed[4 : 4 + n])
                 ends = np.cumsum(lengths).tolist()
@@ -107,46 +113,41 @@ def _encode_words(ranks: str):
                 ids = [known[w] for w in words]
                 sizes = _packed([len(i) // 4 for i in ids])
                 out.append(len(sizes).to_bytes(4, "little") + sizes + _packed(np.frombuffer(b"".join(ids), "<u4")))
-            yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("part"), pa.array(out, pa.binary())], names=["block", "part", "ids"])
+            yield pa.RecordBatch.from_arrays([pa.array([r["block"] for r in rows], pa.int64()), pa.array([r["part"] for r in rows], pa.int32()), pa.array(out, pa.binary())], names=["block", "part", "ids"])
 
     return encode
 
 
 def _assemble(kind: T.DataType):
-    """Per block, in order of part: first its documents, then the ids of its words."""
+    """One row per block: its documents and the ids of its words, in order of part."""
     schema = T.StructType([T.StructField("doc_id", kind), T.StructField("ids", T.ArrayType(T.IntegerType(), False))])
 
-    def finish(head, sizes, ids, shape):
-        numbers, part_of = _unpacked(head["numbers"]), _unpacked(head["part_of"])
-        order = np.argsort(part_of, kind="stable")
-        size, start = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
-        every = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
-        size[order] = every
-        start[order] = np.cumsum(every) - every
-        flat = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
-        lengths = size[numbers]
-        ends = np.append(0, np.cumsum(lengths))
-        tokens = _gather(start[numbers], lengths, flat).astype(np.int32)
-        offsets = ends[np.append(0, np.cumsum(head["counts"]))].astype(np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(tokens))
-        return pa.RecordBatch.from_arrays([pa.array(head["ids_of_docs"], shape.field(0).type), lists.cast(shape.field(1).type)], schema=shape)
-
     def run(batches):
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        shape, head, sizes, ids = to_arrow_schema(schema), None, [], []
+        shape = to_arrow_schema(schema)
         for batch in batches:
-            for row in batch.to_pylist():
-                if row["part"] < 0:
-                    if head:
-                        yield finish(head, sizes, ids, shape)
-                    head, sizes, ids = row, [], []
-                else:
-                    n = int.from_bytes(row["ids"][:4], "little")
-                    sizes.append(_unpacked(row["ids"][4 : 4 + n]).astype(np.int64))
-                    ids.append(_unpacked(row["ids"][4 + n :]))
-        if head:
-            yield finish(head, sizes, ids, shape)
+            for i in range(len(batch)):
+                row = batch.slice(i, 1).to_pylist()[0]
+                if row["payload"]["part"] >= 0:
+                    continue
+                head, sizes, ids = row["payload"], [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
+                for packed in sorted(row["packs"] or [], key=lambda p: p["part"]):
+                    n = int.from_bytes(packed["ids"][:4], "little")
+                    sizes.append(_unpacked(packed["ids"][4 : 4 + n]).astype(np.int64))
+                    ids.append(_unpacked(packed["ids"][4 + n :]))
+                numbers, part_of = _unpacked(head["numbers"]), _unpacked(head["part_of"])
+                order = np.argsort(part_of, kind="stable")
+                every = np.concatenate(sizes)
+                size, start = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
+                size[order] = every
+                start[order] = np.cumsum(every) - every
+                lengths = size[numbers]
+                ends = np.append(0, np.cumsum(lengths))
+                tokens = _gather(start[numbers], lengths, np.concatenate(ids)).astype(np.int32)
+                offsets = ends[np.append(0, np.cumsum(head["counts"]))].astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(tokens))
+                yield pa.RecordBatch.from_arrays([pa.array(head["ids_of_docs"], shape.field(0).type), lists.cast(shape.field(1).type)], schema=shape)
 
     return run, schema
 
@@ -161,13 +162,14 @@ def encode(docs: DataFrame, ranks: str, text: str = "text", key: str = "doc_id")
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = spool(_blocks(docs, parts, text, key), "bpe")
-    words = blocks.where("part >= 0").select("block", "part", "words").repartition(parts, "part")
-    ids = words.mapInArrow(_encode_words(ranks), "block long, part int, ids binary")
-    heads = blocks.where("part < 0").drop("words")
-    every = heads.unionByName(ids, allowMissingColumns=True).repartition(parts, "block").sortWithinPartitions("block", "part")
+    # One exchange carries both kinds of rows: words to where all copies of a word meet, the rest to where
+    # the block is put together. It is read twice and written once.
+    sent = _blocks(docs, parts, text, key).repartition(parts, "goal")
+    ids = sent.mapInArrow(_encode_words(ranks), "block long, part int, ids binary")
+    packs = ids.groupBy("block").agg(F.collect_list(F.struct("part", "ids")).alias("packs"))  # one pack per part
+    whole = sent.join(packs.hint("shuffle_hash"), F.col("goal") == F.col("block"), "left")  # no filter here: it would part the exchanges
     run, schema = _assemble(docs.schema[key].dataType)
-    return every.mapInArrow(run, schema)
+    return whole.select("payload", "packs").mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, ranks: str) -> DataFrame:
