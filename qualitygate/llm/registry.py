@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from qualitygate.llm import byte_bpe, neighbours, packing, quality, simhash
+from qualitygate.llm import byte_bpe, neighbours, packing, quality, secret_scan, simhash
 from qualitygate.llm.common import documents
 from qualitygate.llm.exact_dedup import exact_groups
 from qualitygate.llm.license_scan import license_scan
@@ -20,6 +20,11 @@ def op1_suffix_array_dedup(spark, sf_dir):
     return kept.select("doc_id", F.col("n_units").alias("n_bytes"), removed().alias("n_removed"), n_spans, F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_secret_scan(spark, sf_dir):
+    found = secret_scan.secret_findings(documents(spark, sf_dir))
+    return found.select("doc_id", "start", "stop", F.sha2("secret", 256).alias("secret_sha256"), "score")
+
+
 def op3_byte_bpe(spark, sf_dir):
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     coded = byte_bpe.decode(byte_bpe.encode(documents(spark, sf_dir), ranks), ranks)
@@ -57,7 +62,7 @@ def op10_nearest_neighbours(spark, sf_dir):
     return neighbours.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_array_dedup, op3_byte_bpe, op4_exact_dedup, op5_substring_dedup, op6_simhash, op7_license_scan, op8_best_fit_packing, op9_quality_classifier, op10_nearest_neighbours)}
+QUERIES = {f.__name__: f for f in (op1_suffix_array_dedup, op2_secret_scan, op3_byte_bpe, op4_exact_dedup, op5_substring_dedup, op6_simhash, op7_license_scan, op8_best_fit_packing, op9_quality_classifier, op10_nearest_neighbours)}
 
 ORACLE = {
     "op4_exact_dedup": r"""
