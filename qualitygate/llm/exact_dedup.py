@@ -15,6 +15,8 @@ from qualitygate.llm.common import WHITE, numbered, spool, text_of
 #: A text with more than 1 / HOT_SHARE of all rows is dealt out under several salts;
 #: so at most HOT_SHARE texts are hot, whatever the size of the input.
 HOT_SHARE = 2000
+#: Characters of a text that splitters are made of.
+FRONT = 24
 
 
 def _numbered_texts(docs: DataFrame, text: str, key: str, carry: bool) -> DataFrame:
@@ -31,9 +33,11 @@ def _groups(rows: DataFrame) -> DataFrame:
     hot = hot.select("code", F.ceil(F.col("count") / limit).cast("long").alias("salts"))  # at most HOT_SHARE rows
     salt = F.coalesce(F.pmod(F.col("row"), F.col("salts")), F.lit(0))
     dealt = rows.select("normal", "code", "digest", "points", "doc_id", "row").join(F.broadcast(hot), "code", "left").withColumn("salt", salt)
-    ordered = dealt.select("normal", "salt", "digest", F.struct((-F.col("points")).alias("points"), F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row").alias("place")).repartitionByRange("normal", "salt")
-    # The range partitioning already keeps (normal, salt) together: sort and compare in place, no second exchange.
-    runs = ordered.groupBy("normal", "salt").agg(F.min("place").alias("best"), F.count(F.lit(1)).alias("n"), F.first("digest").alias("digest"))
+    place = F.struct((-F.col("points")).alias("points"), F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row").alias("place")
+    # Splitters are sampled on the start of the text and its code, so that no whole texts go to the driver.
+    ordered = dealt.select(F.substring("normal", 1, FRONT).alias("front"), "code", "salt", "normal", "digest", place).repartitionByRange("front", "code", "salt")
+    # The range partitioning already keeps equal texts of a salt together: sort and compare in place, no second exchange.
+    runs = ordered.groupBy("front", "code", "salt", "normal").agg(F.min("place").alias("best"), F.count(F.lit(1)).alias("n"), F.first("digest").alias("digest"))
     return spool(runs.groupBy("digest").agg(F.min("best").alias("best"), F.sum("n").alias("group_size")), "exact")
 
 

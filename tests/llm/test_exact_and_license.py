@@ -38,7 +38,7 @@ def test_hot_text_is_dealt_out_with_the_same_result(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = exact_groups(docs).collect()
     assert {(r.keep_id, r.group_size) for r in got} == {(170, 401), (900, 1)}
-    assert [r.doc_id for r in got if r.kept] == [170, 900] or {r.doc_id for r in got if r.kept} == {170, 900}
+    assert {r.doc_id for r in got if r.kept} == {170, 900}
 
 
 def test_repeated_rows_null_ids_empty_table_and_clashing_columns(spark):
@@ -52,8 +52,8 @@ def test_repeated_rows_null_ids_empty_table_and_clashing_columns(spark):
 def test_sort_needs_no_second_exchange(spark):
     docs = table(spark, ["a", "b"] * 50)
     rows = exact_dedup._numbered_texts(docs, "text", "doc_id", False)
-    dealt = rows.withColumn("salt", F.pmod("row", F.lit(3))).repartitionByRange("normal", "salt")
-    plan = dealt.groupBy("normal", "salt").agg(F.min(F.struct("points", "row")))._jdf.queryExecution().executedPlan().toString()
+    dealt = rows.withColumn("salt", F.pmod("row", F.lit(3))).withColumn("front", F.substring("normal", 1, 3)).repartitionByRange("front", "code", "salt")
+    plan = dealt.groupBy("front", "code", "salt", "normal").agg(F.min(F.struct("points", "row")))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "rangepartitioning" in plan
 
 
@@ -76,5 +76,5 @@ def test_license_base_against_brute_force(spark):
 def test_license_method_labels(spark):
     texts = ["Permission is hereby granted, free of charge, to any person obtaining a copy of it", "Permission granted hereby free charge person copy", "Licensed under CC BY-NC 4.0.", "Mozilla Public License, v. 2.0", "subject to the terms of the Mozilla Public License, v. 2.0", "plain words"]
     got = {r.doc_id: r.labels for r in license_scan(table(spark, texts)).collect()}
-    assert got == {0: "mit", 1: "", 2: "cc-by-nc", 3: "", 4: "mpl", 5: ""} or got[3] in ("", "mpl") and {**got, 3: ""} == {0: "mit", 1: "", 2: "cc-by-nc", 3: "", 4: "mpl", 5: ""}
+    assert {i: got[i] for i in (0, 1, 2, 4, 5)} == {0: "mit", 1: "", 2: "cc-by-nc", 4: "mpl", 5: ""}
     assert license_scan(table(spark, []).limit(0)).count() == 0
