@@ -11,6 +11,7 @@ from functools import lru_cache
 from itertools import chain, pairwise
 
 import numpy as np
+import pyarrow.compute as pc
 
 LETTER, DIGIT, SPACE, OTHER, END = 1, 2, 3, 4, 9
 #: The contractions of the pattern, without their apostrophe.
@@ -119,15 +120,13 @@ def split(texts: list[str]) -> tuple[list[str], np.ndarray]:
     return tokens, np.array(counts, np.int64)
 
 
-def text_blocks(batches, size: int = 4_000_000):
-    """Rows of Arrow batches regrouped so that a block holds about ``size`` characters: (columns, texts)."""
+def text_blocks(batches, size: int = 2_000_000):
+    """Rows of Arrow batches regrouped so that a block holds about ``size`` bytes of text, or one text: (columns, texts)."""
     for batch in batches:
-        texts = batch.column("text").to_pylist()
+        ends = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False).astype(np.int64))
         a = 0
-        while a < len(texts):
-            b, n = a, 0
-            while b < len(texts) and (b == a or n + len(texts[b]) <= size):
-                n += len(texts[b])
-                b += 1
-            yield batch.slice(a, b - a), texts[a:b]
+        while a < len(ends):
+            b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + size, "right")))
+            rows = batch.slice(a, b - a)
+            yield rows, rows.column("text").to_pylist()
             a = b
