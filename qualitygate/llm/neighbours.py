@@ -20,8 +20,8 @@ SAMPLE, DEGREE = 9000, 12
 PART_ROWS, SAMPLE_PER_PART = 800, 140
 #: A query goes to the most probable parts until they should hold this share of its neighbours.
 EXPECTED = 0.95
-#: Sizes of what is compared at once.
-ROWS_AT_ONCE, QUERIES_AT_ONCE = 4096, 1024
+#: Sizes of what is compared at once; small parts share a cell of about that many rows.
+ROWS_AT_ONCE, QUERIES_AT_ONCE = 8192, 1024
 
 
 def _usable(vector: str) -> Column:
@@ -109,8 +109,11 @@ def _matrix(column, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
 
 
-def _top(q_rows, q, rows, ids, vectors, k):
-    """(query, row) pairs of the exact ``k`` best per query within one block, with scores."""
+def _top(q_rows, q, reached, rows, ids, parts, vectors, k):
+    """(query, row) pairs of the exact ``k`` best per query within one block, with scores.
+
+    ``reached`` says which parts each query is routed to.
+    """
     distinct, same = np.unique(vectors, axis=0, return_inverse=True)
     order = np.lexsort((rows, ids, same.ravel()))  # of equal vectors only the first k + 1 can count
     group = same.ravel()[order]
@@ -118,11 +121,11 @@ def _top(q_rows, q, rows, ids, vectors, k):
     order = order[rank <= k]
     group = same.ravel()[order]
     begin, end = np.searchsorted(group, np.arange(len(distinct))), np.searchsorted(group, np.arange(len(distinct)), "right")
-    s = q @ distinct.T
+    s = np.where(reached[:, parts[order[begin]]], q @ distinct.T, -np.inf)
     take = min(k + 1, len(distinct))
     least = np.partition(s, len(distinct) - take, axis=1)[:, len(distinct) - take]
     slack = 1e-9 * np.sqrt((q**2).sum(axis=1)) * np.sqrt((distinct**2).sum(axis=1)).max()
-    at, which = np.nonzero(s >= (least - slack)[:, None])
+    at, which = np.nonzero((s >= (least - slack)[:, None]) & (s > -np.inf))
     score = (q[at] * distinct[which]).sum(axis=1)
     n = (end - begin)[which]
     which_row = order[np.repeat(begin[which] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
@@ -142,7 +145,11 @@ def _compare(width: int, k: int):
         left, right = left.combine_chunks(), right.combine_chunks()
         rows, ids = left["row"].to_numpy(), left["vec_id"].to_numpy()
         q_rows, q_ids = right["row"].to_numpy(), right["vec_id"].to_numpy()
-        at, of, score = _top(q_rows, _matrix(right["vector"].combine_chunks(), width), rows, ids, _matrix(left["vector"].combine_chunks(), width), k)
+        parts = left["part"].to_numpy()
+        lists = right["parts"].combine_chunks()
+        reached = np.zeros((len(q_rows), 1 + max(int(parts.max()), int(lists.flatten().to_numpy().max()))), bool)
+        reached[np.repeat(np.arange(len(q_rows)), lists.value_lengths().to_numpy()), lists.flatten().to_numpy()] = True
+        at, of, score = _top(q_rows, _matrix(right["vector"].combine_chunks(), width), reached, rows, ids, parts, _matrix(left["vector"].combine_chunks(), width), k)
         return pa.table({"query_row": q_rows[at], "query_id": q_ids[at], "vec_id": ids[of], "row": rows[of], "score": score})
 
     return run
@@ -204,19 +211,23 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, key: str = "vec_id
             yield pa.RecordBatch.from_arrays([*[c.take(pa.array(at)) for c in batch.columns], pa.array(order[at, rank].astype(np.int32))], names=[*batch.schema.names, "part"])
 
     queries = usable.where(F.col("vec_id") % every == 0)
-    routed = spool(queries.mapInArrow(route, fields), "vectors")
-    asked = np.zeros(parts, np.int64)
-    for r in routed.groupBy("part").count().collect():
-        asked[r["part"]] = r["count"]
+    cells = np.cumsum(sizes) - sizes  # small parts one after the other share a cell, a large one has its own
+    cells = np.unique(np.maximum.accumulate(cells // ROWS_AT_ONCE), return_inverse=True)[1]
+    cell_of = F.get(F.array(*[F.lit(int(c)) for c in cells]), F.col("part"))
+    routed = queries.mapInArrow(route, fields).groupBy("row", "vec_id", "vector", cell_of.alias("cell")).agg(F.collect_list("part").alias("parts"))  # at most all parts
+    routed = spool(routed, "vectors")
+    held, asked = np.bincount(cells, weights=sizes).astype(int), np.zeros(cells.max() + 1, int)
+    for r in routed.groupBy("cell").count().collect():  # one row per cell
+        asked[r["cell"]] = r["count"]
 
     def pieces(counts, at_once) -> Column:
-        return F.get(F.array(*[F.lit(int(max(1, -(-n // at_once)))) for n in counts]), F.col("part"))
+        return F.get(F.array(*[F.lit(int(max(1, -(-n // at_once)))) for n in counts]), F.col("cell"))
 
-    of_rows, of_queries = pieces(sizes, ROWS_AT_ONCE), pieces(asked, QUERIES_AT_ONCE)
+    of_rows, of_queries = pieces(held, ROWS_AT_ONCE), pieces(asked, QUERIES_AT_ONCE)
     dealt = F.xxhash64("row")
-    left = index.withColumn("block", F.pmod(dealt, of_rows)).withColumn("slice", F.explode(F.sequence(F.lit(0), of_queries - 1)))
+    left = index.withColumn("cell", cell_of).withColumn("block", F.pmod(dealt, of_rows)).withColumn("slice", F.explode(F.sequence(F.lit(0), of_queries - 1)))
     right = routed.withColumn("slice", F.pmod(dealt, of_queries).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), (of_rows - 1).cast("long"))))
-    found = left.groupBy("part", "block", "slice").cogroup(right.groupBy("part", "block", "slice")).applyInArrow(_compare(width, k), "query_row long, query_id long, vec_id long, row long, score double")
+    found = left.groupBy("cell", "block", "slice").cogroup(right.groupBy("cell", "block", "slice")).applyInArrow(_compare(width, k), "query_row long, query_id long, vec_id long, row long, score double")
     best = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
