@@ -12,6 +12,7 @@ from catalog import tables as t
 from qualitygate.functions import answer_problem, answer_unit, item_of, quality_band, row_key
 from qualitygate.plans import new_folder, small_side
 from qualitygate.sources import read_csv, read_json, write_csv, write_json
+from qualitygate.sources.exports import export_dataset
 from qualitygate.spec import MANIFEST, Options
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -829,7 +830,7 @@ def export_csv_roundtrip(spark, folder):
     rows = t.documents(spark, folder).drop("created_at")
     path = new_folder(spark, "csv")
     write_csv(rows, path)
-    return read_csv(spark, path, rows.schema)
+    return read_csv(spark, path, rows.schema, line_breaks=True)
 
 
 @query(_DOCUMENTS_EXPORT_SQL)
@@ -870,17 +871,186 @@ def stream_drop_repeats(spark, folder):
     return spark.read.schema(rows.schema).parquet(out).select("row_id", "deployment_version", "event_type")
 
 
+_LOOP_SQL = f"""WITH {t.EVENTS_SCORED_SQL},
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY deployment_version ORDER BY row_id) AS rn,
+         count(*) OVER (PARTITION BY deployment_version) AS n
+  FROM ev_scored
+),
+routed AS (SELECT * FROM ranked WHERE rn <= greatest(1, floor(n * 0.4::DOUBLE))),
+means AS (SELECT deployment_version, count(*) AS n_rows, avg(quality) AS m FROM routed GROUP BY ALL)
+"""
+
+
 @query(
-    f"""WITH {t.EVENTS_SCORED_SQL},
-means AS (SELECT deployment_version, count(*) AS n_rows, avg(quality) AS m FROM ev_scored GROUP BY ALL)
-SELECT b.deployment_version, b.n_rows, round(b.m, 6) AS mean_quality, round(a.m - b.m, 6) AS drift_vs_baseline,
-       a.m - b.m > 0.15 AS tripped_by_drift, b.m < 0.7 AS tripped_by_floor,
-       CASE WHEN a.m - b.m > 0.15 OR b.m < 0.7 THEN 'open' ELSE 'closed' END AS state
+    _LOOP_SQL
+    + f"""SELECT b.deployment_version, b.n_rows, round(b.m, 6) AS mean_quality, round(a.m - b.m, 6) AS drift_vs_baseline,
+       CASE WHEN a.m - b.m > 0.15 OR b.m < 0.7 THEN 'open' ELSE 'closed' END AS state,
+       CASE WHEN a.m - b.m > 0.15 OR b.m < 0.7 THEN least(b.n_rows, 3) ELSE 0 END AS review_rows,
+       a.n_rows + b.n_rows AS rows_evaluated, b.n_rows AS n_routed, 0 AS n_rejected,
+       (SELECT round(sum(cost_usd), 9) FROM routed) AS total_cost_usd,
+       (SELECT count(*) FROM ev WHERE deployment_version = 'v2') AS total_rows,
+       (SELECT count(*) FILTER (props IS NULL OR length(trim(props)) = 0) FROM ev WHERE deployment_version = 'v2') AS completeness,
+       (SELECT count(*) FILTER (event_type NOT IN ('click', 'view', 'purchase', 'signup')) FROM ev WHERE deployment_version = 'v2') AS "schema",
+       (SELECT count(*) FILTER (created_at < DATE '{t.AS_OF}' - INTERVAL 30 DAY) FROM ev WHERE deployment_version = 'v2') AS freshness
 FROM means a JOIN means b ON a.deployment_version = 'v1' AND b.deployment_version = 'v2'"""
 )
 def full_loop(spark, folder):
+    """Checks, decision, review and metrics of one loop over a sample, in one row."""
     log = qg.MetricsLog(spark, new_folder(spark, "loop-metrics"))
     result = qg.run_loop(
-        t.events(spark, folder), t.EVENTS, t.events_evaluator(), log, "v1", ["v2"], as_of=day(t.AS_OF)
+        t.events(spark, folder), t.EVENTS, t.events_evaluator(), log, "v1", ["v2"],
+        as_of=day(t.AS_OF), options=Options(sample_rate=0.4),
+    )
+    report = result.report.select("deployment_version", "total_rows", "completeness", "schema", "freshness")
+    decision = result.decisions.select(
+        "deployment_version", "n_rows", "state", "n_routed", "n_rejected",
+        *[F.round(c, 6).alias(c) for c in ("mean_quality", "drift_vs_baseline")],
+    )
+    metrics = result.metrics().select("rows_evaluated", F.round("total_cost_usd", 9).alias("total_cost_usd"))
+    review = result.review().agg(F.count("*").alias("review_rows"))
+    one_row = F.lit(1) == F.lit(1)
+    return decision.join(report, "deployment_version").join(F.broadcast(metrics), one_row).join(F.broadcast(review), one_row)
+
+
+@query(
+    f"""WITH {t.EVENTS_SCORED_SQL}
+SELECT deployment_version, count(*) AS n_rows, round(avg(quality), 6) AS mean_quality FROM ev_scored GROUP BY ALL"""
+)
+def loop_resumed(spark, folder):
+    """A loop that goes on after an older evaluator's run, a stale run and a part of its own equals a fresh one."""
+    log = qg.MetricsLog(spark, new_folder(spark, "loop-resumed"))
+    rows, evals = t.events(spark, folder), events_scored(spark, folder)
+    log.append(evals.withColumns({"quality": F.lit(0.0), "backend": F.lit("another")}), "other")
+    old = F.lit("2020-01-01").cast("timestamp")
+    log.append(evals.filter(F.col("row_id") % 3 == 0).withColumn("quality", F.lit(0.0)), "stale", old)
+    log.append(evals.filter(F.col("row_id") % 3 == 0), "part")
+    result = qg.run_loop(
+        rows, t.EVENTS, t.events_evaluator(), log, "v1", ["v1", "v2"], as_of=day(t.AS_OF), skip_scored=True, slices=3
     )
-    return rounded_decisions(result.decisions)
+    return result.decisions.select("deployment_version", "n_rows", F.round("mean_quality", 6).alias("mean_quality"))
+
+
+_THIRDS_SQL = """
+ev AS (
+  SELECT CAST(event_id AS VARCHAR) AS row_id, value, user_id, event_type, props,
+         CASE WHEN day(ts) <= 10 THEN 'v1' WHEN day(ts) <= 20 THEN 'v2' ELSE 'v3' END AS deployment_version
+  FROM events
+)"""
+
+
+@query(
+    f"""WITH {_THIRDS_SQL},
+judged AS (
+  SELECT *, deployment_version = 'v3' OR (deployment_version = 'v2' AND user_id % 7 = 0) AS bad,
+         0.5::DOUBLE * least(value / 100.0::DOUBLE, 1.0::DOUBLE)
+           + 0.2::DOUBLE * CASE WHEN event_type IN ('click', 'view') THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END
+           + 0.3::DOUBLE * ((user_id % 5)::DOUBLE / 4.0::DOUBLE) AS quality
+  FROM ev
+)
+SELECT deployment_version, count(*) AS n_routed, count(*) FILTER (NOT bad) AS n_rows, count(*) FILTER (bad) AS n_rejected,
+       CASE WHEN count(*) FILTER (bad) > 0 OR avg(quality) FILTER (NOT bad) < 0.1 THEN 'open' ELSE 'closed' END AS state
+FROM judged GROUP BY deployment_version"""
+)
+def gate_with_rejects(spark, folder):
+    """An evaluator that fails for a share of one version and for all of another."""
+    version = F.when(F.dayofmonth("ts") <= 10, "v1").when(F.dayofmonth("ts") <= 20, "v2").otherwise("v3")
+    raw = t.table(spark, folder, "events").withColumn("version", version)
+    rows = raw.select(*t.keys("event_id", F.col("version")), "event_type", "props", "value", "user_id")
+    good = t.events_evaluator()
+    bad = (F.col("deployment_version") == "v3") | ((F.col("deployment_version") == "v2") & (F.col("user_id") % 7 == 0))
+    values = {**good.values, "is_traffic": F.when(bad, F.lit(2.0)).otherwise(good.values["is_traffic"])}
+    evals, _ = qg.score_and_split(rows, t.EVENTS, qg.ExpressionEvaluator(values=values), unique=True)
+    decisions = qg.decide(evals, options=Options(quality_floor=0.1), outcome=qg.scoring_outcome(rows, evals))
+    return decisions.select("deployment_version", "n_routed", "n_rows", "n_rejected", "state")
+
+
+_BLANK_SQL = """CASE doc_id % 8 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '   ' WHEN 3 THEN chr(160)
+                WHEN 4 THEN chr(12288) || ' ' WHEN 5 THEN chr(9) WHEN 6 THEN chr(10) ELSE text END"""
+
+
+@query(
+    f"""SELECT source AS deployment_version, count(*) AS total_rows,
+       count(*) FILTER (t IS NULL OR length(trim(t)) = 0) AS completeness
+FROM (SELECT source, {_BLANK_SQL} AS t FROM documents) GROUP BY source"""
+)
+def check_completeness_of_blanks(spark, folder):
+    docs = t.table(spark, folder, "documents")
+    kind, text = F.col("doc_id") % 8, F.col("text")
+    for i, blank in enumerate([None, "", "   ", "\u00a0", "\u3000 ", "\t", "\n"]):
+        text = F.when(kind == i, F.lit(blank).cast("string")).otherwise(text)
+    rows = docs.select(*t.keys("doc_id", "source"), "lang", text.alias("text"), "n_chars", F.lit(None).cast("date").alias("created_at"))
+    return qg.check_report(rows, t.DOCUMENTS).select("deployment_version", "total_rows", "completeness")
+
+
+@query(
+    f"""WITH {t.EVENTS_SCORED_SQL},
+partly AS (SELECT row_id, deployment_version, CASE WHEN user_id % 3 = 0 THEN NULL ELSE round(quality, 2) END AS quality FROM ev_scored),
+worst AS (SELECT *, row_number() OVER (PARTITION BY deployment_version ORDER BY quality NULLS LAST, row_id) AS rn FROM partly)
+SELECT k, deployment_version, row_id, quality FROM worst, (VALUES (900), (5000)) AS ks(k) WHERE rn <= k"""
+)
+def review_queue_null_quality(spark, folder):
+    """Both ways of finding the worst rows, with ties and rows without a quality."""
+    evals = events_scored(spark, folder).join(
+        t.events(spark, folder).select(F.col("row_id").alias("id"), "user_id"), F.col("row_id") == F.col("id")
+    )
+    some = evals.select(
+        "row_id", "deployment_version", F.when(F.col("user_id") % 3 != 0, F.round("quality", 2)).alias("quality")
+    )
+    return qg.worst_rows(some, 900).withColumn("k", F.lit(900)).unionByName(qg.worst_rows(some, 5000).withColumn("k", F.lit(5000)))
+
+
+@query(
+    """SELECT CAST(o_orderkey AS VARCHAR) AS row_id, CASE WHEN o_custkey % 1501 = 0 THEN NULL ELSE CAST(o_custkey % 1501 AS VARCHAR) END AS deployment_version
+FROM orders WHERE o_custkey % 1501 = 0 OR o_custkey % 1501 > 100"""
+)
+def release_many_versions(spark, folder):
+    """More versions than fit a filter, one of them without a name."""
+    orders = t.table(spark, folder, "orders")
+    n = F.col("o_custkey") % 1501
+    rows = orders.select(*t.keys("o_orderkey", F.when(n != 0, n)))
+    versions = rows.select("deployment_version").distinct()
+    closed = F.col("deployment_version").isNull() | (F.col("deployment_version").cast("int") > 100)
+    return qg.release(rows, versions.withColumn("state", F.when(closed, "closed").otherwise("open")))
+
+
+@query(
+    f"""WITH {t.EVENTS_SQL},
+partly AS (SELECT CASE WHEN user_id % 4 = 0 THEN NULL ELSE row_id END AS row_id, deployment_version, event_type, props, value, user_id FROM ev)
+SELECT * FROM partly WHERE ('0x' || substr(md5(coalesce(row_id, '')), 1, 8))::BIGINT < 0.9 * 4294967296"""
+)
+def route_hash_sample_null_ids(spark, folder):
+    rows = t.events(spark, folder).withColumn("row_id", F.when(F.col("user_id") % 4 != 0, F.col("row_id")))
+    return qg.route_hash_sample(rows, t.EVENTS, 0.9)
+
+
+@query(
+    f"""WITH {t.DOCUMENTS_SQL}
+SELECT row_id, deployment_version, 0.0::DOUBLE AS cost_usd,
+       round((0.5::DOUBLE * least(length(text) / 2000.0::DOUBLE, 1.0::DOUBLE) + 0.2::DOUBLE + 0.3::DOUBLE * 0.5::DOUBLE)
+             / (0.5::DOUBLE + 0.2::DOUBLE + 0.3::DOUBLE), 9) AS quality
+FROM docs"""
+)
+def score_batch_throttled(spark, folder):
+    """The default way of a batch evaluator, in several waves, with a scorer that tells neither tokens nor confidence."""
+
+    def scorer(state, questions):
+        text = state["text"]
+        return state.assign(long_enough=(text.str.len() / 2000.0).clip(upper=1.0), language=state["lang"], richness=2.0)
+
+    batches = qg.BatchEvaluator(scorer, name="throttled", options=Options(batch_size=64, max_concurrency=4), task_rows=100)
+    rows = t.documents(spark, folder).drop("created_at")
+    evals = qg.score(rows, t.DOCUMENTS, batches, unique=True)
+    return evals.select("row_id", "deployment_version", "cost_usd", F.round("quality", 9).alias("quality"))
+
+
+@query(
+    f"""WITH {t.DOCUMENTS_SQL}
+SELECT format, row_id, deployment_version, lang, text, n_chars FROM docs, (VALUES ('csv'), ('json')) AS f(format)"""
+)
+def export_dataset_roundtrip(spark, folder):
+    rows, path = t.documents(spark, folder), new_folder(spark, "exports")
+    export_dataset(rows, t.DOCUMENTS, path)
+    csv = read_csv(spark, f"{path}/documents.csv", rows.schema, line_breaks=True).withColumn("format", F.lit("csv"))
+    json = read_json(spark, f"{path}/documents.json", rows.schema).withColumn("format", F.lit("json"))
+    return csv.unionByName(json).drop("created_at")

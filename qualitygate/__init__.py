@@ -15,7 +15,7 @@ from qualitygate.operators.evaluators import (
     get_evaluator,
     register_evaluator,
 )
-from qualitygate.operators.gate import decide, release, review_queue, worst_rows
+from qualitygate.operators.gate import decide, release, review_queue, scoring_outcome, worst_rows
 from qualitygate.operators.metrics import (
     answers_wide,
     confusion_counts,

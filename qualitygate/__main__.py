@@ -32,7 +32,8 @@ def load_evaluator(text: str) -> Evaluator:
 def loop(spark: SparkSession, args: argparse.Namespace) -> int:
     spec = get_dataset(args.dataset)
     options = Options(
-        sample_rate=args.rate, drift_threshold=args.drift_threshold, quality_floor=args.quality_floor, review_k=args.review_k
+        sample_rate=args.rate, drift_threshold=args.drift_threshold, quality_floor=args.quality_floor, review_k=args.review_k,
+        max_rejected=args.max_rejected,
     )
     result = run_loop(
         read_table(spark, spec, args.table),
@@ -46,9 +47,20 @@ def loop(spark: SparkSession, args: argparse.Namespace) -> int:
         rejects=args.rejects,
         skip_scored=args.skip_scored,
         slices=args.slices,
+        tie_break=args.tie_break,
     )
-    for table in (check_statuses(result.report), result.decisions, result.review(), result.metrics(), result.trend()):
-        table.show(100, truncate=False)
+    labels = spark.read.parquet(args.labels) if args.labels else None
+    tables = {
+        "report": check_statuses(result.report),
+        "decisions": result.decisions,
+        "review": result.review(),
+        "metrics": result.metrics(labels),
+        "trend": result.trend(),
+        "history": result.history(),
+    }
+    for name, table in tables.items():
+        table.write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/{name}")
+        print(f"{name}: {spark.read.parquet(f'{args.out}/{name}').count()} rows -> {args.out}/{name}")
     return 1 if result.decisions.filter(F.col("state") == OPEN).limit(1).count() else 0
 
 
@@ -78,7 +90,11 @@ def parser() -> argparse.ArgumentParser:
     one.add_argument("--review-k", type=int, default=defaults.review_k)
     one.add_argument("--rejects", help="folder for rows that cannot be scored; without it they end the job")
     one.add_argument("--skip-scored", action="store_true", help="leave out keys the log already has")
+    one.add_argument("--max-rejected", type=float, default=defaults.max_rejected, help="share of rows that may stay unscored")
     one.add_argument("--slices", type=int, default=1)
+    one.add_argument("--tie-break", nargs="*", default=[], help="columns that say which row of equal keys comes first")
+    one.add_argument("--labels", help="Parquet folder of human labels: row_id, deployment_version, is_good")
+    one.add_argument("--out", required=True, help="folder for the tables of the loop, each written whole as Parquet")
 
     two = jobs.add_parser("export", help="write the table and its drift manifest as CSV and JSON")
     two.set_defaults(job=export)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Protocol
 
 from pyspark.sql import Column, DataFrame
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from qualitygate.functions import answer_map
+from qualitygate.plans.scratch import new_folder, spool
 from qualitygate.spec import CHOICE, KEYS, NOUL, SCORE, DatasetSpec, Options
 
 
@@ -82,7 +84,8 @@ class BatchEvaluator:
     take its neighbours along. Rows left after ``max_retries`` fail the job (``on_error="fail"``)
     or come out with an ``error`` text and no answers (``"quarantine"``).
 
-    ``throttle`` limits calls in flight to ``max_concurrency`` by using that many partitions.
+    ``throttle`` limits calls in flight to ``max_concurrency``: rows go in waves of that many tasks of about
+    ``task_rows`` rows. With more than one wave each is scored and written when ``answers`` is called.
     Without it parallelism follows the data, which is right for scorers that run locally.
     """
 
@@ -92,6 +95,7 @@ class BatchEvaluator:
     options: Options = Options()
     on_error: str = "fail"
     throttle: bool = True
+    task_rows: int = 10_000
 
     def __post_init__(self) -> None:
         if self.on_error not in ("fail", "quarantine"):
@@ -114,8 +118,9 @@ class BatchEvaluator:
         schema = T.StructType([*kept, *raw, *tail])
         run = _batch_function(self.score, spec.questions, state, schema.fieldNames(), self.options, self.on_error)
         if self.throttle:
-            df = df.repartition(self.options.max_concurrency, *KEYS)
-        answered = df.mapInPandas(run, schema)
+            answered = self._few_at_once(df, run, schema)
+        else:
+            answered = df.mapInPandas(run, schema)
 
         mapped = answer_map(
             spec.questions,
@@ -126,6 +131,26 @@ class BatchEvaluator:
         return answered.select(*[f.name for f in kept], mapped.alias("answers"), "tokens", "latency_ms", "error")
 
 
+    def _few_at_once(self, df: DataFrame, run, schema: T.StructType) -> DataFrame:
+        """At most ``max_concurrency`` calls in flight, whatever the number of partitions.
+
+        Each wave is written before the next starts, so a lost task costs one small part of a wave.
+        """
+        wide = self.options.max_concurrency
+        n = max(1, -(-df.count() // (wide * self.task_rows)))
+        if n == 1:
+            return df.repartition(wide, *KEYS).mapInPandas(run, schema)
+        folder = new_folder(df.sparkSession, "waves")
+        dealt = df.withColumn("_wave", F.pmod(F.xxhash64(*KEYS), F.lit(n)).cast("int"))
+        dealt.write.partitionBy("_wave").parquet(folder)
+        dealt = df.sparkSession.read.schema(dealt.schema).parquet(folder)
+        waves = [
+            spool(dealt.filter(F.col("_wave") == wave).drop("_wave").repartition(wide, *KEYS).mapInPandas(run, schema))
+            for wave in range(n)
+        ]
+        return reduce(lambda a, b: a.unionByName(b), waves)
+
+
 def _batch_function(score, questions, state, out_columns, options, on_error):
     """The function sent to the Python workers. Nested, so that it travels with its helpers."""
     kinds = [(q.key, q.type) for q in questions]
@@ -158,7 +183,10 @@ def _batch_function(score, questions, state, out_columns, options, on_error):
                 sure = pd.Series(1.0 if sure is None else sure.to_numpy(), index=part.index)
                 sure = sure.astype(object).where(sure.notna(), 1.0).astype(float)
                 if kind in numeric:
-                    missing = value.map(lambda v: v is None or v is pd.NA)
+                    # among floats NaN is an answer, if a wrong one; only other columns can hold none at all
+                    missing = value.isna() & (value.dtype.kind not in "fiub")
+                    if value.dtype == object:
+                        missing &= np.frompyfunc(lambda v: v is None or v is pd.NA, 1, 1)(value[missing]).reindex(value.index, fill_value=False).astype(bool)
                     value = value.astype(object).where(~missing, np.nan).astype(float)
                     blame(missing, f"{key}: no {kind}")
                 if kind == noul:
@@ -171,25 +199,28 @@ def _batch_function(score, questions, state, out_columns, options, on_error):
             return out, reason
 
         def score_batch(part):
-            began = time.perf_counter()
+            spent = pd.Series(0.0, index=part.index)  # each row's own calls and pauses, not those of its neighbours
             pending, alone, done, pause = part.index, False, [], first_pause
             last = pd.Series(dtype=object)
             for attempt in range(attempts):
                 if attempt:
                     time.sleep(pause)
+                    spent[pending] += pause * 1000.0
                     pause *= 2
                 step = 1 if alone else max(1, len(pending))
                 failed = []
                 for at in range(0, len(pending), step):
-                    chunk = pending[at : at + step]
+                    chunk, began = pending[at : at + step], time.perf_counter()
                     try:
                         out, reason = response(part.loc[chunk])
                     except Exception as problem:
+                        spent[chunk] += (time.perf_counter() - began) * 1000.0
                         alone = True
                         failed.append(pd.Series(str(problem) or repr(problem), index=chunk, dtype=object))
                         continue
                     good = reason.isna()
-                    out["latency_ms"] = (time.perf_counter() - began) * 1000.0
+                    spent[chunk] += (time.perf_counter() - began) * 1000.0
+                    out["latency_ms"] = spent[chunk]
                     done.append(out[good])
                     failed.append(reason[~good])
                 last = pd.concat(failed) if failed else last
@@ -204,8 +235,7 @@ def _batch_function(score, questions, state, out_columns, options, on_error):
                     raise RuntimeError(f"evaluation failed after {attempts} attempts: {last.iloc[0]}")
                 result["error"] = last.reindex(part.index)
                 result["error"] = result["error"].astype(object).where(result["error"].notna(), None)
-                spent = (time.perf_counter() - began) * 1000.0
-                result.loc[pending, "latency_ms"] = spent
+                result.loc[pending, "latency_ms"] = spent[pending]
                 result.loc[pending, "tokens"] = 0.0
             return result.reindex(columns=out_columns)
 

@@ -53,10 +53,11 @@ def route_hash_sample(
     """About ``rate`` of the rows, chosen by a hash of the key: no sort, no shuffle, fit for streams.
 
     An id is chosen or not in all versions alike, so samples of two versions can be compared.
+    Rows without an id are hashed as the empty one.
     """
     rows = routed_columns(df, spec, version)
     rate = clamp_rate(rate)
-    return rows if rate >= 1.0 else rows.filter(sample_hash(F.col(key)) < F.lit(rate * 4294967296.0))
+    return rows if rate >= 1.0 else rows.filter(sample_hash(F.coalesce(F.col(key).cast("string"), F.lit(""))) < F.lit(rate * 4294967296.0))
 
 
 def route_passing(

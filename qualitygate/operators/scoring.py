@@ -42,10 +42,8 @@ def count_keys(df: DataFrame) -> DataFrame:
 
 def repeated_keys(df: DataFrame, counted: DataFrame | None = None) -> Repeats:
     """``counted`` is the written result of ``count_keys``, if there is one already."""
-    keys = (count_keys(df) if counted is None else counted).filter(F.col("_n") > 1)
+    keys = spool(count_keys(df).filter(F.col("_n") > 1)) if counted is None else counted.filter(F.col("_n") > 1)
     n_keys, most = keys.agg(F.count("*"), F.max("_n")).first()
-    if n_keys and counted is None:
-        keys = spool(keys)
     return Repeats(keys, n_keys, most or 1)
 
 
@@ -53,28 +51,30 @@ def first_per_key(df: DataFrame, tie_break: Sequence[str] = (), repeats: Repeats
     """One row per key with ``_copies``; the first by ``tie_break``, then by the content columns.
 
     Only rows whose key repeats are moved: as long as those keys are few, all other rows, with all
-    their text, stay where they were read.
+    their text, stay where they were read. Bookkeeping columns come along with the row chosen.
     """
     content = state_columns(df)
+    columns = [*df.columns, "_copies"]
     order = list(dict.fromkeys([*tie_break, *content]))
     repeats = repeated_keys(df) if repeats is None else repeats
     if not repeats.n_keys:
         return df.withColumn("_copies", F.lit(1).cast("long"))
     if repeats.n_keys > BROADCAST_ROWS:
-        return _collapse(df, order, content)
+        return _collapse(df, order).select(*columns)
     marks = F.broadcast(_renamed_keys(repeats.keys, "_r_"))
     known = same_key(df, marks, "_r_")
     single = df.join(marks, known, "left_anti").withColumn("_copies", F.lit(1).cast("long"))
-    return single.unionByName(_collapse(df.join(marks, known, "left_semi"), order, content))
+    return single.unionByName(_collapse(df.join(marks, known, "left_semi"), order).select(*columns))
 
 
-def _collapse(df: DataFrame, order: Sequence[str], content: Sequence[str]) -> DataFrame:
+def _collapse(df: DataFrame, order: Sequence[str]) -> DataFrame:
     # isNull first: structs order NULL before values, the rows are ordered NULLs last
-    place = F.struct(*[part for c in order for part in (F.col(c).isNull().alias(f"_null_{c}"), F.col(c))])
+    rest = [c for c in df.columns if c not in (*KEYS, *order)]
+    place = F.struct(*[part for c in (*order, *rest) for part in (F.col(c).isNull().alias(f"_null_{c}"), F.col(c))])
     return (
         df.groupBy(*KEYS)
-        .agg(F.min(place).alias("_first"), F.count("*").alias("_copies"))
-        .select(*KEYS, *[F.col("_first").getField(c).alias(c) for c in content], "_copies")
+        .agg(F.min(place).alias("_least"), F.count("*").alias("_number"))
+        .select(*KEYS, *[F.col("_least").getField(c).alias(c) for c in (*order, *rest)], F.col("_number").alias("_copies"))
     )
 
 
@@ -85,11 +85,11 @@ def unscored(df: DataFrame, scored: DataFrame, counted: DataFrame | None = None)
     rather than the log to them. The rows themselves move only if neither the known nor the
     new keys are few. ``counted`` is the written result of ``count_keys``, if there is one already.
     """
+    # one shuffle for the keys of the log: they are told apart by the columns that they are joined on
     log = _renamed_keys(scored, "_s_")
     asked = spool(count_keys(df)) if counted is None else counted
     if fits(asked):
         log = log.join(F.broadcast(asked), same_key(asked, log, "_s_"), "left_semi")
-    log = log.distinct()
     known = spool(_renamed_keys(asked.join(log, same_key(asked, log, "_s_"), "left_semi"), "_k_"))
     n_known = known.count()
     if not n_known:

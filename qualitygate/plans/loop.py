@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 from qualitygate.functions import sample_hash
 from qualitygate.operators.checks import check_report
 from qualitygate.operators.evaluators import Evaluator
-from qualitygate.operators.gate import decide, review_queue
-from qualitygate.operators.metrics import drift_by_version, drift_trend, loop_metrics
+from qualitygate.operators.gate import decide, review_queue, scoring_outcome
+from qualitygate.operators.metrics import drift_report, drift_trend, loop_metrics
 from qualitygate.operators.routing import route_prefix
-from qualitygate.operators.scoring import score, score_and_split
-from qualitygate.plans.scratch import pin
-from qualitygate.sources.metrics_log import MetricsLog
+from qualitygate.operators.scoring import same_key, score, score_and_split
+from qualitygate.plans.scratch import new_folder, pin, spool
+from qualitygate.sources.metrics_log import MetricsLog, latest_per_key
 from qualitygate.spec import KEYS, VERSION, DatasetSpec, Options
 
 
@@ -30,16 +30,17 @@ def score_into(
     scored: DataFrame | None = None,
     repeat_copies: bool = True,
     rejects: str | None = None,
+    tie_break: Sequence[str] = (),
 ) -> None:
     """Score ``df`` and append the evaluations to ``log``.
 
-    Rows that cannot be scored end the job, or are appended with the reason to the Parquet folder
+    Of rows with equal keys the first by ``tie_break`` is scored. Rows that cannot be scored end the job, or are appended with the reason to the Parquet folder
     ``rejects`` if there is one.
     """
     if rejects is None:
-        log.append(score(df, spec, evaluator, scored=scored, repeat_copies=repeat_copies), run_id)
+        log.append(score(df, spec, evaluator, tie_break, scored=scored, repeat_copies=repeat_copies), run_id)
         return
-    evals, bad = score_and_split(df, spec, evaluator, scored=scored, repeat_copies=repeat_copies)
+    evals, bad = score_and_split(df, spec, evaluator, tie_break, scored=scored, repeat_copies=repeat_copies)
     log.append(evals, run_id)
     bad.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(rejects)
 
@@ -67,7 +68,7 @@ class LoopResult:
         return drift_trend(self.log.read())
 
     def history(self) -> DataFrame:
-        return drift_by_version(self.log.read())
+        return drift_report(self.log.read())
 
 
 def run_loop(
@@ -82,6 +83,7 @@ def run_loop(
     rejects: str | None = None,
     skip_scored: bool = False,
     slices: int = 1,
+    tie_break: Sequence[str] = (),
 ) -> LoopResult:
     """Run one loop over the ``baseline`` and ``candidates`` versions of ``df``.
 
@@ -90,26 +92,35 @@ def run_loop(
     cannot be scored end the job unless ``rejects`` names a folder for them.
 
     ``slices`` splits the work by a hash of the row id into that many appends, so that a lost driver
-    costs at most one slice; start again with ``skip_scored=True`` to go on where it stopped.
+    costs at most one slice; start again with ``skip_scored=True`` to go on where it stopped: keys this
+    evaluator has scored before are left out, and the gate looks at the newest evaluation of
+    each key that was routed now. Of rows with equal keys the first by ``tie_break`` is scored.
     """
     versions = list(dict.fromkeys([baseline, *candidates]))
     rows = df.filter(F.col(VERSION).isin(*versions))
     day = F.current_date() if as_of is None else as_of
-    report = check_report(rows, spec, day, options.max_age_days, versions)
+    report = pin(check_report(rows, spec, day, options.max_age_days, versions))
 
     run_id = uuid.uuid4().hex
     log.create()
-    routed = route_prefix(rows, spec, options.sample_rate)
+    routed = route_prefix(rows, spec, options.sample_rate, tie_break=tie_break)
+    if slices > 1:
+        folder = new_folder(df.sparkSession, "routed")
+        place = F.pmod(F.floor(sample_hash(F.coalesce(KEYS[0], F.lit("")))), F.lit(slices)).cast("int")
+        cut = routed.withColumn("_slice", place)
+        cut.write.partitionBy("_slice").parquet(folder)
+        routed = df.sparkSession.read.schema(cut.schema).parquet(folder)
     for part in range(slices):
-        share = routed
-        if slices > 1:
-            share = routed.filter(F.pmod(F.floor(sample_hash(F.coalesce(KEYS[0], F.lit("")))), F.lit(slices)) == part)
-        seen = log.read() if skip_scored else None
-        score_into(log, share, spec, evaluator, run_id, scored=seen, rejects=rejects)
-
-    mine = log.read()
-    if not skip_scored:
+        share = routed.filter(F.col("_slice") == part).drop("_slice") if slices > 1 else routed
+        seen = log.read().filter(F.col("backend") == evaluator.name) if skip_scored else None
+        score_into(log, share, spec, evaluator, run_id, scored=seen, rejects=rejects, tie_break=tie_break)
+
+    mine = log.read().filter(F.col(VERSION).isin(*versions) & (F.col("backend") == evaluator.name))
+    if skip_scored:
+        keys = spool(routed.select(*[F.col(k).alias(f"_r_{k}") for k in KEYS]).distinct())
+        newest = latest_per_key(mine)
+        mine = spool(newest.join(keys, same_key(newest, keys, "_r_"), "left_semi"))
+    else:
         mine = mine.filter(F.col("run_id") == run_id)
-    mine = mine.filter(F.col(VERSION).isin(*versions))
-    decisions = pin(decide(mine, candidates, baseline, options))
+    decisions = pin(decide(mine, candidates, baseline, options, scoring_outcome(routed, mine)))
     return LoopResult(run_id, report, mine, decisions, log, spec, options)

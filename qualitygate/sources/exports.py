@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from qualitygate.operators.versions import drift_manifest, manifest_in_order
+from qualitygate.plans import pin
 from qualitygate.spec import MANIFEST, DatasetSpec
 
 
@@ -18,9 +19,12 @@ def write_csv(df: DataFrame, path: str) -> None:
     writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Such files back. A bare empty field is NULL, a quoted one an empty string."""
-    reader = spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", True)
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, line_breaks: bool = False) -> DataFrame:
+    """Such files back. A bare empty field is NULL, a quoted one an empty string.
+
+    ``line_breaks`` says that texts may hold line breaks; each file is then read by one task.
+    """
+    reader = spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", line_breaks)
     # the mark that stands for a bare empty field while parsing; by default it equals the empty string
     return reader.option("nullValue", "\u0000").option("enforceSchema", False).csv(path)
 
@@ -35,31 +39,33 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType, array: bool
     return spark.read.schema(schema).option("multiLine", array).json(path)
 
 
-def export_dataset(df: DataFrame, spec: DatasetSpec, folder: str) -> None:
-    """``<folder>/<name>.csv`` and ``.json`` with the table's columns in order."""
-    rows = df.select(*spec.columns)
+def export_dataset(df: DataFrame, spec: DatasetSpec, folder: str) -> DataFrame:
+    """``<folder>/<name>.json`` and ``.csv`` with the table's columns in order; the table as read back.
+
+    The JSON is written from ``df`` and the CSV from the JSON, so ``df`` is computed once.
+    """
+    spark = df.sparkSession
+    write_json(df.select(*spec.columns), f"{folder}/{spec.name}.json")
+    rows = read_json(spark, f"{folder}/{spec.name}.json", T.StructType([df.schema[c] for c in spec.columns]))
     write_csv(rows, f"{folder}/{spec.name}.csv")
-    write_json(rows, f"{folder}/{spec.name}.json")
+    return rows
 
 
-def export_drift(df: DataFrame, spec: DatasetSpec, folder: str, before: str = "v1", after: str = "v2") -> None:
-    """``<folder>/<name>_drift.csv`` and ``.json``: what changed between two versions, in order."""
+def export_drift(df: DataFrame, spec: DatasetSpec, folder: str, before: str = "v1", after: str = "v2") -> DataFrame:
+    """``<folder>/<name>_drift.json`` and ``.csv``: what changed between two versions, in order; as read back."""
     records = manifest_in_order(drift_manifest(df, spec, before, after)).select(*MANIFEST.fieldNames())
-    write_csv(records, f"{folder}/{spec.name}_drift.csv")
-    write_json(records, f"{folder}/{spec.name}_drift.json")
+    kept = pin(records)
+    write_json(kept, f"{folder}/{spec.name}_drift.json")
+    write_csv(kept, f"{folder}/{spec.name}_drift.csv")
+    return kept
 
 
 def export_all(tables: Mapping[str, tuple[DatasetSpec, DataFrame]], folder: str) -> dict[str, tuple[int, int]]:
     """Export every table and its manifest; row counts and drift counts by name."""
-    counts = {}
-    for name, (spec, df) in tables.items():
-        export_dataset(df, spec, folder)
-        export_drift(df, spec, folder)
-        spark = df.sparkSession
-        rows = read_json(spark, f"{folder}/{spec.name}.json", spec.schema).count()
-        drifted = read_json(spark, f"{folder}/{spec.name}_drift.json", MANIFEST).count()
-        counts[name] = (rows, drifted)
-    return counts
+    return {
+        name: (export_dataset(df, spec, folder).count(), export_drift(df, spec, folder).count())
+        for name, (spec, df) in tables.items()
+    }
 
 
 def rows_from_json(df: DataFrame, spec: DatasetSpec, column: str = "body") -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from qualitygate.operators.checks import passing_rows
@@ -36,6 +37,7 @@ def score_stream(
     rejects: str | None = None,
     seen_since: str | None = None,
     on_batch: Callable[[DataFrame, int], None] | None = None,
+    tie_break: Sequence[str] = (),
 ) -> StreamingQuery:
     """Route, score and append what has arrived, then stop.
 
@@ -45,7 +47,8 @@ def score_stream(
     which bounds the work a failure can lose. ``seen_since`` (a date) limits how far back the log is
     searched when repeats are known to come within some days. Rows that cannot be scored stop the
     stream unless ``rejects`` names a folder for them. ``on_batch`` gets every micro-batch before scoring,
-    e.g. for deterministic checks.
+    e.g. for deterministic checks. Only keys scored by this evaluator count as known; of rows with equal
+    keys the first by ``tie_break`` is scored.
     """
     log.create()
 
@@ -56,8 +59,9 @@ def score_stream(
                 on_batch(batch, batch_id)
             rows = passing_rows(batch, spec, as_of) if only_passing else batch
             routed = route_hash_sample(rows, spec, rate)
-            seen = log.read(seen_since)
-            score_into(log, routed, spec, evaluator, f"batch-{batch_id}", seen, repeat_copies=False, rejects=rejects)
+            seen = log.read(seen_since).filter(F.col("backend") == evaluator.name)
+            run = f"batch-{batch_id}"
+            score_into(log, routed, spec, evaluator, run, seen, repeat_copies=False, rejects=rejects, tie_break=tie_break)
         finally:
             batch.unpersist()
 

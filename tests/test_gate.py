@@ -19,45 +19,49 @@ def evals(spark):
     return make
 
 
-def brute_decision(qs, baseline, drift_threshold=0.15, floor=0.70, k=3):
-    """The decision for one version, spelled out."""
-    if not qs:
-        return ("closed", 1.0, 0.0, "no rows evaluated", 0)
-    mean = sum(qs) / len(qs)
-    drift = baseline - mean if baseline is not None else 0.0
-    said = []
-    if drift > drift_threshold:
-        said.append(f"semantic drift {drift:.2f} > {drift_threshold:.2f}")
-    if mean < floor:
-        said.append(f"mean quality {mean:.2f} < floor {floor:.2f}")
-    if said:
-        return ("open", mean, drift, "; ".join(said), min(k, len(qs)))
-    fine = f"mean quality {mean:.2f} within tolerance (drift {drift:.2f} <= {drift_threshold:.2f})"
-    return ("closed", mean, drift, fine, 0)
-
-
+# qualities of the version, baseline, then what has to come out
 CASES = [
-    ([0.5, 0.5], None),
-    ([0.75, 0.75], 0.90),
-    ([0.75, 0.75], 0.9375),
-    ([0.7], None),
-    ([0.6875], 0.9),
-    ([0.9, 0.8], 0.5),
-    ([0.875], 1.0),
-    ([0.5], 0.625),
-    ([], 0.9),
-    ([0.1, 0.2, 0.3, 0.4], 0.9),
+    ([0.5, 0.5], None, "open", 0.5, 0.0, "mean quality 0.50 < floor 0.70", 2),
+    ([0.75, 0.75], 0.90625, "open", 0.75, 0.15625, "semantic drift 0.16 > 0.15", 2),
+    ([0.75, 0.75], 0.875, "closed", 0.75, 0.125, "mean quality 0.75 within tolerance (drift 0.12 <= 0.15)", 0),
+    ([0.7], None, "closed", 0.7, 0.0, "mean quality 0.70 within tolerance (drift 0.00 <= 0.15)", 0),
+    ([0.625], 0.875, "open", 0.625, 0.25, "semantic drift 0.25 > 0.15; mean quality 0.62 < floor 0.70", 1),
+    ([1.0, 0.75], 0.5, "closed", 0.875, -0.375, "mean quality 0.88 within tolerance (drift -0.38 <= 0.15)", 0),
+    ([], 0.9, "closed", 1.0, 0.0, "no rows evaluated", 0),
+    ([0.0, 0.25, 0.5, 0.25], 0.75, "open", 0.25, 0.5, "semantic drift 0.50 > 0.15; mean quality 0.25 < floor 0.70", 3),
+    ([None, None], 0.75, "open", None, 0.0, "no quality among the rows evaluated", 2),
 ]
 
 
-@pytest.mark.parametrize("qs,baseline", CASES)
-def test_decision(evals, qs, baseline):
+@pytest.mark.parametrize("case", CASES, ids=str)
+def test_decision(evals, case):
+    qs, baseline, *want = case
     got = qg.decide(evals({"v2": qs, "v8": [0.2]}), ["v2"], baseline).first()
-    want = brute_decision(qs, baseline)
-    assert (got.state, got.mean_quality, got.drift_vs_baseline, got.reason, got.routed_to_review) == want
+    assert [got.state, got.mean_quality, got.drift_vs_baseline, got.reason, got.routed_to_review] == want
     assert got.threshold == 0.15
 
 
+def outcome_of(spark, *rows):
+    return spark.createDataFrame(rows, "deployment_version string, n_routed long, n_rejected long")
+
+
+@pytest.mark.parametrize("allowed,state", [(0.0, "open"), (0.24, "open"), (0.25, "closed")])
+def test_rejected_rows_open_the_gate(spark, evals, allowed, state):
+    outcome = outcome_of(spark, ("v2", 4, 1), ("v3", 5, 5), (None, 2, 2), ("v4", 0, 0))
+    got = {r.deployment_version: r for r in qg.decide(evals({"v2": [0.9] * 3}), options=Options(max_rejected=allowed), outcome=outcome).collect()}
+    assert got["v2"].state == state and got["v3"].state == got[None].state == "open" and got["v4"].state == "closed"
+    assert got["v3"].reason == "none of 5 routed rows could be scored"
+    assert got["v4"].reason == "no rows evaluated"
+    if state == "open":
+        assert got["v2"].reason == "1 of 4 routed rows could not be scored" and got["v2"].routed_to_review == 3
+
+
+def test_scoring_outcome_counts_keys(spark, evals):
+    routed = spark.createDataFrame([("r0", "v1"), ("r0", "v1"), ("r1", "v1"), (None, "v1"), ("r0", None)], "row_id string, deployment_version string")
+    got = {tuple(r) for r in qg.scoring_outcome(routed, evals({"v1": [0.5], "v9": [0.5]})).collect()}
+    assert got == {("v1", 3, 2), (None, 1, 1)}
+
+
 def test_drift_exactly_at_threshold_is_closed(evals):
     options = Options(drift_threshold=0.25, quality_floor=0.5)
     got = qg.decide(evals({"v2": [0.5]}), baseline=0.75, options=options).first()
@@ -101,6 +105,23 @@ def test_small_k_is_cut_before_the_shuffle(evals):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
+@pytest.mark.parametrize("k_limit,small", [(1000, 100_000), (0, 100_000), (0, 0)])
+def test_rows_without_quality_come_last(evals, monkeypatch, many_partitions, k_limit, small):
+    monkeypatch.setattr(gate, "WINDOW_K", k_limit)
+    monkeypatch.setattr(ranking, "SMALL_TABLE_ROWS", small)
+    df = evals({"v1": [None, 0.5, None, 0.5, 0.9], "v2": [None] * 3})
+    got = rows(qg.worst_rows(df.repartition(4), 4), "deployment_version", "row_id", "quality")
+    assert got == sorted([("v1", "r1", 0.5), ("v1", "r3", 0.5), ("v1", "r4", 0.9), ("v1", "r0", None), *[("v2", f"r{i}", None) for i in range(3)]], key=repr)
+
+
+@pytest.mark.parametrize("limit", [1000, 0])
+def test_release_keeps_rows_without_a_version(spark, monkeypatch, limit):
+    monkeypatch.setattr(gate, "INLINE_VERSIONS", limit)
+    df = spark.createDataFrame([("a", None), ("b", "v1"), ("c", "v2")], "row_id string, deployment_version string")
+    decisions = spark.createDataFrame([(None, "closed"), ("v1", "closed"), ("v2", "open")], "deployment_version string, state string")
+    assert rows(qg.release(df, decisions), "row_id") == [("a",), ("b",)]
+
+
 @pytest.mark.parametrize("limit", [1000, 0])
 def test_review_and_release(evals, monkeypatch, limit):
     monkeypatch.setattr(gate, "INLINE_VERSIONS", limit)

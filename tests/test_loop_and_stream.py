@@ -33,12 +33,12 @@ def test_every_check_passes_and_the_gate_opens(spark, two_versions, tmp_path, sl
     assert decision.state == "open" and decision.tripped_by_drift and decision.tripped_by_floor
     assert decision.routed_to_review == 3
     assert rows(result.review(), "row_id", "why_flagged") == [
-        (f"T0{i}", "resolution_summary does not address the ticket") for i in range(3)
+        (f"T0{i}", qg.TICKETS.review_reason) for i in range(3)
     ]
     metrics = result.metrics().first()
     assert metrics.rows_evaluated == 26 and metrics.semantic_drift > 0.15
     assert log.read().count() == 26
-    assert [r.n for r in result.history().collect()] == [13, 13]
+    assert [r.n_rows for r in result.history().collect()] == [13, 13]
     assert result.trend().count() == 2
 
 
@@ -83,6 +83,34 @@ def test_stream_equals_batch_and_replays_add_nothing(spark, two_versions, tmp_pa
     assert len(run("c1")) == 39
 
 
+def test_a_version_that_could_not_be_scored_is_blocked(spark, two_versions, tmp_path):
+    values = {**GOOD.values, "category_correct": "CASE WHEN deployment_version = 'v2' THEN 2.0D ELSE 0.9D END"}
+    log, rejects = qg.MetricsLog(spark, str(tmp_path / "log")), str(tmp_path / "rejects")
+    result = qg.run_loop(two_versions, qg.TICKETS, qg.ExpressionEvaluator(values), log, "v1", ["v1", "v2"], rejects=rejects)
+    got = {r.deployment_version: r for r in result.decisions.collect()}
+    assert (got["v2"].state, got["v2"].reason) == ("open", "none of 13 routed rows could be scored")
+    assert (got["v1"].state, got["v1"].n_rejected) == ("closed", 0)
+    assert rows(qg.release(two_versions, result.decisions).select("deployment_version").distinct()) == [("v1",)]
+
+
+def test_skip_scored_judges_the_newest_rows_of_this_evaluator(spark, two_versions, tmp_path):
+    log = qg.MetricsLog(spark, str(tmp_path / "log"))
+    fixed = two_versions.withColumn("resolution_summary", F.lit("fixed"))
+    evals = qg.score(fixed, qg.TICKETS, GOOD)
+    log.append(evals.withColumn("quality", F.lit(0.1)), "old", F.lit("2020-01-01").cast("timestamp"))
+    log.append(evals, "new", F.lit("2021-01-01").cast("timestamp"))
+    log.append(evals.withColumns({"quality": F.lit(0.0), "backend": F.lit("another")}), "else")
+    fresh = qg.run_loop(fixed, qg.TICKETS, GOOD, qg.MetricsLog(spark, str(tmp_path / "log2")), "v1", ["v2"]).decisions.first()
+    resumed = qg.run_loop(fixed, qg.TICKETS, GOOD, log, "v1", ["v2"], skip_scored=True).decisions.first()
+    assert (resumed.n_rows, resumed.mean_quality, resumed.state) == (fresh.n_rows, fresh.mean_quality, fresh.state)
+
+
+def test_a_report_that_fails_fails_the_loop(spark, two_versions, tmp_path):
+    broken = F.raise_error(F.lit("no day")).cast("date")
+    with pytest.raises(Exception, match="no day"):
+        qg.run_loop(two_versions, qg.TICKETS, GOOD, qg.MetricsLog(spark, str(tmp_path / "log")), "v1", ["v2"], as_of=broken)
+
+
 def test_rows_that_cannot_be_scored_are_kept_aside(spark, two_versions, tmp_path):
     source, rejects = str(tmp_path / "in"), str(tmp_path / "rejects")
     two_versions.coalesce(1).write.parquet(source)
@@ -135,8 +163,14 @@ def test_jobs_from_the_command_line(spark, two_versions, tmp_path, capsys):
     (tmp_path / "answers.json").write_text(json.dumps({"values": dict(GOOD.values), "tokens": "10"}))
     common = ["--table", str(tmp_path / "t")]
     loop = ["loop", *common, "--log", str(tmp_path / "log"), "--evaluator", str(tmp_path / "answers.json")]
+    loop += ["--out", str(tmp_path / "tables")]
     assert main([*loop, "--as-of", "2024-02-10"]) == 1
-    assert "semantic drift" in capsys.readouterr().out
+    assert spark.read.parquet(str(tmp_path / "tables" / "review")).count() == 3
+    labels = spark.createDataFrame([("T00", "v2", True), ("T01", "v2", False)], "row_id string, deployment_version string, is_good boolean")
+    labels.write.parquet(str(tmp_path / "labels"))
+    assert main([*loop, "--labels", str(tmp_path / "labels")]) == 1
+    assert spark.read.parquet(str(tmp_path / "tables" / "metrics")).first().disagreement_rate == 0.5
+    assert "semantic drift" in spark.read.parquet(str(tmp_path / "tables" / "decisions")).first().reason
     assert main([*loop, "--drift-threshold", "2", "--quality-floor", "0"]) == 0
     assert main(["export", *common, "--out", str(tmp_path / "out")]) == 0
     assert "tickets: 26 rows, 13 changed columns" in capsys.readouterr().out

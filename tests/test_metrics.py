@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 import qualitygate as qg
 from qualitygate.spec import EVALUATION
 from tests.conftest import rows
-from tests.test_ranking import python_percentile
+from tests.test_ranking import at_percent
 
 LABELS = "row_id string, deployment_version string, is_good boolean"
 
@@ -59,9 +59,9 @@ def test_latency_percentiles(evals):
     data = [(str(i), f"v{i % 3}", 0.5, rng.randrange(100), 0) for i in range(301)]
     got = rows(qg.latency_percentiles(evals(data), (50, 95)))
     by = {v: [r[3] for r in data if r[1] == v] for v in ("v0", "v1", "v2")}
-    assert got == [(v, python_percentile(x, 50), python_percentile(x, 95)) for v, x in by.items()]
+    assert got == [(v, at_percent(x, 50), at_percent(x, 95)) for v, x in by.items()]
     overall = rows(qg.latency_percentiles(evals(data), (50,), by=()))
-    assert overall == [(python_percentile([r[3] for r in data], 50),)]
+    assert overall == [(at_percent([r[3] for r in data], 50),)]
 
 
 def test_disagreement(spark, evals):
@@ -93,8 +93,8 @@ def test_loop_metrics(spark, evals):
     assert got.mean_quality_by_version == pytest.approx({"v1": 0.7, "v10": 0.3, "v2": 0.6})
     assert got.semantic_drift == pytest.approx(0.1)
     assert got.disagreement_rate == pytest.approx(1 / 5)
-    assert got.p50_latency_ms == python_percentile(latencies, 50)
-    assert got.p95_latency_ms == python_percentile(latencies, 95)
+    assert got.p50_latency_ms == at_percent(latencies, 50)
+    assert got.p95_latency_ms == at_percent(latencies, 95)
     assert got.total_cost_usd == pytest.approx(0.8) and got.cost_per_row_usd == pytest.approx(0.16)
 
 

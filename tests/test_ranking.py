@@ -1,4 +1,5 @@
 import random
+from decimal import ROUND_HALF_EVEN, Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,10 +9,10 @@ from qualitygate.plans import first_by, ranking, value_at_rank
 from tests.conftest import rows
 
 
-def python_percentile(values, pct):
-    """Nearest rank with Python's own rounding."""
-    ordered = sorted(values)
-    return ordered[max(0, min(len(ordered) - 1, int(round((pct / 100.0) * (len(ordered) - 1)))))]
+def at_percent(values, percent):
+    """The value whose place is the nearest to ``percent`` of the way from first to last, halves to the even place."""
+    place = (Decimal(str(percent)) / 100 * (len(values) - 1)).quantize(Decimal(1), rounding=ROUND_HALF_EVEN)
+    return sorted(values)[int(place)]
 
 
 @pytest.mark.parametrize("window_rows", [1_000_000, 20])
@@ -30,7 +31,7 @@ def test_value_at_rank_equals_brute_force(spark, window_rows):
     df = spark.createDataFrame(data, "g string, v double").repartition(5)
     percents = (0, 1, 50, 95, 99.9, 100)
     got = value_at_rank(df, ["g"], "v", {f"p{i}": nearest_rank(p) for i, p in enumerate(percents)}, window_rows)
-    want = [(g, *[python_percentile(vs, p) for p in percents]) for g, vs in groups.items()]
+    want = [(g, *[at_percent(vs, p) for p in percents]) for g, vs in groups.items()]
     assert rows(got) == sorted(want, key=repr)
 
 
@@ -38,7 +39,7 @@ def test_value_at_rank_equals_brute_force(spark, window_rows):
 def test_half_to_even(spark, n):
     df = spark.range(n).select(F.col("id").cast("double").alias("v"))
     got = value_at_rank(df, [], "v", {"p50": nearest_rank(50), "p95": nearest_rank(95)})
-    assert rows(got) == [(python_percentile(range(n), 50), python_percentile(range(n), 95))]
+    assert rows(got) == [(at_percent(range(n), 50), at_percent(range(n), 95))]
 
 
 def test_no_values_no_row(spark):

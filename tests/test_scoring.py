@@ -263,6 +263,26 @@ def test_throttle_sets_the_number_of_calls_in_flight(notes):
         assert batches.answers(df, SPEC).rdd.getNumPartitions() == n
 
 
+def test_many_rows_are_scored_in_waves_of_few_tasks(notes):
+    def scorer(state, questions, answer):
+        return answer(state, questions)
+
+    df = numbered(notes, 50).repartition(7)
+    waves = qg.BatchEvaluator(by_value(scorer), options=FAST, task_rows=5)
+    at_once = qg.BatchEvaluator(by_value(scorer), options=FAST, throttle=False)
+    assert rows(waves.answers(df, SPEC), "row_id", "error") == rows(at_once.answers(df, SPEC), "row_id", "error")
+
+
+@pytest.mark.parametrize("limit", [100_000, 0])
+@pytest.mark.parametrize("copies", [1, 2])
+def test_bookkeeping_columns_stay_whatever_repeats(notes, monkeypatch, limit, copies):
+    monkeypatch.setattr(scoring, "BROADCAST_ROWS", limit)
+    df = notes(DATA[:1] * copies + [("7", "v1", "w", "b")]).withColumn("_from", F.lit("here"))
+    got = scoring.first_per_key(df)
+    assert got.columns == [*df.columns, "_copies"]
+    assert rows(got, "row_id", "_from", "_copies") == [("1", "here", copies), ("7", "here", 1)]
+
+
 def test_registry():
     qg.register_evaluator("Mine", lambda: EXPRESSION)
     assert qg.get_evaluator(" mine ") is EXPRESSION

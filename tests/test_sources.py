@@ -41,7 +41,7 @@ def test_bad_dates(tickets):
 def test_csv_and_json_round_trips(spark, tickets, tmp_path):
     df = conform(tickets(AWKWARD), qg.TICKETS)
     write_csv(df, str(tmp_path / "c"))
-    assert rows(read_csv(spark, str(tmp_path / "c"), df.schema)) == rows(df)
+    assert rows(read_csv(spark, str(tmp_path / "c"), df.schema, line_breaks=True)) == rows(df)
     write_json(df, str(tmp_path / "j"))
     assert rows(read_json(spark, str(tmp_path / "j"), df.schema)) == rows(df)
 
@@ -57,7 +57,7 @@ def test_json_array_files_and_plain_csv(spark, tmp_path):
         writer = csv.writer(out)
         writer.writerow(qg.TICKETS.columns)
         writer.writerows(AWKWARD[:1])
-    got = read_csv(spark, str(tmp_path / "a.csv"), qg.TICKETS.schema).first()
+    got = read_csv(spark, str(tmp_path / "a.csv"), qg.TICKETS.schema, line_breaks=True).first()
     assert (got.ticket_text, got.resolution_summary) == (AWKWARD[0][2], AWKWARD[0][4])
 
 
@@ -134,7 +134,7 @@ def test_export_all_counts(spark, tickets, tmp_path):
     v2 = qg.fork_version(v1, "v2", {"category": F.lit("other")})
     both = qg.stack_versions(v1, v2)
     assert qg.export_all({"tickets": (qg.TICKETS, both)}, str(tmp_path)) == {"tickets": (8, 2)}
-    assert rows(read_csv(spark, str(tmp_path / "tickets.csv"), qg.TICKETS.schema)) == rows(both)
+    assert rows(read_csv(spark, str(tmp_path / "tickets.csv"), qg.TICKETS.schema, line_breaks=True)) == rows(both)
 
 
 def test_manifest_is_one_scan_without_a_join(spark, tickets, tmp_path):
