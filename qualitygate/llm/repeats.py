@@ -9,20 +9,24 @@ exact count over all documents before any text moves.
 
 from __future__ import annotations
 
+import uuid
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from qualitygate.llm.common import numbered, spool, text_of
 from qualitygate.llm.pretokens import text_blocks
+from qualitygate.plans.scratch import new_folder
 
 #: Occurrences of a seed that one task handles; a seed with more of them is dealt out.
 HOT_SEED = 20_000
 #: Contexts of a seed that others are factored against.
 REFERENCES = 4
+#: Homes per task that writes documents, and rows in turn that share one.
+CHUNKS, ROWS_OF_CHUNK = 16, 200
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -129,12 +133,46 @@ def contexts(units, raw: list[bytes], length: int, k: int):
     return text, at - begin, first - begin, stop - begin, grams[at].view(np.int64)
 
 
-def base_rows(docs: DataFrame, text: str, key: str) -> DataFrame:
-    """row, doc_id and text of each document, written to the shared folder."""
-    return spool(numbered(docs, F.col(key).alias("doc_id"), text_of(text).alias("text")), "repeats")
+def _homes(spark: SparkSession, buckets: int) -> DataFrame:
+    """(bucket, chunk, home): for each bucket of a bucketed table some numbers that Spark's bucketing puts there."""
+    tried = spark.range(buckets * CHUNKS * 8).select(F.col("id").cast("int").alias("home"))
+    tried = tried.withColumn("bucket", F.pmod(F.hash("home"), F.lit(buckets)))
+    place = F.row_number().over(Window.partitionBy("bucket").orderBy("home")) - 1
+    return tried.withColumn("chunk", place).where(F.col("chunk") < CHUNKS).select("bucket", "chunk", "home")
 
 
-def repeated_seeds(base: DataFrame, units, length: int, k: int) -> tuple[DataFrame, DataFrame]:
+class Base:
+    """Documents written once as (row, doc_id, text, home), bucketed by ``home``, so that no text is shuffled.
+
+    A task writes one bucket: ``home`` follows from the row number, hence from the task, and its values are
+    chosen to fall into the task's own bucket. Whatever belongs to a document is sent to its home. A home
+    holds about 1 / CHUNKS of the texts of one input partition; a group in memory is that large.
+    """
+
+    def __init__(self, docs: DataFrame, text: str, key: str):
+        spark = docs.sparkSession
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.homes = spool(_homes(spark, self.buckets), "homes")
+        name = f"repeats_{uuid.uuid4().hex}"
+        rows = self.at_home(numbered(docs, F.col(key).alias("doc_id"), text_of(text).alias("text")))
+        writer = rows.write.format("parquet").option("compression", "zstd").option("path", new_folder(spark, "repeats"))
+        writer.bucketBy(self.buckets, "home").saveAsTable(name)
+        self.rows = spark.table(name)
+        self.id_type = docs.schema[key].dataType
+
+    def at_home(self, df: DataFrame) -> DataFrame:
+        """``df``, which has ``row``, with ``home``. The table of homes has CHUNKS rows per shuffle partition."""
+        bucket = F.pmod(F.shiftright("row", 33), F.lit(self.buckets)).cast("int")
+        chunk = F.pmod(F.floor(F.col("row").bitwiseAND(F.lit((1 << 33) - 1)) / ROWS_OF_CHUNK), F.lit(CHUNKS)).cast("int")
+        placed = df.withColumn("bucket", bucket).withColumn("chunk", chunk)
+        return placed.join(F.broadcast(self.homes), ["bucket", "chunk"]).drop("bucket", "chunk")
+
+    def meet(self, other: DataFrame, function, schema: str) -> DataFrame:
+        """``function(documents, rows of other)`` for each home; only ``other`` moves."""
+        return self.rows.groupBy("home").cogroup(self.at_home(other).groupBy("home")).applyInArrow(function, schema)
+
+
+def repeated_seeds(base: Base, units, length: int, k: int) -> tuple[DataFrame, DataFrame]:
     """Seeds that occur at least twice as (seed, n), and (row, seeds, shares) of the documents that have any.
 
     ``shares`` says over how many tasks the occurrences of a seed are to be dealt out.
@@ -147,7 +185,7 @@ def repeated_seeds(base: DataFrame, units, length: int, k: int) -> tuple[DataFra
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(seed))
             yield pa.RecordBatch.from_arrays([batch.column("row"), lists], names=["row", "seeds"])
 
-    made = spool(base.select("row", "text").mapInArrow(run, "row long, seeds array<long>"), "repeats")
+    made = spool(base.rows.select("row", "text").mapInArrow(run, "row long, seeds array<long>"), "repeats")
     every = made.select("row", F.explode("seeds").alias("seed"))
     seeds = spool(every.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "repeats")
     own = every.join(seeds, "seed").withColumn("shares", F.ceil(F.col("n") / HOT_SEED).cast("int"))
@@ -155,25 +193,20 @@ def repeated_seeds(base: DataFrame, units, length: int, k: int) -> tuple[DataFra
     return seeds, spool(flags.select("row", F.col("own.seed").alias("seeds"), F.col("own.shares").alias("shares")), "repeats")
 
 
-def with_flags(placed: DataFrame, flags: DataFrame) -> DataFrame:
-    """Documents next to their repeated seeds; a left join, so that no filter parts the exchange of ``placed``."""
-    own = flags.withColumnRenamed("row", "flagged").hint("shuffle_hash")
-    return placed.join(own, F.col("row") == F.col("flagged"), "left").select("row", "text", "seeds", "shares")
-
-
-def flagged_contexts(batches, units, length: int, k: int, shares_at_least: int, shares_at_most: float = float("inf")):
+def flagged_contexts(docs: pa.Table, flags: pa.Table, units, length: int, k: int, shares_at_least: int, shares_at_most: float = float("inf")):
     """For each text with repeated seeds: (row, its units, and of its repeated contexts the arrays first, last, anchor, seed, shares).
 
     Seeds with fewer or more shares are left out.
     """
-    for batch, texts in text_blocks(batches):
-        keep = [i for i, s in enumerate(batch.column("seeds").is_valid().to_pylist()) if s]
+    known_of = dict(zip(flags["row"].to_pylist(), zip(flags["seeds"].to_pylist(), flags["shares"].to_pylist(), strict=True), strict=True))
+    for batch, texts in text_blocks(docs.to_batches()):
+        rows = batch.column("row").to_pylist()
+        keep = [i for i, r in enumerate(rows) if r in known_of]
         raw = [texts[i].encode() for i in keep]
         text, anchor, first, last, seed = contexts(units, raw, length, k)
-        bounds = np.searchsorted(text, np.arange(len(raw) + 1))
-        rows, seeds, shares = (batch.column(c) for c in ("row", "seeds", "shares"))
-        for i, a, b in zip(range(len(raw)), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-            known, parts = np.array(seeds[keep[i]].as_py()), np.array(shares[keep[i]].as_py())
+        bounds = np.searchsorted(text, np.arange(len(raw) + 1)).tolist()
+        for i, a, b in zip(range(len(raw)), bounds[:-1], bounds[1:], strict=True):
+            known, parts = (np.array(x) for x in known_of[rows[keep[i]]])
             wanted = (parts >= shares_at_least) & (parts <= shares_at_most)
             known, parts = known[wanted], parts[wanted]
             if not len(known):
@@ -182,22 +215,21 @@ def flagged_contexts(batches, units, length: int, k: int, shares_at_least: int,
             at = np.minimum(np.searchsorted(known[order], seed[a:b]), len(known) - 1)
             own = np.flatnonzero(known[order][at] == seed[a:b])
             if len(own):
-                yield rows[keep[i]].as_py(), units.units(raw[i]), first[a:b][own], last[a:b][own], anchor[a:b][own], seed[a:b][own], parts[order][at[own]]
+                yield rows[keep[i]], units.units(raw[i]), first[a:b][own], last[a:b][own], anchor[a:b][own], seed[a:b][own], parts[order][at[own]]
+
+
+CONTEXT = "seed long, share long, shares long, row long, first long, anchor long, context binary"
 
 
 def _emit_contexts(units, length, k, least_shares):
-    def run(batches):
-        names = ["seed", "share", "shares", "row", "first", "anchor", "context"]
+    def run(docs, flags):
+        names = [f.split()[0] for f in CONTEXT.split(", ")]
         out: list[list] = [[] for _ in names]
-        for row, own, first, last, anchor, seed, shares in flagged_contexts(batches, units, length, k, least_shares):
+        for row, own, first, last, anchor, seed, shares in flagged_contexts(docs, flags, units, length, k, least_shares):
             for f, z, a, s, n in zip(first.tolist(), last.tolist(), anchor.tolist(), seed.tolist(), shares.tolist(), strict=True):
                 for column, value in zip(out, (s, (row * 0x9E3779B1 >> 8) % n, n, row, f, a - f, units.join(own[f : z + length])), strict=True):
                     column.append(value)
-            if len(out[0]) > 20_000:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in out], names=names)
-                out = [[] for _ in names]
-        if out[0]:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in out], names=names)
+        return pa.table([pa.array(c, pa.int64() if n != "context" else pa.binary()) for c, n in zip(out, names, strict=True)], names=names)
 
     return run
 
@@ -278,14 +310,14 @@ def _factor(units, length):
     return run
 
 
-def factored_spans(placed: DataFrame, flags: DataFrame, units, length: int, k: int, least_shares: int = 1) -> DataFrame:
+def factored_spans(base: Base, flags: DataFrame, units, length: int, k: int, least_shares: int = 1) -> DataFrame:
     """(row, start, stop) of repeated stretches, from contexts of seeds with at least so many shares.
 
     A seed's occurrences are read in order by one task, which holds only the references; a hot
     seed is dealt out by row into shares with references of their own, whose windows take
     part in the exact count, so that nothing is lost between shares.
     """
-    made = with_flags(placed, flags).mapInArrow(_emit_contexts(units, length, k, least_shares), "seed long, share long, shares long, row long, first long, anchor long, context binary")
+    made = base.meet(flags, _emit_contexts(units, length, k, least_shares), CONTEXT)
     ordered = made.repartition("seed", "share").sortWithinPartitions("seed", "share", "row", "first")
     found = spool(ordered.mapInArrow(_factor(units, length), "row long, start long, stop long, digest binary"), "repeats")
     doubts = found.where("digest is not null")
@@ -301,30 +333,31 @@ def merged(starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
     return np.stack([starts[new], reach[np.append(np.flatnonzero(new)[1:] - 1, len(starts) - 1)]], axis=1)
 
 
-def without_spans(placed: DataFrame, spans: DataFrame, units) -> DataFrame:
+def without_spans(base: Base, spans: DataFrame, units) -> DataFrame:
     """doc_id, n_units, spans and the kept content of each document, as bytes."""
-    kind = placed.schema["doc_id"].dataType
-    lists = spans.groupBy("row").agg(F.collect_list("start").alias("starts"), F.collect_list("stop").alias("stops")).withColumnRenamed("row", "spanned")  # at most one span per context of a document
-    both = placed.join(lists.hint("shuffle_hash"), F.col("row") == F.col("spanned"), "left").select("doc_id", "text", "starts", "stops")
 
-    def run(batches):
-        for batch in batches:
-            out = []
-            for text, starts, stops in zip(*(batch.column(c).to_pylist() for c in ("text", "starts", "stops")), strict=True):
-                own = units.units(text.encode())
-                gone = merged(np.array(starts), np.array(stops)).tolist() if starts else []
-                kept, at = [], 0
-                for a, b in gone:
-                    kept.append(own[at:a])
-                    at = b
-                kept.append(own[at:])
-                flat = b"".join(kept) if isinstance(own, bytes) else b" ".join(w for part in kept for w in part)
-                out.append((len(own), [{"start": a, "stop": b} for a, b in gone], flat))
-            span = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
-            n, gone, kept = zip(*out, strict=True) if out else ((), (), ())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(gone, span), pa.array(kept, pa.binary())], names=["doc_id", "n_units", "spans", "kept"])
-
-    return both.mapInArrow(run, f"doc_id {kind.simpleString()}, n_units long, spans array<struct<start: long, stop: long>>, kept binary")
+    def run(docs, found):
+        gone_of: dict[int, tuple[list, list]] = {}
+        for row, start, stop in zip(*(found[c].to_pylist() for c in ("row", "start", "stop")), strict=True):
+            starts, stops = gone_of.setdefault(row, ([], []))
+            starts.append(start)
+            stops.append(stop)
+        n_units, every, flat = [], [], []
+        for row, text in zip(docs["row"].to_pylist(), docs["text"].to_pylist(), strict=True):
+            own = units.units(text.encode())
+            gone = merged(*map(np.array, gone_of[row])).tolist() if row in gone_of else []
+            kept, at = [], 0
+            for a, b in gone:
+                kept.append(own[at:a])
+                at = b
+            kept.append(own[at:])
+            n_units.append(len(own))
+            every.append([{"start": a, "stop": b} for a, b in gone])
+            flat.append(b"".join(kept) if isinstance(own, bytes) else b" ".join(w for part in kept for w in part))
+        span = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
+        return pa.table({"doc_id": docs["doc_id"], "n_units": pa.array(n_units, pa.int64()), "spans": pa.array(every, span), "kept": pa.array(flat, pa.binary())})
+
+    return base.meet(spans, run, f"doc_id {base.id_type.simpleString()}, n_units long, spans array<struct<start: long, stop: long>>, kept binary")
 
 
 def removed(column: str = "spans"):

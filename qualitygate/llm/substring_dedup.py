@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from qualitygate.llm.repeats import Words, base_rows, factored_spans, repeated_seeds, without_spans
+from qualitygate.llm.repeats import Base, Words, factored_spans, repeated_seeds, without_spans
 
 #: Words of a seed.
 SEED = 8
@@ -24,8 +24,7 @@ def drop_repeated_words(docs: DataFrame, window: int = 35, text: str = "text", k
     on the input, so all copies go. Null and empty texts have no words; rows with null or
     repeated ids are documents of their own, and an empty table gives no rows.
     """
-    base = base_rows(docs, text, key)
-    placed = base.repartition("row")
+    base = Base(docs, text, key)
     _, flags = repeated_seeds(base, Words, window, min(SEED, window))
-    spans = factored_spans(placed, flags, Words, window, min(SEED, window))
-    return without_spans(placed, spans, Words)
+    spans = factored_spans(base, flags, Words, window, min(SEED, window))
+    return without_spans(base, spans, Words)

@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from qualitygate.llm import repeats
-from qualitygate.llm.repeats import Bytes, base_rows, factored_spans, flagged_contexts, repeated_seeds, with_flags, without_spans
+from qualitygate.llm.repeats import Base, Bytes, factored_spans, flagged_contexts, repeated_seeds, without_spans
 
-#: Bytes of a seed; suffixes of a run; occurrences that one part should hold.
-SEED, RUN, PART = 64, 20_000, 30_000
+#: Bytes of a seed, and occurrences that one part should hold.
+SEED, PART = 64, 30_000
 
 RUN_SCHEMA = "part long, prefixes array<int>, rests binary, rights array<int>, befores binary, lefts array<int>, times array<int>, rows array<long>, firsts array<long>"
 
@@ -53,20 +53,16 @@ def _run_rows(found: dict, parts: int) -> pa.RecordBatch:
         out.append((part, prefixes, b"".join(rests), [len(x[0]) for x in own], b"".join(x[1] for x in own), [len(x[1]) for x in own], [len(x[2]) for x in own], [p[0] for p in places], [p[1] for p in places]))
     ints, longs = pa.list_(pa.int32()), pa.list_(pa.int64())
     types = (pa.int64(), ints, pa.binary(), ints, pa.binary(), ints, ints, longs, longs)
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=[f.split()[0] for f in RUN_SCHEMA.split(", ")])
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [()] * len(types), types, strict=True)], names=[f.split()[0] for f in RUN_SCHEMA.split(", ")])
 
 
 def _runs(length: int, k: int, parts: int):
-    def run(batches):
+    def run(docs, flags):
         found: dict[tuple, list] = {}
-        for row, own, first, last, anchor, seed, _ in flagged_contexts(batches, Bytes, length, k, 1, 1):
+        for row, own, first, last, anchor, seed, _ in flagged_contexts(docs, flags, Bytes, length, k, 1, 1):
             for f, z, a, part in zip(first.tolist(), last.tolist(), anchor.tolist(), (seed % parts).tolist(), strict=True):
                 found.setdefault((part, own[a : z + length], own[f:a][::-1]), []).append((row, f))
-            if len(found) > RUN:
-                yield _run_rows(found, parts)
-                found.clear()
-        if found:
-            yield _run_rows(found, parts)
+        return pa.Table.from_batches([_run_rows(found, parts)])
 
     return run
 
@@ -231,13 +227,12 @@ def drop_repeated_bytes(docs: DataFrame, length: int = 400, text: str = "text",
     windows instead, to the same result.
     """
     k = min(SEED, length)
-    base = base_rows(docs, text, key)
-    placed = base.repartition("row")
+    base = Base(docs, text, key)
     seeds, flags = repeated_seeds(base, Bytes, length, k)
     usual, hot = seeds.agg(F.sum(F.when(F.col("n") <= repeats.HOT_SEED, F.col("n"))), F.max("n")).first()
     parts = max(1, -(-(usual or 0) // PART))
-    runs = with_flags(placed, flags).mapInArrow(_runs(length, k, parts), RUN_SCHEMA)
+    runs = base.meet(flags, _runs(length, k, parts), RUN_SCHEMA)
     spans = runs.repartition("part").sortWithinPartitions("part").mapInArrow(_merge_parts(length, k), "row long, start long, stop long")
     if (hot or 0) > repeats.HOT_SEED:
-        spans = spans.union(factored_spans(placed, flags, Bytes, length, k, 2))
-    return without_spans(placed, spans, Bytes)
+        spans = spans.union(factored_spans(base, flags, Bytes, length, k, 2))
+    return without_spans(base, spans, Bytes)
