@@ -985,7 +985,7 @@ def check_completeness_of_blanks(spark, folder):
 
 @query(
     f"""WITH {t.EVENTS_SCORED_SQL},
-partly AS (SELECT row_id, deployment_version, CASE WHEN user_id % 3 = 0 THEN NULL ELSE round(quality, 2) END AS quality FROM ev_scored),
+partly AS (SELECT row_id, deployment_version, CASE WHEN user_id % 3 = 0 THEN NULL ELSE (user_id % 8)::DOUBLE / 8.0::DOUBLE END AS quality FROM ev_scored),
 worst AS (SELECT *, row_number() OVER (PARTITION BY deployment_version ORDER BY quality NULLS LAST, row_id) AS rn FROM partly)
 SELECT k, deployment_version, row_id, quality FROM worst, (VALUES (900), (5000)) AS ks(k) WHERE rn <= k"""
 )
@@ -995,7 +995,7 @@ def review_queue_null_quality(spark, folder):
         t.events(spark, folder).select(F.col("row_id").alias("id"), "user_id"), F.col("row_id") == F.col("id")
     )
     some = evals.select(
-        "row_id", "deployment_version", F.when(F.col("user_id") % 3 != 0, F.round("quality", 2)).alias("quality")
+        "row_id", "deployment_version", F.when(F.col("user_id") % 3 != 0, F.col("user_id") % 8 / 8.0).alias("quality")
     )
     return qg.worst_rows(some, 900).withColumn("k", F.lit(900)).unionByName(qg.worst_rows(some, 5000).withColumn("k", F.lit(5000)))
 

@@ -89,9 +89,11 @@ def first_rows(
     return before_cut.unionByName(at_cut)
 
 
-def _cut_values(df: DataFrame, groups: Sequence[str], by: str, keep: Callable[[Column], Column]) -> DataFrame:
-    """Per group: the value ``_at`` of the last row to keep, ``_copies`` of it and ``_take`` of those."""
-    counted = df.groupBy(*groups, by).agg(F.count("*").alias("_copies"))
+def _cut_values(counted: DataFrame, groups: Sequence[str], by: str, keep: Callable[[Column], Column]) -> DataFrame:
+    """Per group: the value ``_at`` of the last row to keep, ``_copies`` of it and ``_take`` of those.
+
+    ``counted`` has the ``_copies`` of each value of each group.
+    """
     tagged = _buckets(counted, groups, [F.col(by).asc_nulls_last()])
     reached = _reached(tagged, groups, F.col("_copies"), lambda n: F.least(keep(n), n))
     last = small_side(reached.filter(F.col("_room") <= F.col("_rows")))
@@ -121,10 +123,11 @@ def first_by(
     ``ties`` must tell apart all rows that differ. A table counted to be small is simply numbered.
     """
     columns = df.columns
-    if df.count() <= SMALL_TABLE_ROWS:
+    counted = spool(df.groupBy(*groups, by).agg(F.count("*").alias("_copies")))
+    if (counted.agg(F.sum("_copies")).first()[0] or 0) <= SMALL_TABLE_ROWS:
         sized = df.withColumn("_size", F.count("*").over(Window.partitionBy(*groups)))
         return _numbered(sized, groups, (by, *ties), keep(F.col("_size"))).select(*columns)
-    cuts = small_side(_cut_values(df, groups, by, keep))
+    cuts = small_side(_cut_values(counted, groups, by, keep))
     joined = df.join(cuts, _same(df, cuts, [(g, f"_cut_{g}") for g in groups]), "inner")
     value, at = F.col(by), F.col("_at")
     before = F.when(at.isNull(), value.isNotNull()).otherwise(F.coalesce(value < at, F.lit(False)))
@@ -165,6 +168,7 @@ def value_at_rank(
         F.col("_v").isNotNull()
     )
 
+    rows = spool(rows)  # narrow; whatever made the values is not done again in every round
     size = F.col("_size")
     targets = F.array(*[F.struct(F.lit(n).alias("_name"), r(size).cast("long").alias("_rank")) for n, r in ranks.items()])
     none = F.lit(None).cast("double")
@@ -177,9 +181,9 @@ def value_at_rank(
         .withColumn("_answer", none)
     )
     while (state.filter(F.col("_answer").isNull()).agg(F.max("_size")).first()[0] or 0) > window_rows:
-        state = _narrow(rows, keys, state)
+        state = _narrow(rows, keys, state, not groups)
 
-    open_rows = _inside(rows, keys, state)
+    open_rows = _inside(rows, keys, state, not groups)
     id_columns = [*keys, "_name"]
     counted = open_rows.groupBy(*id_columns, "_rank", "_v").agg(F.count("*").alias("_copies"))
     running = Window.partitionBy(*id_columns).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -195,21 +199,36 @@ def value_at_rank(
     return per_group.select(*[F.col(k).alias(g) for k, g in zip(keys, groups)], *ranks)
 
 
-def _inside(rows: DataFrame, keys: Sequence[str], state: DataFrame) -> DataFrame:
-    """Rows strictly between the bounds of each unsettled target, one copy per target."""
+def _inside(rows: DataFrame, keys: Sequence[str], state: DataFrame, single: bool) -> DataFrame:
+    """Rows strictly between the bounds of each unsettled target, one copy per target.
+
+    With a ``single`` group the bounds are literals and nothing is joined.
+    """
     todo = state.filter(F.col("_answer").isNull())
+    v, above, below = F.col("_v"), F.col("_above"), F.col("_below")
+    if single:
+        ends = [(t, t["_above"], t["_below"]) for t in todo.collect()]  # one row per wanted rank
+        inside = [
+            F.when(
+                (F.lit(True) if a is None else v > F.lit(a)) & (F.lit(True) if b is None else v < F.lit(b)),
+                F.struct(*[F.lit(t[c]).cast(todo.schema[c].dataType).alias(c) for c in ("_name", "_rank", "_size", "_above", "_below")]),
+            )
+            for t, a, b in ends
+        ]
+        none = F.array().cast("array<struct<_name:string,_rank:bigint,_size:bigint,_above:double,_below:double>>")
+        hits = F.filter(F.array(*inside), lambda t: t.isNotNull()) if inside else none
+        return rows.select(*keys, "_v", F.inline(hits))
     renamed = todo.select(*[F.col(k).alias(f"_s{k}") for k in keys], *[c for c in todo.columns if c not in keys])
     joined = rows.join(renamed, _same(rows, renamed, [(k, f"_s{k}") for k in keys]), "inner")
-    v, above, below = F.col("_v"), F.col("_above"), F.col("_below")
     return joined.filter((above.isNull() | (v > above)) & (below.isNull() | (v < below))).select(
         *keys, "_v", "_name", "_rank", "_size", "_above", "_below"
     )
 
 
-def _narrow(rows: DataFrame, keys: Sequence[str], state: DataFrame) -> DataFrame:
+def _narrow(rows: DataFrame, keys: Sequence[str], state: DataFrame, single: bool) -> DataFrame:
     """One round: propose an interval per target from a sketch, then count to see where the rank lies."""
     ids = [*keys, "_name", "_rank", "_size", "_above", "_below"]
-    inside = _inside(rows, keys, state)
+    inside = _inside(rows, keys, state, single)
     steps = [i / SKETCH_STEPS for i in range(SKETCH_STEPS + 1)]
     at = F.floor(F.col("_rank") / F.col("_size") * SKETCH_STEPS).cast("int") + 1
     proposed = small_side(

@@ -76,3 +76,9 @@ def test_hot_copies_spread_over_range_partitions(spark, many_partitions):
     tagged = ranking._buckets(df.withColumn("_salt", F.rand(11)), ["g"], [F.col("id"), F.col("_salt")])
     sizes = [r["count"] for r in tagged.groupBy("_bucket").count().collect()]
     assert len(sizes) == 3 and max(sizes) < 20_000
+
+
+def test_one_group_needs_no_join(spark):
+    df = spark.range(100).select(F.col("id").cast("double").alias("v"))
+    plan = value_at_rank(df, [], "v", {"p50": nearest_rank(50)})._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
