@@ -34,6 +34,8 @@ HEADLINE = [
     "export_manifest_roundtrip",
     "stream_scored",
     "full_loop",
+    "score_batch_throttled",
+    "gate_with_rejects",
 ]
 
 
