@@ -859,6 +859,22 @@ def stream_scored(spark, folder):
     return log.read().select("row_id", "deployment_version", F.round("quality", 9).alias("quality"))
 
 
+@query(
+    f"""WITH {t.EVENTS_SCORED_SQL}
+SELECT row_id, deployment_version, round(quality, 9) AS quality FROM ev_scored"""
+)
+def stream_scored_in_batches(spark, folder):
+    """Several micro-batches, and all rows of one version once more: each key is scored once."""
+    events, arriving = t.table(spark, folder, "events"), new_folder(spark, "arriving")
+    events.repartition(3, "event_id").write.parquet(arriving)
+    events.filter(F.dayofmonth("ts") <= 15).coalesce(1).write.mode("append").parquet(arriving)
+    source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(arriving)
+    log = qg.MetricsLog(spark, new_folder(spark, "stream-metrics"))
+    checkpoint = new_folder(spark, "stream-checkpoint")
+    qg.score_stream(t.as_events(source), t.EVENTS, t.events_evaluator(), log, checkpoint).awaitTermination()
+    return log.read().select("row_id", "deployment_version", F.round("quality", 9).alias("quality"))
+
+
 @query(f"WITH {t.EVENTS_SQL} SELECT row_id, deployment_version, event_type FROM ev")
 def stream_drop_repeats(spark, folder):
     schema = t.table(spark, folder, "events").schema

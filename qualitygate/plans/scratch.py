@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,9 +32,29 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_made = threading.local()
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder; nothing is created or removed."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder; nothing is created, and removed only by ``temporary``."""
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if getattr(_made, "paths", None) is not None:
+        _made.paths.append(path)
+    return path
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Remove the folders that this thread gets from ``new_folder`` meanwhile, once their tables are used up."""
+    before, _made.paths = getattr(_made, "paths", None), []
+    try:
+        yield
+    finally:
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _made.paths:
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)
+        _made.paths = before
 
 
 def pin(df: DataFrame) -> DataFrame:

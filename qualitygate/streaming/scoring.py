@@ -12,6 +12,7 @@ from qualitygate.operators.checks import passing_rows
 from qualitygate.operators.evaluators import Evaluator
 from qualitygate.operators.routing import route_hash_sample
 from qualitygate.plans.loop import score_into
+from qualitygate.plans.scratch import spool, temporary
 from qualitygate.sources.metrics_log import MetricsLog
 from qualitygate.spec import KEYS, DatasetSpec
 
@@ -47,23 +48,22 @@ def score_stream(
     which bounds the work a failure can lose. ``seen_since`` (a date) limits how far back the log is
     searched when repeats are known to come within some days. Rows that cannot be scored stop the
     stream unless ``rejects`` names a folder for them. ``on_batch`` gets every micro-batch before scoring,
-    e.g. for deterministic checks. Only keys scored by this evaluator count as known; of rows with equal
+    e.g. for deterministic checks. Intermediate tables of a batch
+    are removed when it is done. Only keys scored by this evaluator count as known; of rows with equal
     keys the first by ``tie_break`` is scored.
     """
     log.create()
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
+        with temporary(batch.sparkSession):
+            arrived = spool(batch)  # read and routed once, for checks and for scoring
             if on_batch is not None:
-                on_batch(batch, batch_id)
-            rows = passing_rows(batch, spec, as_of) if only_passing else batch
+                on_batch(arrived, batch_id)
+            rows = passing_rows(arrived, spec, as_of) if only_passing else arrived
             routed = route_hash_sample(rows, spec, rate)
             seen = log.read(seen_since).filter(F.col("backend") == evaluator.name)
             run = f"batch-{batch_id}"
             score_into(log, routed, spec, evaluator, run, seen, repeat_copies=False, rejects=rejects, tie_break=tie_break)
-        finally:
-            batch.unpersist()
 
     return (
         stream.writeStream.foreachBatch(handle)

@@ -175,3 +175,15 @@ def test_jobs_from_the_command_line(spark, two_versions, tmp_path, capsys):
     assert main(["export", *common, "--out", str(tmp_path / "out")]) == 0
     assert "tickets: 26 rows, 13 changed columns" in capsys.readouterr().out
     assert load_evaluator("tests.test_loop_and_stream:GOOD") == GOOD
+
+
+def test_folders_made_meanwhile_are_removed(spark):
+    from pathlib import Path
+
+    from qualitygate.plans.scratch import new_folder, spool, temporary
+
+    with temporary(spark):
+        kept = spool(spark.range(3))
+        (folder,) = {Path(f.removeprefix("file:")).parent for f in kept.inputFiles()} or {Path(new_folder(spark, "x"))}
+        assert folder.exists()
+    assert not folder.exists()
