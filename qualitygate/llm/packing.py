@@ -24,7 +24,7 @@ from qualitygate.llm.common import spool, text_of
 from qualitygate.llm.pretokens import split, text_blocks
 
 #: Groups of large lengths; lengths over 1 / LARGE of the capacity are large.
-GROUPS, LARGE = 40, 4
+GROUPS, LARGE = 250, 3
 #: Words whose ids a Python worker remembers.
 REMEMBERED = 400_000
 

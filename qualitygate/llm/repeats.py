@@ -23,6 +23,8 @@ from qualitygate.plans.scratch import new_folder
 
 #: Occurrences of a seed that one task handles; a seed with more of them is dealt out.
 HOT_SEED = 20_000
+#: Occurrences that are not worth dealing out.
+LEAST_SHARE = 500
 #: Contexts of a seed that others are factored against.
 REFERENCES = 4
 #: Homes per task that writes documents, and rows in turn that share one.
@@ -151,7 +153,7 @@ class Base:
 
     def __init__(self, docs: DataFrame, text: str, key: str):
         spark = docs.sparkSession
-        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.buckets = min(100_000, int(spark.conf.get("spark.sql.shuffle.partitions")))  # as many buckets as Spark allows
         self.homes = spool(_homes(spark, self.buckets), "homes")
         name = f"repeats_{uuid.uuid4().hex}"
         rows = self.at_home(numbered(docs, F.col(key).alias("doc_id"), text_of(text).alias("text")))
@@ -172,10 +174,11 @@ class Base:
         return self.rows.groupBy("home").cogroup(self.at_home(other).groupBy("home")).applyInArrow(function, schema)
 
 
-def repeated_seeds(base: Base, units, length: int, k: int) -> tuple[DataFrame, DataFrame]:
+def repeated_seeds(base: Base, units, length: int, k: int, even: bool = False) -> tuple[DataFrame, DataFrame]:
     """Seeds that occur at least twice as (seed, n), and (row, seeds, shares) of the documents that have any.
 
-    ``shares`` says over how many tasks the occurrences of a seed are to be dealt out.
+    ``shares`` says over how many tasks the occurrences of a seed are to be dealt out: one per
+    HOT_SEED of them, and with ``even`` so many that none has much more than a task's part of all.
     """
 
     def run(batches):
@@ -188,7 +191,10 @@ def repeated_seeds(base: Base, units, length: int, k: int) -> tuple[DataFrame, D
     made = spool(base.rows.select("row", "text").mapInArrow(run, "row long, seeds array<long>"), "repeats")
     every = made.select("row", F.explode("seeds").alias("seed"))
     seeds = spool(every.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "repeats")
-    own = every.join(seeds, "seed").withColumn("shares", F.ceil(F.col("n") / HOT_SEED).cast("int"))
+    limit = HOT_SEED
+    if even:
+        limit = min(limit, (seeds.agg(F.sum("n")).first()[0] or 0) // (4 * base.buckets) + LEAST_SHARE)
+    own = every.join(seeds, "seed").withColumn("shares", F.ceil(F.col("n") / limit).cast("int"))
     flags = own.groupBy("row").agg(F.collect_set(F.struct("seed", "shares")).alias("own"))
     return seeds, spool(flags.select("row", F.col("own.seed").alias("seeds"), F.col("own.shares").alias("shares")), "repeats")
 

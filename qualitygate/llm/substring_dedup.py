@@ -25,6 +25,6 @@ def drop_repeated_words(docs: DataFrame, window: int = 35, text: str = "text", k
     repeated ids are documents of their own, and an empty table gives no rows.
     """
     base = Base(docs, text, key)
-    _, flags = repeated_seeds(base, Words, window, min(SEED, window))
+    _, flags = repeated_seeds(base, Words, window, min(SEED, window), even=True)
     spans = factored_spans(base, flags, Words, window, min(SEED, window))
     return without_spans(base, spans, Words)

@@ -67,6 +67,7 @@ def test_bytes_against_brute_force(spark, monkeypatch, seed, hot):
 @pytest.mark.parametrize(("seed", "hot"), [(1, 20_000), (2, 3)])
 def test_words_against_brute_force(spark, monkeypatch, seed, hot):
     monkeypatch.setattr(repeats, "HOT_SEED", hot)
+    monkeypatch.setattr(repeats, "LEAST_SHARE", 1)
     texts = corpus(random.Random(seed), 40, 80, "ab \n\t")
     units = [(t or "").encode().split() for t in texts]
     got = drop_repeated_words(docs_of(spark, texts), 10).collect()
