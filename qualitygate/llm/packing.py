@@ -26,7 +26,7 @@ from qualitygate.llm.pretokens import split, text_blocks
 #: Groups of large lengths; lengths over 1 / LARGE of the capacity are large.
 GROUPS, LARGE = 250, 3
 #: Words whose ids a Python worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 
 @lru_cache(1)
@@ -38,18 +38,30 @@ def _tokenizer(path: str):
     return tokenizer
 
 
-_known: dict[str, dict[str, bytes]] = {}
+_recent: dict[str, dict[str, bytes]] = {}
+_older: dict[str, dict[str, bytes]] = {}
 
 
 def _word_ids(path: str, words: list[str]) -> dict[str, bytes]:
-    """The ids of each word as little-endian bytes; words are encoded once as long as they are remembered."""
-    known = _known.setdefault(path, {})
-    if len(known) > REMEMBERED:
-        known.clear()
-    new = [w for w in dict.fromkeys(words) if w not in known]
+    """The ids of each word as little-endian bytes; words met again before long are not encoded again.
+
+    What is remembered is in two halves: the older one goes when the recent one is full, except for words
+    that came again meanwhile, so frequent words stay.
+    """
+    recent = _recent.setdefault(path, {})
+    if len(recent) > REMEMBERED // 2:
+        _older[path], _recent[path] = recent, {}
+        recent = _recent[path]
+    older, new = _older.get(path, {}), []
+    for word in dict.fromkeys(words):
+        if word not in recent:
+            if word in older:
+                recent[word] = older[word]
+            else:
+                new.append(word)
     for word, ids in zip(new, _tokenizer(path).encode_batch(new, add_special_tokens=False), strict=True):
-        known[word] = np.array(ids.ids, "<u4").tobytes()
-    return known
+        recent[word] = np.array(ids.ids, "<u4").tobytes()
+    return recent
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -69,7 +81,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id:
 
         shape, part, seen = to_arrow_schema(arrow), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         last = np.array([end_id], "<u4").tobytes()
-        for batch, texts in text_blocks(batches):
+        for batch, texts in text_blocks(batches, 1_000_000):
             words, counts = split(texts)
             known = _word_ids(tokenizer, words)
             rows, a = [], 0

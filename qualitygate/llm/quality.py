@@ -159,7 +159,7 @@ def score(docs: DataFrame, model: Attention, text: str = "text") -> DataFrame:
     def run(batches):
         network = Attention(N_CLASSES**2 + 4)
         network.p = weights
-        for batch, texts in text_blocks(batches):
+        for batch, texts in text_blocks(batches, 500_000):
             x, counts = passages(texts)
             yield pa.RecordBatch.from_arrays([batch.column("kept"), pa.array(network.forward(x, counts)["score"])], names=["kept", "score"])
 

@@ -44,7 +44,7 @@ def transitions(docs: DataFrame, text: str = "text") -> np.ndarray:
 
     def count(batches):
         total = np.zeros(128 * 128, np.int64)
-        for _, texts in text_blocks(batches):
+        for _, texts in text_blocks(batches, 500_000):
             data = np.minimum(np.frombuffer("\n".join(texts).encode(), np.uint8), 127).astype(np.int64)
             total += np.bincount(data[:-1] * 128 + data[1:], minlength=128 * 128)
         yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(total)), pa.array(total[total > 0])], names=["pair", "n"])
@@ -168,7 +168,7 @@ def candidates(rows: DataFrame, looks: Looks) -> DataFrame:
     """(row, doc_id, start, stop, secret, features) of all candidates in rows of (row, doc_id, text)."""
 
     def run(batches):
-        for batch, texts in text_blocks(batches):
+        for batch, texts in text_blocks(batches, 500_000):
             own = [looks.found(t) for t in texts]
             kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("secret", pa.string()), ("features", pa.list_(pa.float64()))]))
             yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), pa.array(own, kind)], names=["row", "doc_id", "found"])

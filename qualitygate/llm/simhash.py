@@ -63,7 +63,7 @@ def fingerprints(docs: DataFrame, words: int, text: str, key: str, carry: bool =
 
     def run(batches):
         for batch in batches:
-            codes = [fingerprint(shingle_hashes(t, words)) for t in batch.column("text").to_pylist()]
+            codes = [fingerprint(shingle_hashes(t.as_py(), words)) for t in batch.column("text")]  # one text at a time
             columns = [batch.column(f.name) for f in kept.fields]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(np.array(codes, np.uint64).view(np.int64))], names=schema.names)
 
