@@ -119,6 +119,14 @@ def test_near_copies_against_brute_force_similarity(spark):
     assert {r.doc_id for r in drop_near_copies(docs).collect()} == set(label.values())
 
 
+def test_equal_fingerprints_are_no_near_copies(spark):
+    """A shingle that makes up over half of a text sets the whole fingerprint, whatever else is in it."""
+    texts = ["same " * 150 + " ".join(f"{name}{i}" for i in range(100)) for name in "ab"]
+    assert brute_code(texts[0], 5) == brute_code(texts[1], 5)
+    docs = spark.createDataFrame([(i, t, "f", 1, 2) for i, t in enumerate(texts)], SCHEMA)
+    assert {r.doc_id for r in drop_near_copies(docs).collect()} == {0, 1}
+
+
 def test_every_pair_within_reach_shares_a_variant(spark):
     rnd = random.Random(1)
     for bits in (4, 5, 7):
