@@ -1,4 +1,9 @@
-"""Secret scans: a wide pattern finds candidates, a random forest removes the false ones.
+"""Secret scans: wide patterns find candidates, a random forest removes the false ones.
+
+Candidates are runs of 16 or more signs of keys, tokens of such runs of 8 or more joined by dots,
+whatever is assigned to a credential word (of any length and signs; in quotes up to the closing
+one, else up to white space or one of ,;"'`<>) and the password before a URL's host. A secret that
+is none of these, as a short one in plain prose, is not found.
 
 The forest looks at a candidate's length, its transitions between and within character
 classes, how far words of a dictionary cover it, whether it stands in a path, and the words next to
@@ -14,20 +19,27 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from qualitygate.llm.common import numbered, spool, text_of
 from qualitygate.llm.pretokens import text_blocks
 
-#: What may be a secret: a long run of the signs that keys are made of.
+#: What may be a secret: a long run of the signs that keys are made of, or several joined by dots.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_\-]{16,}={0,2}")
+DOTTED = re.compile(r"(?<![A-Za-z0-9+/_\-.])[A-Za-z0-9_\-]{8,}(?:\.[A-Za-z0-9_\-]{8,})+")
+#: What is assigned to a credential word, and the password of a URL, whatever their signs.
+ASSIGNED = re.compile(
+    r"(?i:token|secret|key|password|passwd|pwd|auth|bearer|credentials?|authorization)[\"'`\]]{0,2}[ \t]*(?::=|=>|[=:])[ \t]*(?:(?i:bearer|basic)[ \t]+)?"
+    r"(?:\"(?P<a>[^\"\n]+)\"|'(?P<b>[^'\n]+)'|`(?P<c>[^`\n]+)`|(?P<d>[^\s,;\"'`<>]+))"
+)
+USERINFO = re.compile(r"://[^\s:/@]{0,256}:(?P<a>[^\s/]{1,256})@")
 #: Words that name what follows them a secret, or something harmless.
 CREDENTIAL = {"token", "secret", "key", "apikey", "password", "passwd", "pwd", "auth", "bearer", "credential", "credentials", "authorization"}
 HARMLESS = {"commit", "sha", "md5", "checksum", "hash", "uuid", "guid", "build", "revision", "digest", "isbn", "order", "phone", "blob", "base64", "png", "etag", "image", "tree"}
 #: Words of the dictionary: the most frequent of at least so many letters.
 DICTIONARY, LETTERS = 4000, 3
-FEATURES = ["length", "changes", "classes", "digits", "upper", "entropy", "likelihood", "coverage", "path", "assigned", "quoted", "credential", "harmless", "prose"]
+FEATURES = ["length", "changes", "classes", "digits", "upper", "entropy", "likelihood", "coverage", "path", "assigned", "quoted", "credential", "harmless", "prose", "userinfo"]
 TREES, DEPTH, KEEP = 40, 8, 0.5
 FINDING = "start long, stop long, secret string, features array<double>"
 
@@ -57,6 +69,13 @@ def transitions(docs: DataFrame, text: str = "text") -> np.ndarray:
     return np.log(table / table.sum(axis=1, keepdims=True))
 
 
+def spans(text: str) -> list[tuple[int, int]]:
+    """Places of all candidates; one may lie in another, the forest sees both."""
+    out = {m.span() for pattern in (CANDIDATE, DOTTED) for m in pattern.finditer(text)}
+    out |= {m.span(m.lastgroup) for pattern in (ASSIGNED, USERINFO) for m in pattern.finditer(text)}
+    return sorted(out)
+
+
 class Looks:
     """Features of candidates; sent to the tasks with its dictionary and transition table."""
 
@@ -87,12 +106,12 @@ class Looks:
 
         return [
             float(len(value)),
-            sum(a != b for a, b in zip(kinds, kinds[1:], strict=False)) / (len(kinds) - 1),
+            sum(a != b for a, b in zip(kinds, kinds[1:], strict=False)) / max(1, len(kinds) - 1),
             float(len(set(kinds))),
             kinds.count("d") / len(kinds),
             kinds.count("u") / len(kinds),
             float(-(counts * np.log2(counts)).sum()),
-            float(self.likelihood[codes[:-1], codes[1:]].mean()),
+            float(self.likelihood[codes[:-1], codes[1:]].mean()) if len(codes) > 1 else 0.0,
             self.coverage(value),
             float("/" in value or before[-1:] in tuple("/.\\~") or after[:1] in tuple("/\\")),
             float(bool(re.search(r"[=:]\s*[\"'`]?$", before))),
@@ -100,10 +119,11 @@ class Looks:
             closeness(CREDENTIAL),
             closeness(HARMLESS),
             sum(w in self.words for w in near + next_words) / 5,
+            float(after[:1] == "@" and "://" in before),
         ]
 
     def found(self, text: str) -> list[dict]:
-        return [{"start": m.start(), "stop": m.end(), "secret": m[0], "features": self.features(text, m.start(), m.end())} for m in CANDIDATE.finditer(text)]
+        return [{"start": a, "stop": b, "secret": text[a:b], "features": self.features(text, a, b)} for a, b in spans(text)]
 
 
 def labelled_examples(words: list[str], n: int = 1500, seed: int = 11) -> list[tuple[str, int, int, int]]:
@@ -150,15 +170,66 @@ def labelled_examples(words: list[str], n: int = 1500, seed: int = 11) -> list[t
         start = line.index("{v}")
         text = line.replace("{v}", secret) + rnd.choice([" ", "\n", ". "]) + " ".join(prose(rnd.randint(0, 5)))
         out.append((text, start, start + len(secret), label))
+    return out + _in_context(words, n, random.Random(seed + 1))
+
+
+def _in_context(words: list[str], n: int, rnd: random.Random) -> list[tuple[str, int, int, int]]:
+    """Findings of which only the context tells: short or odd passwords, URLs and dotted tokens against settings, prose and names."""
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    mixed, odd = letters + "0123456789", "!@#$%^&*?+~.-_"
+
+    def signs(alphabet, low, high):
+        return "".join(rnd.choice(alphabet) for _ in range(rnd.randint(low, high)))
+
+    def word():
+        return rnd.choice(words)
+
+    def password():
+        made = list(signs(mixed, 4, 12) + signs("0123456789", 1, 3) + signs(odd, 1, 3))
+        rnd.shuffle(made)
+        leet = word().capitalize().replace("o", "0").replace("e", "3").replace("a", "4") + signs("0123456789", 1, 3) + signs(odd, 1, 2) + signs(mixed, 0, 2)
+        return rnd.choice(["".join(made), leet, signs(mixed, 6, 7) + signs("0123456789", 2, 8)])
+
+    def plain():
+        return rnd.choice([word(), word().capitalize(), word(), signs("0123456789", 1, 4), "None", "null", "true", "required", "string", f"{word()}_{word()}", f"{word()}.{word()}", f"{word()}()", f"<{word()}>", f"${{{word().upper()}}}", f"{word()} {word()} {word()}"])
+
+    assigned = ['{n} = "{v}"', "{n}: {v}", "{n}={v}", "{n}: '{v}'", '"{n}": "{v}",']
+    out = []
+    for _ in range(n):
+        name = rnd.choice(sorted(CREDENTIAL))
+        name = rnd.choice([name, name.upper(), "db_" + name, "my " + name])
+        label, kind = int(rnd.random() < 0.5), rnd.randrange(4)
+        if kind < 2:
+            secret, frame = password() if label else plain(), rnd.choice(assigned)
+            secret = secret if any(sign in frame for sign in "\"'") else secret.replace(" ", "_").strip("<>")
+        elif kind == 2:
+            secret = password().replace("@", "!") if label else rnd.choice(["password", "pass", "<password>", "$PASSWORD", "xxxx", word()])
+            frame = f"{rnd.choice(['postgres', 'https', 'mysql', 'redis', 'amqp'])}://{word()}:{{v}}@{word()}.{word()}/{word()}"
+        elif label:
+            secret = "eyJ" + ".".join(signs(mixed + "-_", 18, 60) for _ in range(3))
+            frame = rnd.choice([*assigned, "Authorization: Bearer {v}", "{n} {v}"])
+        else:
+            secret = ".".join((word() + word() + word() + "____")[:20] for _ in range(rnd.randint(2, 4)))
+            frame = rnd.choice(["{v}", "see {v}", "import {v}", "https://{v}/", "{n}: {v}"])
+        lead = " ".join(word() for _ in range(rnd.randint(0, 6))) + rnd.choice([" ", "\n", ".\n"])
+        line = lead + frame.replace("{n}", name)
+        start = line.index("{v}")
+        out.append((line.replace("{v}", secret) + rnd.choice([" ", "\n"]) + " ".join(word() for _ in range(rnd.randint(0, 5))), start, start + len(secret), label))
     return out
 
 
 def train(looks: Looks, findings: list[tuple[str, int, int, int]], spark: SparkSession):
-    """A random forest from labelled findings (text, start, stop, label); every candidate that overlaps a finding has its label."""
+    """A random forest from labelled findings (text, start, stop, label); every candidate that overlaps a finding has its label.
+
+    A finding that no candidate overlaps is a row of its own.
+    """
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.functions import array_to_vector
 
-    rows = [(f["features"], float(label)) for text, start, stop, label in findings for f in looks.found(text) if f["start"] < stop and start < f["stop"]]
+    rows = []
+    for text, start, stop, label in findings:
+        near = [f["features"] for f in looks.found(text) if f["start"] < stop and start < f["stop"]]
+        rows += [(f, float(label)) for f in near or [looks.features(text, start, stop)]]
     table = spark.createDataFrame(rows, "features array<double>, label double").coalesce(1)
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=5, featureSubsetStrategy="sqrt")
     return forest.fit(table.select(array_to_vector("features").alias("features"), "label"))
@@ -193,17 +264,23 @@ def secret_findings(docs: DataFrame, text: str = "text", key: str = "doc_id", fi
 
     A null or empty text has none; rows with null or repeated ids are texts of their own, other
     columns are not looked at, and an empty table gives no rows. No candidate is dropped before
-    the forest has seen it.
+    the forest has seen it; what is a candidate is said above. A secret within another is part of it.
     """
     rows = numbered(docs, F.col(key).alias("doc_id"), text_of(text).alias("text"))
-    return _scored(rows, findings).where(F.col("score") >= KEEP).select("doc_id", "start", "stop", "secret", "score")
+    found = _scored(rows, findings).where(F.col("score") >= KEEP)
+    earlier = Window.partitionBy("row").orderBy("start", F.desc("stop")).rowsBetween(Window.unboundedPreceding, -1)
+    outer = found.withColumn("reached", F.coalesce(F.max("stop").over(earlier), F.lit(-1))).where("stop > reached")
+    return outer.select("doc_id", "start", "stop", "secret", "score")
 
 
 def redact(docs: DataFrame, text: str = "text", key: str = "doc_id", mark: str = "[SECRET]", findings=None) -> DataFrame:
     """``docs`` with each found secret replaced by ``mark``; all rows and columns stay, a null text stays null."""
     rows = spool(numbered(docs, F.col(key).alias("doc_id"), text_of(text).alias("text"), carry=True), "secrets")
     found = _scored(rows, findings).where(F.col("score") >= KEEP)
-    spans = found.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "stop")), asc=False).alias("spans"))  # bounded by the text
+    earlier = Window.partitionBy("row").orderBy("start", F.desc("stop")).rowsBetween(Window.unboundedPreceding, -1)
+    reached = found.withColumn("reached", F.coalesce(F.max("stop").over(earlier), F.lit(-1))).where("stop > reached")
+    apart = reached.select("row", F.greatest("start", "reached").alias("start"), "stop")  # what overlaps is cut where the one before it ends
+    spans = apart.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "stop")), asc=False).alias("spans"))  # bounded by the text
     clean = F.aggregate("spans", F.col("text"), lambda t, s: F.overlay(t, F.lit(mark), (s["start"] + 1).cast("int"), (s["stop"] - s["start"]).cast("int")))
     whole = rows.select("row", "kept_row").join(spans, "row", "left").withColumn("text", F.col(f"kept_row.{text}"))
     new = F.when(F.col("spans").isNull(), F.col("text")).otherwise(clean)

@@ -45,6 +45,20 @@ def test_redaction_and_edge_rows(spark, docs):
     assert redact(more.limit(0)).count() == secret_findings(more.limit(0)).count() == 0
 
 
+def test_secrets_that_context_tells(spark, docs):
+    """Short ones, other signs, a URL's password, and a dotted token as one."""
+    token = "eyJhbGciOiJIUzI1NiIsInR5cCI6IkpXVCJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0x9Qa.dozjgNryP4J3jVmNHl0w5N-XgL0n3I9Pl"
+    lines = ['password = "{}"', "api_key: {}", "db postgres://user:{}@host/db", "Authorization: Bearer {}"]
+    secrets = ["Tr0ub4dor&3", "x7Kq92LmZ4", "p4$$w0rd!7", token]
+    rows = [(i, line.format(secret)) for i, (line, secret) in enumerate(zip(lines, secrets, strict=True), 10**6)]
+    rows += [(i, t) for i, t in enumerate(["password: required", "the key = value", "see example.documentation.reference"], 2 * 10**6)]
+    table = docs.limit(300).union(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = {r.doc_id: r.secret for r in secret_findings(table).where("doc_id >= 1000000").collect()}
+    assert found == dict(enumerate(secrets, 10**6))
+    clean = {r.doc_id: r.text for r in redact(table).where("doc_id >= 1000000").collect()}
+    assert [clean[i] for i in range(10**6, 10**6 + 4)] == [line.format("[SECRET]") for line in lines]
+
+
 def test_coverage_takes_the_longest_word():
     looks = Looks(["the", "then", "cat"], np.zeros((128, 128)))
     assert looks.coverage("thencatx") == 7 / 8 and looks.coverage("xxxx") == 0
