@@ -299,7 +299,7 @@ def _similar(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
 def _similar_links(texts: DataFrame, own: DataFrame, least: DataFrame, total: int, words: int) -> DataFrame:
     """Links (u, v) that connect all classes of equal sets that are connected by similar sets.
 
-    Neighbours by size of each key are compared first; then, of all that share a key, only
+    Two neighbours by size of each set, of all its keys, are compared first; then, of all that share a key, only
     those that are not connected yet, so that a large group of near copies does not list its pairs.
     """
     keyed = _keyed(texts, words, _frequent(texts, total, words))
@@ -309,7 +309,8 @@ def _similar_links(texts: DataFrame, own: DataFrame, least: DataFrame, total: in
     shared = spool(shared.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("n > 1").drop("n"), "near")
     whole = F.struct("row", "size", "at", "s0", "s1", "s2", "s3")
     chain = shared.select(whole.alias("b"), F.lag(whole).over(Window.partitionBy("key").orderBy("size", "row")).alias("a")).where("a.row != b.row")
-    near = _similar(chain.where(_possible("a", "b")).select(F.col("a.row").alias("u"), F.col("b.row").alias("v")), texts, words)
+    ends = chain.where(_possible("a", "b")).groupBy(F.col("b.row").alias("v")).agg(F.array(F.min("a.row"), F.max("a.row")).alias("us"))
+    near = _similar(ends.select(F.explode("us").alias("u"), "v"), texts, words)
     labels = spool(components(near), "near")
     named = spool(shared.join(labels, F.col("row") == F.col("node"), "left").withColumn("component", F.coalesce("component", "row")).drop("node"), "near")
     apart = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
