@@ -3,7 +3,9 @@
 All documents are reference: their blocks are indexed by seeds, grams of words that every
 long enough window shares with its copies. A document is factored against the indexed blocks,
 each factor being stretched from the seed as far as the words agree; factors of at least a
-window become duplicate spans, and windows across factor boundaries are checked one by one.
+window become duplicate spans. Of a seed and share only the first four different contexts
+(``REFERENCES``) are factored against; all windows that no factor covers, not only those
+across factor boundaries, are found by an exact count of window digests.
 """
 
 from __future__ import annotations
