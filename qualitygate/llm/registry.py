@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import functions as F
 
-from qualitygate.llm import byte_bpe, neighbours, packing, quality, secret_scan, simhash
+from qualitygate.llm import byte_bpe, neighbours, packing, quality, secret_scan, simhash, spelling
 from qualitygate.llm.common import documents
 from qualitygate.llm.exact_dedup import exact_groups
 from qualitygate.llm.license_scan import license_scan
 from qualitygate.llm.repeats import removed
 from qualitygate.llm.substring_dedup import drop_repeated_words
 from qualitygate.llm.suffix_dedup import drop_repeated_bytes
+from qualitygate.llm.token_counts import token_counts
+
+
+def _tokenizer(name):
+    import public_tokenizers  # only here, so that the other queries do not need it
+
+    return public_tokenizers.path(name)
 
 
 def op1_suffix_array_dedup(spark, sf_dir):
@@ -26,7 +32,7 @@ def op2_secret_scan(spark, sf_dir):
 
 
 def op3_byte_bpe(spark, sf_dir):
-    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ranks = _tokenizer("byte_bpe_multi_50k.tiktoken")
     coded = byte_bpe.decode(byte_bpe.encode(documents(spark, sf_dir), ranks), ranks)
     listed = F.concat_ws(",", F.col("ids").cast("array<string>"))
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
@@ -50,7 +56,7 @@ def op7_license_scan(spark, sf_dir):
 
 
 def op8_best_fit_packing(spark, sf_dir):
-    pieces = packing.token_pieces(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+    pieces = packing.token_pieces(documents(spark, sf_dir), _tokenizer("byte_bpe_50k.json"))
     return packing.pack(pieces)
 
 
@@ -62,7 +68,29 @@ def op10_nearest_neighbours(spark, sf_dir):
     return neighbours.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_array_dedup, op2_secret_scan, op3_byte_bpe, op4_exact_dedup, op5_substring_dedup, op6_simhash, op7_license_scan, op8_best_fit_packing, op9_quality_classifier, op10_nearest_neighbours)}
+def op11_token_counts(spark, sf_dir):
+    return token_counts(documents(spark, sf_dir), _tokenizer("byte_bpe_50k.json"))
+
+
+def op12_spelling_variants(spark, sf_dir):
+    return spelling.spelling_variants(spelling.frequent_words(spelling.damaged(spelling.runs(documents(spark, sf_dir)))))
+
+
+_ALL = (
+    op1_suffix_array_dedup,
+    op2_secret_scan,
+    op3_byte_bpe,
+    op4_exact_dedup,
+    op5_substring_dedup,
+    op6_simhash,
+    op7_license_scan,
+    op8_best_fit_packing,
+    op9_quality_classifier,
+    op10_nearest_neighbours,
+    op11_token_counts,
+    op12_spelling_variants,
+)
+QUERIES = {f.__name__: f for f in _ALL}
 
 ORACLE = {
     "op4_exact_dedup": r"""
