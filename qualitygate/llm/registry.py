@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from qualitygate.llm import byte_bpe, neighbours, packing, quality, secret_scan, simhash, spelling
+from qualitygate.llm import byte_bpe, conversations, neighbours, packing, quality, secret_scan, simhash, spelling
 from qualitygate.llm.common import documents
 from qualitygate.llm.exact_dedup import exact_groups
 from qualitygate.llm.license_scan import license_scan
@@ -76,6 +76,11 @@ def op12_spelling_variants(spark, sf_dir):
     return spelling.spelling_variants(spelling.frequent_words(spelling.damaged(spelling.runs(documents(spark, sf_dir)))))
 
 
+def op13_conversation_repair(spark, sf_dir):
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return conversations.repair(conversations.damaged(turns), F.col("present"))
+
+
 _ALL = (
     op1_suffix_array_dedup,
     op2_secret_scan,
@@ -89,6 +94,7 @@ _ALL = (
     op10_nearest_neighbours,
     op11_token_counts,
     op12_spelling_variants,
+    op13_conversation_repair,
 )
 QUERIES = {f.__name__: f for f in _ALL}
 
