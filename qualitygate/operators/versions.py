@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from qualitygate.plans import small_side
 from qualitygate.spec import ROW_ID, VERSION, DatasetSpec
 
 
@@ -22,6 +23,23 @@ def stack_versions(*versions: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), versions)
 
 
+def _digest(columns: Sequence[str]) -> tuple[Column, Column]:
+    """128 bits that tell the texts of a row's columns, NULLs included, in two whole numbers."""
+    parts = [part for c in columns for part in (F.col(c).isNull(), F.col(c).cast("string"))]
+    return F.xxhash64(*parts), F.xxhash64(F.lit(1), *parts)
+
+
+def _ids_that_differ(df: DataFrame, columns: Sequence[str], before: str, after: str) -> DataFrame:
+    """Row ids of both versions whose rows are not all equal. Digests are hashed and moved, texts are not."""
+    one, other = _digest(columns)
+    sides = {"a": F.col(VERSION) == before, "b": F.col(VERSION) == after}
+    digests = df.select(ROW_ID, VERSION, one.alias("_one"), other.alias("_other"))
+    most = [end(F.when(side, F.col(c))).alias(f"{name}{c}{i}") for name, side in sides.items() for c in ("_one", "_other") for i, end in enumerate((F.min, F.max))]
+    found = digests.groupBy(ROW_ID).agg(*most).filter(F.col("a_one0").isNotNull() & F.col("b_one0").isNotNull())
+    same = [F.col(x) == F.col(f"a{c}0") for c in ("_one", "_other") for x in (f"a{c}1", f"b{c}0", f"b{c}1")]
+    return found.filter(~reduce(lambda x, y: x & y, same)).select(F.col(ROW_ID).alias("_r"))
+
+
 def drift_manifest(
     df: DataFrame, spec: DatasetSpec, before: str = "v1", after: str = "v2", tie_break: Sequence[str] = ()
 ) -> DataFrame:
@@ -31,33 +49,27 @@ def drift_manifest(
     version are skipped, NULL equals NULL, and of rows with the same id the last by ``tie_break``,
     then by the content columns, stands for all.
 
-    Both versions come out of one scan and one aggregation by row id instead of a self join; copies
-    of a hot id collapse before the shuffle.
+    The first scan compares digests of 128 bits in a hash aggregation by row id; the second fetches the texts of
+    those ids only that changed or have different copies. One row per id and version is picked
+    before the shuffle too, so a hot id weighs nothing.
     """
     order = list(dict.fromkeys([*tie_break, *spec.text_columns]))
-    # isNotNull first: a struct with NULLs ordered last is then the greatest, as in a sort
-    place = F.struct(*[part for c in order for part in (F.col(c).isNull().alias(f"_null_{c}"), F.col(c).alias(c))])
-
-    def last(version: str) -> Column:
-        return F.max(F.when(F.col(VERSION) == version, place))
-
-    both = (
-        df.filter(F.col(VERSION).isin(before, after))
-        .groupBy(ROW_ID)
-        .agg(last(before).alias("_a"), last(after).alias("_b"))
-        .filter(F.col("_a").isNotNull() & F.col("_b").isNotNull())
-    )
-
-    def text(side: str, column: str) -> Column:
-        return F.col(side).getField(column).cast("string")
-
+    rows = df.filter(F.col(VERSION).isin(before, after))
+    differ = small_side(_ids_that_differ(rows, spec.text_columns, before, after))
+    rows = rows.join(differ, F.col(ROW_ID).eqNullSafe(F.col("_r")), "left_semi").select(ROW_ID, VERSION, *order)
+    # the last in an order with NULLs last is the first in the order turned round
+    last = Window.partitionBy(ROW_ID, VERSION).orderBy(*[F.col(c).desc_nulls_first() for c in order])
+    picked = rows.withColumn("_place", F.row_number().over(last)).filter(F.col("_place") == 1)
+    texts = F.struct(*[F.col(c).cast("string").alias(c) for c in spec.text_columns])
+    older = F.lag(texts).over(Window.partitionBy(ROW_ID).orderBy(F.col(VERSION) == after))
+    both = picked.select(ROW_ID, VERSION, texts.alias("_b"), older.alias("_a")).filter((F.col(VERSION) == after) & F.col("_a").isNotNull())
     records = F.array(
         *[
             F.struct(
-                text("_a", spec.text_columns[0]).alias("item"),
+                F.col("_a").getField(spec.text_columns[0]).alias("item"),
                 F.lit(c).alias("column"),
-                text("_a", c).alias("v1"),
-                text("_b", c).alias("v2"),
+                F.col("_a").getField(c).alias("v1"),
+                F.col("_b").getField(c).alias("v2"),
                 F.lit(i).alias("_position"),
             )
             for i, c in enumerate(spec.text_columns)

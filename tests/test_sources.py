@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import qualitygate as qg
+from qualitygate.operators.versions import _ids_that_differ
 from qualitygate.sources import as_metrics, conform, read_csv, read_json, write_csv, write_json
 from qualitygate.spec import EVALUATION, MANIFEST
 from tests.conftest import rows
@@ -137,11 +138,23 @@ def test_export_all_counts(spark, tickets, tmp_path):
     assert rows(read_csv(spark, str(tmp_path / "tickets.csv"), qg.TICKETS.schema, line_breaks=True)) == rows(both)
 
 
-def test_manifest_is_one_scan_without_a_join(spark, tickets, tmp_path):
+def test_manifest_moves_no_text_of_unchanged_rows(spark, tickets, tmp_path):
+    """Digests are compared by a hash aggregation; texts are fetched for the ids named by it."""
     qg.write_table(tickets(AWKWARD), qg.TICKETS, str(tmp_path / "t"))
     df = qg.read_table(spark, qg.TICKETS, str(tmp_path / "t"))
+    first = _ids_that_differ(df, qg.TICKETS.text_columns, "v1", "v2")._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in first.split("\n") if "Exchange" in line or "Aggregate" in line]
+    assert "HashAggregate" in first and "SortAggregate" not in first
+    assert not any(c in line.split("functions")[-1] for line in moved for c in qg.TICKETS.text_columns)
     plan = qg.drift_manifest(df, qg.TICKETS)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FileScan") == 1 and "Join" not in plan
+    assert "BroadcastHashJoin" in plan and "SortAggregate" not in plan and "WindowGroupLimit" in plan
+
+
+def test_digests_tell_nulls_and_shifted_texts_apart(spark):
+    pairs = [(("a", None), (None, "a")), ((None, None), ("", "")), (("ab", "c"), ("a", "bc")), (("x", None), ("x", None))]
+    data = [(str(i), v, *texts) for i, pair in enumerate(pairs) for v, texts in zip(("v1", "v2"), pair, strict=True)]
+    df = spark.createDataFrame(data, "row_id string, deployment_version string, x string, y string")
+    assert rows(_ids_that_differ(df, ["x", "y"], "v1", "v2")) == [("0",), ("1",), ("2",)]
 
 
 def test_rows_in_and_evaluations_out(spark):
