@@ -38,6 +38,7 @@ from qualitygate.operators.scoring import (
     quarantined,
     score,
     score_and_split,
+    score_queued,
     score_with_errors,
     unscored,
 )

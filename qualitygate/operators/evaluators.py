@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
-from functools import reduce
 from typing import Protocol
 
 from pyspark.sql import Column, DataFrame
@@ -17,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from qualitygate.functions import answer_map
-from qualitygate.plans.scratch import new_folder, spool
+from qualitygate.plans.scratch import new_folder
+from qualitygate.plans.work_queue import WorkQueue
 from qualitygate.spec import CHOICE, KEYS, NOUL, SCORE, DatasetSpec, Options
 
 
@@ -84,9 +84,13 @@ class BatchEvaluator:
     take its neighbours along. Rows left after ``max_retries`` fail the job (``on_error="fail"``)
     or come out with an ``error`` text and no answers (``"quarantine"``).
 
-    ``throttle`` limits calls in flight to ``max_concurrency``: rows go in waves of that many tasks of about
-    ``task_rows`` rows. With more than one wave each is scored and written when ``answers`` is called.
+    ``throttle`` limits calls in flight to ``max_concurrency``: rows wait in files of ``task_rows`` in a
+    ``WorkQueue`` and are scored and written, by that many tasks at a time, when ``answers`` is called.
     Without it parallelism follows the data, which is right for scorers that run locally.
+
+    ``queue`` names the queue's folder, for the rows of one call of ``answers``: if that was killed, a
+    call with the same folder goes on with the rows it holds and scores no finished file again
+    (``score_queued`` does this). Left out, the queue is a new folder in the shared one.
     """
 
     score: Callable
@@ -96,6 +100,7 @@ class BatchEvaluator:
     on_error: str = "fail"
     throttle: bool = True
     task_rows: int = 10_000
+    queue: str | None = None
 
     def __post_init__(self) -> None:
         if self.on_error not in ("fail", "quarantine"):
@@ -118,7 +123,8 @@ class BatchEvaluator:
         schema = T.StructType([*kept, *raw, *tail])
         run = _batch_function(self.score, spec.questions, state, schema.fieldNames(), self.options, self.on_error)
         if self.throttle:
-            answered = self._few_at_once(df, run, schema)
+            waiting = WorkQueue(df.sparkSession, self.queue or new_folder(df.sparkSession, "queue")).fill(df, self.task_rows)
+            answered = waiting.work(run, schema, KEYS, self.options.max_concurrency)
         else:
             answered = df.mapInPandas(run, schema)
 
@@ -131,26 +137,6 @@ class BatchEvaluator:
         return answered.select(*[f.name for f in kept], mapped.alias("answers"), "tokens", "latency_ms", "error")
 
 
-    def _few_at_once(self, df: DataFrame, run, schema: T.StructType) -> DataFrame:
-        """At most ``max_concurrency`` calls in flight, whatever the number of partitions.
-
-        Each wave is written before the next starts, so a lost task costs one small part of a wave.
-        """
-        wide = self.options.max_concurrency
-        n = max(1, -(-df.count() // (wide * self.task_rows)))
-        if n == 1:
-            return df.repartition(wide, *KEYS).mapInPandas(run, schema)
-        folder = new_folder(df.sparkSession, "waves")
-        dealt = df.withColumn("_wave", F.pmod(F.xxhash64(*KEYS), F.lit(n)).cast("int"))
-        dealt.write.partitionBy("_wave").parquet(folder)
-        dealt = df.sparkSession.read.schema(dealt.schema).parquet(folder)
-        waves = [
-            spool(dealt.filter(F.col("_wave") == wave).drop("_wave").repartition(wide, *KEYS).mapInPandas(run, schema))
-            for wave in range(n)
-        ]
-        return reduce(lambda a, b: a.unionByName(b), waves)
-
-
 def _batch_function(score, questions, state, out_columns, options, on_error):
     """The function sent to the Python workers. Nested, so that it travels with its helpers."""
     kinds = [(q.key, q.type) for q in questions]

@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qualitygate.functions import answers_or_raise, answers_problem, row_quality, token_cost
-from qualitygate.operators.evaluators import Evaluator, state_columns
+from qualitygate.operators.evaluators import BatchEvaluator, Evaluator, state_columns
 from qualitygate.plans import fits, spool
 from qualitygate.plans.broadcasting import BROADCAST_ROWS
+from qualitygate.plans.work_queue import WorkQueue
 from qualitygate.spec import EVALUATION, KEYS, DatasetSpec
 
 COPIES_PER_CHUNK = 10_000
@@ -134,7 +135,11 @@ def score_with_errors(
 
     ``unique=True`` says that keys are known not to repeat and skips looking for copies.
     """
-    answered = _answered(df, spec, evaluator, tie_break, repeats, unique)
+    return _checked(_answered(df, spec, evaluator, tie_break, repeats, unique), spec, evaluator)
+
+
+def _checked(answered: DataFrame, spec: DatasetSpec, evaluator: Evaluator) -> DataFrame:
+    """Evaluations with the reason why they cannot be used, and then without answers."""
     rows = _evaluations(answered.withColumn("error", answers_problem(spec.questions)), spec, evaluator)
     fine = F.col("error").isNull()
     return rows.withColumns({c: F.when(fine, F.col(c)) for c in ("answers", "quality")})
@@ -223,3 +228,31 @@ def score_and_split(
     df, repeats = _to_score(df, scored, unique)
     rows = spool(score_with_errors(df, spec, evaluator, tie_break, repeats, unique))
     return _repeat(accepted(rows), repeats, repeat_copies), quarantined(rows)
+
+
+def score_queued(
+    df: DataFrame,
+    spec: DatasetSpec,
+    evaluator: BatchEvaluator,
+    folder: str,
+    tie_break: Sequence[str] = (),
+    scored: DataFrame | None = None,
+    unique: bool = False,
+    repeat_copies: bool = True,
+) -> tuple[DataFrame, DataFrame]:
+    """``score_and_split`` for a run that may be killed: call it again with the same ``folder`` and it goes on.
+
+    The rows to score are chosen and written to ``folder`` once, by the first call; later ones look at
+    nothing else, whatever ``df`` holds by then. Files that were finished are not scored again.
+    """
+    queue = WorkQueue(df.sparkSession, folder)
+    if not queue.filled():
+        rows, repeats = _to_score(df, scored, unique)
+        once = rows.withColumn("_copies", F.lit(1).cast("long")) if unique else first_per_key(rows, tie_break, repeats)
+        queue.fill(once, evaluator.task_rows)
+    answered = replace(evaluator, queue=folder, throttle=True).answers(df.sparkSession.read.parquet(queue.tasks), spec)
+    every = spool(_checked(answered, spec, evaluator))
+    fine = accepted(every)
+    if repeat_copies:
+        fine = per_input_row(fine, deal=(fine.agg(F.max("_copies")).first()[0] or 1) > COPIES_PER_CHUNK)
+    return fine.select(*EVALUATION.fieldNames()), quarantined(every)

@@ -15,7 +15,7 @@ from qualitygate.operators.evaluators import Evaluator
 from qualitygate.operators.gate import decide, review_queue, scoring_outcome
 from qualitygate.operators.metrics import drift_report, drift_trend, loop_metrics
 from qualitygate.operators.routing import route_prefix
-from qualitygate.operators.scoring import same_key, score, score_and_split
+from qualitygate.operators.scoring import same_key, score, score_and_split, score_queued, unscored
 from qualitygate.plans.scratch import new_folder, pin, spool
 from qualitygate.sources.metrics_log import MetricsLog, latest_per_key
 from qualitygate.spec import KEYS, VERSION, DatasetSpec, Options
@@ -31,17 +31,29 @@ def score_into(
     repeat_copies: bool = True,
     rejects: str | None = None,
     tie_break: Sequence[str] = (),
+    unique: bool = False,
+    queue: str | None = None,
 ) -> None:
     """Score ``df`` and append the evaluations to ``log``.
 
     Of rows with equal keys the first by ``tie_break`` is scored. Rows that cannot be scored end the job, or are appended with the reason to the Parquet folder
-    ``rejects`` if there is one.
+    ``rejects`` if there is one. With a ``queue`` (a folder, for a batch evaluator) a call that was killed is
+    gone on with by the same call again: see ``score_queued``; what it had appended is not appended again.
     """
-    if rejects is None:
-        log.append(score(df, spec, evaluator, tie_break, scored=scored, repeat_copies=repeat_copies), run_id)
+    how = {"scored": scored, "unique": unique, "repeat_copies": repeat_copies}
+    if queue is not None:
+        evals, bad = score_queued(df, spec, evaluator, queue, tie_break, **how)
+        if rejects is None and not bad.isEmpty():
+            raise ValueError(f"rows could not be scored, the first because of: {bad.first().error}")
+        evals = unscored(evals, log.read().filter(F.col("run_id") == run_id))
+    elif rejects is None:
+        log.append(score(df, spec, evaluator, tie_break, **how), run_id)
         return
-    evals, bad = score_and_split(df, spec, evaluator, tie_break, scored=scored, repeat_copies=repeat_copies)
+    else:
+        evals, bad = score_and_split(df, spec, evaluator, tie_break, **how)
     log.append(evals, run_id)
+    if rejects is None:
+        return
     bad.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(rejects)
 
 
@@ -84,6 +96,7 @@ def run_loop(
     skip_scored: bool = False,
     slices: int = 1,
     tie_break: Sequence[str] = (),
+    queue: str | None = None,
 ) -> LoopResult:
     """Run one loop over the ``baseline`` and ``candidates`` versions of ``df``.
 
@@ -95,13 +108,19 @@ def run_loop(
     costs at most one slice; start again with ``skip_scored=True`` to go on where it stopped: keys this
     evaluator has scored before are left out, and the gate looks at the newest evaluation of
     each key that was routed now. Of rows with equal keys the first by ``tie_break`` is scored.
+
+    ``queue`` names a folder for the rows that wait for a batch evaluator. A loop that was killed is gone on with
+    by the same call with the same folder: it is the same run, and rows that were scored are not
+    scored again.
     """
+    if queue is not None and slices > 1:
+        raise ValueError("a queue is worked off in turns of its own and takes no slices")
     versions = list(dict.fromkeys([baseline, *candidates]))
     rows = df.filter(F.col(VERSION).isin(*versions))
     day = F.current_date() if as_of is None else as_of
     report = pin(check_report(rows, spec, day, options.max_age_days, versions))
 
-    run_id = uuid.uuid4().hex
+    run_id = uuid.uuid4().hex if queue is None else uuid.uuid5(uuid.NAMESPACE_URL, queue).hex
     log.create()
     routed = route_prefix(rows, spec, options.sample_rate, tie_break=tie_break)
     if slices > 1:
@@ -113,7 +132,7 @@ def run_loop(
     for part in range(slices):
         share = routed.filter(F.col("_slice") == part).drop("_slice") if slices > 1 else routed
         seen = log.read().filter(F.col("backend") == evaluator.name) if skip_scored else None
-        score_into(log, share, spec, evaluator, run_id, scored=seen, rejects=rejects, tie_break=tie_break)
+        score_into(log, share, spec, evaluator, run_id, scored=seen, rejects=rejects, tie_break=tie_break, queue=queue)
 
     mine = log.read().filter(F.col(VERSION).isin(*versions) & (F.col("backend") == evaluator.name))
     if skip_scored:

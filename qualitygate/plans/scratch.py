@@ -50,13 +50,23 @@ def temporary(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
         for path in _made.paths:
-            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(conf).delete(folder, True)
+            store, folder = _store(spark, path)
+            store.delete(folder, True)
         _made.paths = before
 
 
+def _store(spark: SparkSession, path: str) -> tuple:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder of that name, in whatever store it names."""
+    store, folder = _store(spark, path)
+    return store.exists(folder)
+
+
 def pin(df: DataFrame) -> DataFrame:
     """Write a small ``df`` to the shared folder once and go on from the written copy.
 

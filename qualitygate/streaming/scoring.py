@@ -37,6 +37,8 @@ def score_stream(
     as_of: Column | None = None,
     rejects: str | None = None,
     seen_since: str | None = None,
+    remember: str | None = None,
+    clock: Column | None = None,
     on_batch: Callable[[DataFrame, int], None] | None = None,
     tie_break: Sequence[str] = (),
 ) -> StreamingQuery:
@@ -51,8 +53,19 @@ def score_stream(
     e.g. for deterministic checks. Intermediate tables of a batch
     are removed when it is done. Only keys scored by this evaluator count as known; of rows with equal
     keys the first by ``tie_break`` is scored.
+
+    ``remember`` (an interval such as ``"7 days"``) keeps the keys that came through as state of the stream
+    for at least that long instead, so that a batch costs the same however long the log is: the log is
+    read for the first batch after a start only, which may be a replayed one. It counts from ``clock``, by default the time at
+    which a row's batch began; rows more than ``remember`` older than the newest clock are left out, which
+    the default never has. State is bounded by the keys of that time. Of equal keys in a batch any row may be the first
+    then, and keys scored before the stream's checkpoint was made are known to its first batch only.
     """
     log.create()
+    if remember is not None:
+        came = F.current_timestamp() if clock is None else clock.cast("timestamp")
+        stream = drop_repeats(stream.withColumn("_clock", came), "_clock", remember).drop("_clock")
+    begun: list[int] = []
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         with temporary(batch.sparkSession):
@@ -61,9 +74,13 @@ def score_stream(
                 on_batch(arrived, batch_id)
             rows = passing_rows(arrived, spec, as_of) if only_passing else arrived
             routed = route_hash_sample(rows, spec, rate)
-            seen = log.read(seen_since).filter(F.col("backend") == evaluator.name)
-            run = f"batch-{batch_id}"
-            score_into(log, routed, spec, evaluator, run, seen, repeat_copies=False, rejects=rejects, tie_break=tie_break)
+            known = log.read(seen_since).filter(F.col("backend") == evaluator.name)
+            seen = known if remember is None or not begun else None
+            begun.append(batch_id)
+            score_into(
+                log, routed, spec, evaluator, f"batch-{batch_id}", seen, repeat_copies=False, rejects=rejects,
+                tie_break=tie_break, unique=remember is not None,
+            )
 
     return (
         stream.writeStream.foreachBatch(handle)

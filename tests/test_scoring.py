@@ -253,24 +253,74 @@ def test_missing_confidence_and_tokens_have_defaults(notes):
     assert (got.cost_usd, got.answers["kind"].confidence) == (0.0, 1.0)
 
 
-def test_throttle_sets_the_number_of_calls_in_flight(notes):
+def test_throttle_sets_the_number_of_calls_in_flight(notes, tmp_path):
     def scorer(state, questions, answer):
-        return answer(state, questions)
-
-    df = numbered(notes, 50).repartition(7)
-    for throttle, n in ((True, 2), (False, 7)):
-        batches = qg.BatchEvaluator(by_value(scorer), options=FAST, throttle=throttle)
-        assert batches.answers(df, SPEC).rdd.getNumPartitions() == n
+        import time
+        import uuid
 
+        name = tmp_path / uuid.uuid4().hex
+        began = time.time()
+        time.sleep(0.05)
+        name.write_text(f"{began} {time.time()}")
+        return answer(state, questions)
 
-def test_many_rows_are_scored_in_waves_of_few_tasks(notes):
+    df = numbered(notes, 60).repartition(7)
+    batches = qg.BatchEvaluator(by_value(scorer), options=FAST, task_rows=3)
+    at_once = qg.BatchEvaluator(by_value(scorer), options=FAST, throttle=False)
+    got = rows(batches.answers(df, SPEC), "row_id", "error")
+    spans = [tuple(map(float, f.read_text().split())) for f in tmp_path.iterdir()]
+    assert max(sum(a <= began < b for a, b in spans) for began, _ in spans) <= FAST.max_concurrency
+    assert at_once.answers(df, SPEC).rdd.getNumPartitions() == 7
+    assert got == rows(at_once.answers(df, SPEC), "row_id", "error")
+
+
+def test_a_queue_goes_on_where_it_was_killed(spark, notes, tmp_path, monkeypatch):
+    calls, folder = tmp_path / "calls", str(tmp_path / "queue")
+    calls.mkdir()
+    monkeypatch.setattr("qualitygate.plans.work_queue.FILES_PER_SLOT", 1)
+
+    def evaluator(broken):
+        def scorer(state, questions, answer):
+            import uuid
+
+            if broken and (calls / "enough").exists():
+                raise RuntimeError("lost")
+            name = calls / uuid.uuid4().hex
+            name.write_text("\n".join(state["note"]))
+            if broken and len(list(calls.iterdir())) > 12:
+                (calls / "enough").write_text("")
+            return answer(state, questions)
+
+        options = Options(batch_size=2, max_retries=1, first_backoff_s=0.0, max_concurrency=2)
+        return qg.BatchEvaluator(by_value(scorer), options=options, task_rows=4, name="paid")
+
+    df = notes([(str(i), "v1", f"text {i}", "a") for i in range(80)] + [("3", "v1", "text 3", "a")])
+    with pytest.raises(Exception, match="lost"):
+        qg.score_queued(df, SPEC, evaluator(True), folder)
+    before = {line for f in calls.iterdir() for line in f.read_text().split("\n") if line}
+    (calls / "enough").unlink()
+    done = {r.row_id for r in spark.read.parquet(folder + "/results").collect()}
+    assert 0 < len(done) < 80 and len(before) >= len(done)
+    first = {f.name for f in calls.iterdir()}
+    # other rows, even with the keys known, change nothing: the queue holds what it was filled with
+    evals, bad = qg.score_queued(df.limit(3), SPEC, evaluator(False), folder)
+    assert rows(evals, "row_id") == sorted([(str(i),) for i in range(80)] + [("3",)], key=repr) and bad.count() == 0
+    again = [line for f in calls.iterdir() if f.name not in first for line in f.read_text().split("\n") if line]
+    assert len(again) == len(set(again)) == 80 - len(done)
+    assert not {f"text {i}" for i in done} & set(again)
+    calls_made = len(list(calls.iterdir()))
+    assert qg.score_queued(df, SPEC, evaluator(False), folder)[0].count() == 81
+    assert len(list(calls.iterdir())) == calls_made
+    plan = spark.read.parquet(folder + "/results")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+
+
+def test_an_empty_queue_has_no_results(notes, tmp_path):
     def scorer(state, questions, answer):
         return answer(state, questions)
 
-    df = numbered(notes, 50).repartition(7)
-    waves = qg.BatchEvaluator(by_value(scorer), options=FAST, task_rows=5)
-    at_once = qg.BatchEvaluator(by_value(scorer), options=FAST, throttle=False)
-    assert rows(waves.answers(df, SPEC), "row_id", "error") == rows(at_once.answers(df, SPEC), "row_id", "error")
+    evals, bad = qg.score_queued(notes([]), SPEC, qg.BatchEvaluator(by_value(scorer), options=FAST), str(tmp_path / "q"))
+    assert evals.count() == bad.count() == 0
 
 
 @pytest.mark.parametrize("limit", [100_000, 0])
