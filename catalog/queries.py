@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import qualitygate as qg
 from catalog import tables as t
 from qualitygate.functions import answer_problem, answer_unit, item_of, quality_band, row_key
 from qualitygate.plans import new_folder, small_side
-from qualitygate.sources import read_csv, read_json, write_csv, write_json
+from qualitygate.sources import conform, read_csv, read_json, write_csv, write_json
 from qualitygate.sources.exports import export_dataset
 from qualitygate.spec import MANIFEST, Options
 
@@ -1070,3 +1072,166 @@ def export_dataset_roundtrip(spark, folder):
     csv = read_csv(spark, f"{path}/documents.csv", rows.schema, line_breaks=True).withColumn("format", F.lit("csv"))
     json = read_json(spark, f"{path}/documents.json", rows.schema).withColumn("format", F.lit("json"))
     return csv.unionByName(json).drop("created_at")
+
+
+# --- work that goes on, keys that are remembered, order, dates, latency ---------
+
+
+@query(
+    f"""WITH {t.DOCUMENTS_SQL}
+SELECT row_id, deployment_version,
+       round((0.5::DOUBLE * least(length(text) / 2000.0::DOUBLE, 1.0::DOUBLE) + 0.2::DOUBLE + 0.3::DOUBLE * 0.5::DOUBLE)
+             / (0.5::DOUBLE + 0.2::DOUBLE + 0.3::DOUBLE), 9) AS quality
+FROM docs"""
+)
+def score_batch_queue(spark, folder):
+    """A paid run that is lost on the way and gone on with by the same call: each document has one evaluation."""
+    rows = t.documents(spark, folder).drop("created_at").withColumn("place", F.col("row_id").cast("long"))
+    late = rows.agg(F.expr("0.6 * max(place)")).first()[0]
+
+    def evaluator(lost):
+        def scorer(state, questions):
+            if lost and (state["place"] > late).any():
+                raise RuntimeError("the service went away")
+            text = state["text"]
+            return state.assign(long_enough=(text.str.len() / 2000.0).clip(upper=1.0), language=state["lang"], richness=2.0)
+
+        options = Options(batch_size=64, max_concurrency=4, max_retries=1)
+        return qg.BatchEvaluator(scorer, name="queued", options=options, task_rows=50)
+
+    queue = new_folder(spark, "queue")
+    with contextlib.suppress(StreamingQueryException):
+        qg.score_queued(rows, t.DOCUMENTS, evaluator(lost=True), queue, unique=True)
+    evals, _ = qg.score_queued(rows, t.DOCUMENTS, evaluator(lost=False), queue, unique=True)
+    return evals.select("row_id", "deployment_version", F.round("quality", 9).alias("quality"))
+
+
+@query(
+    f"""WITH {t.EVENTS_SCORED_SQL},
+let_through AS (SELECT * FROM ev_scored UNION ALL SELECT * FROM ev_scored WHERE CAST(row_id AS BIGINT) % 5 = 0)
+SELECT row_id, deployment_version, round(quality, 9) AS quality, count(*) AS n FROM let_through GROUP BY ALL"""
+)
+def stream_scored_remembering(spark, folder):
+    """Six batches: three with repeats across them, two that move the clock past the time of remembering, one after it."""
+    events, arriving = t.table(spark, folder, "events"), new_folder(spark, "arriving")
+    number = F.col("event_id")
+    days = [
+        ("2024-01-01", number % 3 == 0),
+        ("2024-01-04", (number % 3 == 1) | (number % 6 == 0)),
+        ("2024-01-06", (number % 3 == 2) | (number % 2 == 0)),
+        ("2024-03-01", number % 7 == 0),
+        ("2024-03-02", number % 7 == 1),
+        ("2024-03-03", number % 5 == 0),
+    ]
+    for came, which in days:
+        events.filter(which).withColumn("came", F.lit(came).cast("timestamp")).coalesce(1).write.mode("append").parquet(arriving)
+    schema = spark.read.parquet(arriving).schema
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(arriving)
+    log = qg.MetricsLog(spark, new_folder(spark, "stream-metrics"))
+    rows = t.as_events(source.select("*", F.col("came").alias("_came")), "_came")
+    job = qg.score_stream(
+        rows, t.EVENTS, t.events_evaluator(), log, new_folder(spark, "stream-checkpoint"), remember="20 days", clock=F.col("_came")
+    )
+    job.awaitTermination()
+    rounded = log.read().withColumn("quality", F.round("quality", 9))
+    return rounded.groupBy("row_id", "deployment_version", "quality").agg(F.count("*").alias("n"))
+
+
+@query(
+    f"""WITH {t.EVENTS_SQL}
+SELECT row_number() OVER (ORDER BY deployment_version, value DESC, CAST(row_id AS BIGINT)) AS place,
+       row_id, deployment_version, value FROM ev"""
+)
+def rows_in_order(spark, folder):
+    """The place of each row in a total order, from the order of the rows in the files written."""
+    rows = t.events(spark, folder).withColumns({"_less": -F.col("value"), "_id": F.col("row_id").cast("long")})
+    path = new_folder(spark, "ordered")
+    qg.in_order(rows, "deployment_version", "_less", "_id").select("row_id", "deployment_version", "value").write.parquet(path)
+    return places(spark, path)
+
+
+def places(spark, path) -> DataFrame:
+    """Rows of files written in order, each with its place: rows before its file, plus those before it in the file."""
+    files = spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    sizes = files.groupBy("_file").agg(F.count("*").alias("_n"))
+    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    placed = files.join(F.broadcast(before), "_file").withColumn("place", F.col("_before") + F.col("_row") + 1)
+    return placed.drop("_file", "_row", "_n", "_before")
+
+
+@query(
+    f"""WITH changes AS ({_MANIFEST_SQL})
+SELECT row_number() OVER (ORDER BY row_id, CASE "column" WHEN 'o_orderpriority' THEN 0 ELSE 1 END) AS place, * FROM changes"""
+)
+def manifest_order(spark, folder):
+    """A manifest is written by row id, then by the column's position."""
+    path = new_folder(spark, "manifest")
+    changes = qg.drift_manifest(fork(spark, folder), t.ORDERS)
+    qg.manifest_in_order(changes).select(*MANIFEST.fieldNames()).write.parquet(path)
+    return places(spark, path)
+
+
+@query(
+    f"""WITH {t.EVENTS_SQL}
+SELECT row_id, deployment_version, created_at, CAST(NULL AS DATE) AS of_wrong FROM ev"""
+)
+def dates_from_texts(spark, folder):
+    """ISO texts become dates; texts that are none become NULL if asked for."""
+    rows = t.events(spark, folder)
+    texts = rows.withColumn("created_at", F.col("created_at").cast("string"))
+    wrong = rows.withColumn("created_at", F.concat(F.lit("2024-13-"), F.dayofmonth("created_at").cast("string")))
+    good, bad = conform(texts, t.EVENTS), conform(wrong, t.EVENTS, on_bad_date="null")
+    named = bad.select("row_id", "deployment_version", F.col("created_at").alias("of_wrong"))
+    return good.select("row_id", "deployment_version", "created_at").join(named, ["row_id", "deployment_version"])
+
+
+@query(
+    f"""WITH {t.EVENTS_SCORED_SQL}
+SELECT row_id, deployment_version, 'now' AS run_id, true AS stamped FROM ev_scored"""
+)
+def scored_now(spark, folder):
+    """Without a given time, rows are stamped with the time of the append, in the folder of its day."""
+    log = qg.MetricsLog(spark, new_folder(spark, "now"))
+    before = spark.sql("SELECT current_timestamp()").first()[0]
+    log.append(events_scored(spark, folder), "now")
+    after = spark.sql("SELECT current_timestamp()").first()[0]
+    stamped = F.col("scored_at").between(F.lit(before), F.lit(after)) & (F.col("scored_date") == F.to_date("scored_at"))
+    return log.read().select("row_id", "deployment_version", "run_id", stamped.alias("stamped"))
+
+
+@query(
+    f"""WITH {t.FORK_SQL}, manifest AS ({_MANIFEST_SQL})
+SELECT (SELECT count(*) FROM forked) AS n_rows, (SELECT count(*) FROM manifest) AS n_changes,
+       (SELECT count(*) FROM forked) AS json_rows, (SELECT count(*) FROM manifest) AS drift_rows"""
+)
+def export_everything(spark, folder):
+    """Tables and manifests of all datasets, counted as they were written."""
+    path = new_folder(spark, "exports")
+    counts = qg.export_all({"orders": (t.ORDERS, fork(spark, folder))}, path)["orders"]
+    read = [spark.read.json(f"{path}/orders{kind}.json").agg(F.count("*").alias(name)) for kind, name in (("", "json_rows"), ("_drift", "drift_rows"))]
+    given = read[0].select(F.lit(counts[0]).cast("long").alias("n_rows"), F.lit(counts[1]).cast("long").alias("n_changes"), "json_rows")
+    return given.select("*", read[1].select("drift_rows").scalar().alias("drift_rows"))
+
+
+@query(
+    f"""WITH {t.DOCUMENTS_SQL}
+SELECT row_id, deployment_version, CASE WHEN lang = 'fr' THEN 2500.0::DOUBLE ELSE 1000.0::DOUBLE END AS latency_ms,
+       CASE WHEN lang = 'fr' THEN 'long_enough: noul is not in [0, 1]' END AS error
+FROM docs"""
+)
+def score_batch_latency(spark, folder):
+    """By a scripted clock a call takes a second; French rows take two calls and the pause between them."""
+
+    def scorer(state, questions):
+        return state.assign(long_enough=state["lang"].eq("fr") * 1.5, language=state["lang"], richness=2.0)
+
+    now = [0.0]
+
+    def clock():
+        now[0] += 1.0
+        return now[0]
+
+    options = Options(batch_size=64, max_retries=2, first_backoff_s=0.5)
+    batches = qg.BatchEvaluator(scorer, options=options, on_error="quarantine", throttle=False, clock=clock, pause=lambda seconds: None)
+    rows = t.documents(spark, folder).drop("created_at")
+    return qg.score_with_errors(rows, t.DOCUMENTS, batches, unique=True).select("row_id", "deployment_version", "latency_ms", "error")

@@ -44,10 +44,10 @@ EVENTS = DatasetSpec(
 )
 
 
-def as_events(raw: DataFrame) -> DataFrame:
+def as_events(raw: DataFrame, *more: str) -> DataFrame:
     version = F.when(F.dayofmonth("ts") <= 15, "v1").otherwise("v2")
     return raw.select(
-        *keys("event_id", version), "event_type", "props", "value", "user_id", F.col("ts").cast("date").alias("created_at")
+        *keys("event_id", version), "event_type", "props", "value", "user_id", F.col("ts").cast("date").alias("created_at"), *more
     )
 
 

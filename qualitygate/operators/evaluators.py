@@ -7,6 +7,7 @@ keys and bookkeeping columns of the same rows (and content, if it likes) with fo
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from typing import Protocol
@@ -91,6 +92,8 @@ class BatchEvaluator:
     ``queue`` names the queue's folder, for the rows of one call of ``answers``: if that was killed, a
     call with the same folder goes on with the rows it holds and scores no finished file again
     (``score_queued`` does this). Left out, the queue is a new folder in the shared one.
+
+    ``clock`` and ``pause`` tell the time and wait, in seconds; latency is measured by them.
     """
 
     score: Callable
@@ -101,6 +104,8 @@ class BatchEvaluator:
     throttle: bool = True
     task_rows: int = 10_000
     queue: str | None = None
+    clock: Callable[[], float] = time.perf_counter
+    pause: Callable[[float], None] = time.sleep
 
     def __post_init__(self) -> None:
         if self.on_error not in ("fail", "quarantine"):
@@ -121,7 +126,7 @@ class BatchEvaluator:
         # texts go to the workers and do not come back
         kept = [f for f in df.schema.fields if f.name not in state]
         schema = T.StructType([*kept, *raw, *tail])
-        run = _batch_function(self.score, spec.questions, state, schema.fieldNames(), self.options, self.on_error)
+        run = _batch_function(self.score, spec.questions, state, schema.fieldNames(), self.options, self.on_error, self.clock, self.pause)
         if self.throttle:
             waiting = WorkQueue(df.sparkSession, self.queue or new_folder(df.sparkSession, "queue")).fill(df, self.task_rows)
             answered = waiting.work(run, schema, KEYS, self.options.max_concurrency)
@@ -137,7 +142,7 @@ class BatchEvaluator:
         return answered.select(*[f.name for f in kept], mapped.alias("answers"), "tokens", "latency_ms", "error")
 
 
-def _batch_function(score, questions, state, out_columns, options, on_error):
+def _batch_function(score, questions, state, out_columns, options, on_error, clock, wait):
     """The function sent to the Python workers. Nested, so that it travels with its helpers."""
     kinds = [(q.key, q.type) for q in questions]
     payloads = {q.key: q.payload() for q in questions}
@@ -145,8 +150,6 @@ def _batch_function(score, questions, state, out_columns, options, on_error):
     noul, numeric = NOUL, (NOUL, SCORE)
 
     def run(batches):
-        import time
-
         import numpy as np
         import pandas as pd
 
@@ -190,22 +193,22 @@ def _batch_function(score, questions, state, out_columns, options, on_error):
             last = pd.Series(dtype=object)
             for attempt in range(attempts):
                 if attempt:
-                    time.sleep(pause)
+                    wait(pause)
                     spent[pending] += pause * 1000.0
                     pause *= 2
                 step = 1 if alone else max(1, len(pending))
                 failed = []
                 for at in range(0, len(pending), step):
-                    chunk, began = pending[at : at + step], time.perf_counter()
+                    chunk, began = pending[at : at + step], clock()
                     try:
                         out, reason = response(part.loc[chunk])
                     except Exception as problem:
-                        spent[chunk] += (time.perf_counter() - began) * 1000.0
+                        spent[chunk] += (clock() - began) * 1000.0
                         alone = True
                         failed.append(pd.Series(str(problem) or repr(problem), index=chunk, dtype=object))
                         continue
                     good = reason.isna()
-                    spent[chunk] += (time.perf_counter() - began) * 1000.0
+                    spent[chunk] += (clock() - began) * 1000.0
                     out["latency_ms"] = spent[chunk]
                     done.append(out[good])
                     failed.append(reason[~good])
