@@ -1235,3 +1235,14 @@ def score_batch_latency(spark, folder):
     batches = qg.BatchEvaluator(scorer, options=options, on_error="quarantine", throttle=False, clock=clock, pause=lambda seconds: None)
     rows = t.documents(spark, folder).drop("created_at")
     return qg.score_with_errors(rows, t.DOCUMENTS, batches, unique=True).select("row_id", "deployment_version", "latency_ms", "error")
+
+
+@query(ORACLE["score_unscored_only"])
+def score_unscored_by_bucket(spark, folder):
+    """What is scored already is looked up in a log with key buckets, which reads only those of the keys asked for."""
+    rows = t.events(spark, folder)
+    log = qg.MetricsLog(spark, new_folder(spark, "bucketed-log"), buckets=16)
+    already = rows.filter((F.col("deployment_version") == "v1") & F.col("event_type").isin("click", "view"))
+    log.append(qg.score(already, t.EVENTS, t.events_evaluator(), unique=True), "before")
+    evals = qg.score(rows, t.EVENTS, t.events_evaluator(), scored=log.seen("expression"), unique=True)
+    return evals.select("row_id", "deployment_version", F.round("quality", 9).alias("quality"))

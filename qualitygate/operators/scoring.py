@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from qualitygate.functions import answers_or_raise, answers_problem, row_quality, token_cost
@@ -61,34 +61,37 @@ def first_per_key(df: DataFrame, tie_break: Sequence[str] = (), repeats: Repeats
     if not repeats.n_keys:
         return df.withColumn("_copies", F.lit(1).cast("long"))
     if repeats.n_keys > BROADCAST_ROWS:
-        return _collapse(df, order).select(*columns)
+        return _collapse(df, order, repeats.keys).select(*columns)
     marks = F.broadcast(_renamed_keys(repeats.keys, "_r_"))
     known = same_key(df, marks, "_r_")
     single = df.join(marks, known, "left_anti").withColumn("_copies", F.lit(1).cast("long"))
-    return single.unionByName(_collapse(df.join(marks, known, "left_semi"), order).select(*columns))
+    return single.unionByName(_collapse(df.join(marks, known, "left_semi"), order, F.broadcast(repeats.keys)).select(*columns))
 
 
-def _collapse(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    # isNull first: structs order NULL before values, the rows are ordered NULLs last
+def _collapse(df: DataFrame, order: Sequence[str], repeats: DataFrame) -> DataFrame:
+    """The first row per key. Each task keeps one of a key before the shuffle; numbers of copies are counted on keys alone."""
     rest = [c for c in df.columns if c not in (*KEYS, *order)]
-    place = F.struct(*[part for c in (*order, *rest) for part in (F.col(c).isNull().alias(f"_null_{c}"), F.col(c))])
-    return (
-        df.groupBy(*KEYS)
-        .agg(F.min(place).alias("_least"), F.count("*").alias("_number"))
-        .select(*KEYS, *[F.col("_least").getField(c).alias(c) for c in (*order, *rest)], F.col("_number").alias("_copies"))
-    )
+    first = Window.partitionBy(*KEYS).orderBy(*[F.col(c).asc_nulls_last() for c in (*order, *rest)])
+    picked = df.withColumn("_place", F.row_number().over(first)).filter(F.col("_place") == 1).drop("_place")
+    numbers = repeats.select(*[F.col(k).alias(f"_n_{k}") for k in KEYS], F.col("_n").alias("_number"))
+    together = picked.join(numbers, same_key(picked, numbers, "_n_"), "left")
+    return together.select(*df.columns, F.coalesce("_number", F.lit(1)).cast("long").alias("_copies"))
+
+
+#: Keys that are scored already: a table that has them, or a function that finds those among the keys asked for.
+Scored = DataFrame | Callable[[DataFrame], DataFrame]
 
 
-def unscored(df: DataFrame, scored: DataFrame, counted: DataFrame | None = None) -> DataFrame:
-    """Rows whose key is not in ``scored``, a metrics log or any table with the keys.
+def unscored(df: DataFrame, scored: Scored, counted: DataFrame | None = None) -> DataFrame:
+    """Rows whose key is not in ``scored``: any table with the keys, or ``MetricsLog.seen``, which reads what is needed of the log.
 
     Old and new keys are told apart on the key columns alone, and few keys are sent to the log
     rather than the log to them. The rows themselves move only if neither the known nor the
     new keys are few. ``counted`` is the written result of ``count_keys``, if there is one already.
     """
     # one shuffle for the keys of the log: they are told apart by the columns that they are joined on
-    log = _renamed_keys(scored, "_s_")
     asked = spool(count_keys(df)) if counted is None else counted
+    log = _renamed_keys(scored(asked) if callable(scored) else scored, "_s_")
     if fits(asked):
         log = log.join(F.broadcast(asked), same_key(asked, log, "_s_"), "left_semi")
     known = spool(_renamed_keys(asked.join(log, same_key(asked, log, "_s_"), "left_semi"), "_k_"))
@@ -173,7 +176,7 @@ def per_input_row(scored: DataFrame, deal: bool = False, chunk: int = COPIES_PER
 
 
 def _to_score(
-    df: DataFrame, scored: DataFrame | None, unique: bool
+    df: DataFrame, scored: Scored | None, unique: bool
 ) -> tuple[DataFrame, Repeats | None]:
     """The rows that are left to score, and which keys repeat among them (None if none can)."""
     counted = None
@@ -194,7 +197,7 @@ def score(
     spec: DatasetSpec,
     evaluator: Evaluator,
     tie_break: Sequence[str] = (),
-    scored: DataFrame | None = None,
+    scored: Scored | None = None,
     unique: bool = False,
     repeat_copies: bool = True,
 ) -> DataFrame:
@@ -217,7 +220,7 @@ def score_and_split(
     spec: DatasetSpec,
     evaluator: Evaluator,
     tie_break: Sequence[str] = (),
-    scored: DataFrame | None = None,
+    scored: Scored | None = None,
     unique: bool = False,
     repeat_copies: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
@@ -236,7 +239,7 @@ def score_queued(
     evaluator: BatchEvaluator,
     folder: str,
     tie_break: Sequence[str] = (),
-    scored: DataFrame | None = None,
+    scored: Scored | None = None,
     unique: bool = False,
     repeat_copies: bool = True,
 ) -> tuple[DataFrame, DataFrame]:

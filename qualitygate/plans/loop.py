@@ -15,7 +15,7 @@ from qualitygate.operators.evaluators import Evaluator
 from qualitygate.operators.gate import decide, review_queue, scoring_outcome
 from qualitygate.operators.metrics import drift_report, drift_trend, loop_metrics
 from qualitygate.operators.routing import route_prefix
-from qualitygate.operators.scoring import same_key, score, score_and_split, score_queued, unscored
+from qualitygate.operators.scoring import Scored, same_key, score, score_and_split, score_queued, unscored
 from qualitygate.plans.scratch import new_folder, pin, spool
 from qualitygate.sources.metrics_log import MetricsLog, latest_per_key
 from qualitygate.spec import KEYS, VERSION, DatasetSpec, Options
@@ -27,7 +27,7 @@ def score_into(
     spec: DatasetSpec,
     evaluator: Evaluator,
     run_id: str,
-    scored: DataFrame | None = None,
+    scored: Scored | None = None,
     repeat_copies: bool = True,
     rejects: str | None = None,
     tie_break: Sequence[str] = (),
@@ -131,7 +131,7 @@ def run_loop(
         routed = df.sparkSession.read.schema(cut.schema).parquet(folder)
     for part in range(slices):
         share = routed.filter(F.col("_slice") == part).drop("_slice") if slices > 1 else routed
-        seen = log.read().filter(F.col("backend") == evaluator.name) if skip_scored else None
+        seen = log.seen(evaluator.name) if skip_scored else None
         score_into(log, share, spec, evaluator, run_id, scored=seen, rejects=rejects, tie_break=tie_break, queue=queue)
 
     mine = log.read().filter(F.col(VERSION).isin(*versions) & (F.col("backend") == evaluator.name))

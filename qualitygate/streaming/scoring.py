@@ -74,8 +74,7 @@ def score_stream(
                 on_batch(arrived, batch_id)
             rows = passing_rows(arrived, spec, as_of) if only_passing else arrived
             routed = route_hash_sample(rows, spec, rate)
-            known = log.read(seen_since).filter(F.col("backend") == evaluator.name)
-            seen = known if remember is None or not begun else None
+            seen = log.seen(evaluator.name, seen_since) if remember is None or not begun else None
             begun.append(batch_id)
             score_into(
                 log, routed, spec, evaluator, f"batch-{batch_id}", seen, repeat_copies=False, rejects=rejects,

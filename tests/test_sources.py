@@ -157,6 +157,40 @@ def test_digests_tell_nulls_and_shifted_texts_apart(spark):
     assert rows(_ids_that_differ(df, ["x", "y"], "v1", "v2")) == [("0",), ("1",), ("2",)]
 
 
+def test_a_log_with_key_buckets_reads_those_asked_for(spark, tmp_path):
+    fixed = qg.ExpressionEvaluator({q.key: "1.0D" for q in qg.TICKETS.questions})
+    columns = "row_id string, deployment_version string, ticket_text string, category string, resolution_summary string"
+    many = spark.createDataFrame([(str(i) if i else None, "v1", "t", "other", "s") for i in range(300)], columns)
+    evals = qg.score(many, qg.TICKETS, fixed)
+    plain = qg.MetricsLog(spark, str(tmp_path / "plain"))
+    log = qg.MetricsLog(spark, str(tmp_path / "log"), buckets=8).create()
+    for day in ("2024-01-01", "2024-01-02"):
+        for one in (plain, log):
+            one.append(evals.filter("row_id is null or row_id % 2 = 0"), "a", F.lit(day).cast("timestamp"))
+    assert rows(log.read(), "row_id", "scored_date") == rows(plain.read(), "row_id", "scored_date")
+    few = spark.createDataFrame([(i, "v1", "t", "other", "s") for i in (None, "4", "5")], columns)
+    for asked in (few, few.filter("row_id is not null"), many):
+        want = rows(qg.unscored(asked, plain.read()), "row_id")
+        assert rows(qg.unscored(asked, log.seen()), "row_id") == rows(qg.unscored(asked, plain.seen("expression")), "row_id") == want
+    assert rows(qg.unscored(few, log.seen("another")), "row_id") == rows(few, "row_id")
+    keys = few.filter("row_id = '4'").select("row_id", "deployment_version")
+    read = log.seen()(keys)
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert read.count() == 2 and "EqualTo(row_id,4)" in plan and "key_of_8" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert read.select(F.input_file_name()).distinct().count() == 2 < log.read().select(F.input_file_name()).distinct().count() / 4
+    before = rows(log.read(), "row_id", "scored_at")
+    log.append(evals.filter("row_id = 7"), "b", F.lit("2024-01-01").cast("timestamp"))
+    log.compact("2024-01-01")
+    assert len(rows(log.read())) == len(before) + 1
+    assert log.read().filter("scored_date = '2024-01-01'").select(F.input_file_name()).distinct().count() == 8
+    with pytest.raises(ValueError, match="8 key buckets"):
+        qg.MetricsLog(spark, str(tmp_path / "log"), buckets=4).append(evals)
+    with pytest.raises(ValueError, match="no key buckets"):
+        qg.MetricsLog(spark, str(tmp_path / "plain"), buckets=4).append(evals)
+    with pytest.raises(ValueError):
+        plain.compact("2024-01-01")
+
+
 def test_rows_in_and_evaluations_out(spark):
     body = json.dumps({"rows": [
         {"row_id": "T1", "deployment_version": "v2", "ticket_text": "charged twice", "category": "billing",
