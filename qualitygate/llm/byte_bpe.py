@@ -3,7 +3,7 @@
 Documents are read in blocks. A block's pre-tokens become a sequence of word numbers by
 position; its distinct words are dealt out by their hash. Where all copies of a word meet it
 is encoded once; the ids go back to the blocks, which put them together by position.
-Decoding looks the ids up in the table of token bytes.
+Decoding looks the ids up in the table of token bytes, in the same step if asked for.
 """
 
 from __future__ import annotations
@@ -99,10 +99,10 @@ def _encode_words(ranks: str):
     def encode(batches):
         encoding, known = _encoding(ranks), {}
         for batch in batches:
-            out = []
-            rows = batch.column("payload").to_pylist()
-            rows = [r for r in rows if r["part"] >= 0]
-            for packed in (r["words"] for r in rows):
+            payload = batch.column("payload")
+            part, block, words_of = (payload.field(c) for c in ("part", "block", "words"))
+            for i in np.flatnonzero(part.to_numpy() >= 0).tolist():  # one block's words at a time
+                packed = words_of[i].as_buffer()
                 n = int.from_bytes(packed[:4], "little")
                 raw, lengths = zlib.decompress(packed[4 + n :]), _unpacked(packed[4 : 4 + n])
                 ends = np.cumsum(lengths).tolist()
@@ -112,31 +112,57 @@ def _encode_words(ranks: str):
                         known[w] = np.array(encoding.encode_ordinary(w.decode()), "<u4").tobytes()
                 ids = [known[w] for w in words]
                 sizes = _packed([len(i) // 4 for i in ids])
-                out.append(len(sizes).to_bytes(4, "little") + sizes + _packed(np.frombuffer(b"".join(ids), "<u4")))
-            yield pa.RecordBatch.from_arrays([pa.array([r["block"] for r in rows], pa.int64()), pa.array([r["part"] for r in rows], pa.int32()), pa.array(out, pa.binary())], names=["block", "part", "ids"])
+                out = len(sizes).to_bytes(4, "little") + sizes + _packed(np.frombuffer(b"".join(ids), "<u4"))
+                yield pa.RecordBatch.from_arrays([block.slice(i, 1), part.slice(i, 1), pa.array([out], pa.binary())], names=["block", "part", "ids"])
 
     return encode
 
 
-def _assemble(kind: T.DataType):
-    """One row per block: its documents and the ids of its words, in order of part."""
-    schema = T.StructType([T.StructField("doc_id", kind), T.StructField("ids", T.ArrayType(T.IntegerType(), False))])
+class _Pieces:
+    """The table of token bytes, which is the rank file: fixed in size."""
+
+    def __init__(self, ranks: str):
+        table = _ranks(ranks)
+        pieces = [b""] * (max(table.values()) + 1)
+        for piece, i in table.items():
+            pieces[i] = piece
+        self.size = np.array([len(p) for p in pieces], np.int64)
+        self.start, self.flat = np.cumsum(self.size) - self.size, np.frombuffer(b"".join(pieces), np.uint8)
+
+    def of(self, lists: pa.ListArray) -> pa.Array:
+        """The bytes of each list of ids, together."""
+        ids = lists.flatten().to_numpy(zero_copy_only=False)
+        if len(ids) and not self.size[ids].all():
+            raise ValueError("an id has no entry in the table of token bytes")
+        ends = np.append(0, np.cumsum(self.size[ids]))
+        counts = lists.value_lengths().to_numpy(zero_copy_only=False)
+        offsets = ends[np.append(0, np.cumsum(counts))].astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(offsets), pa.py_buffer(_gather(self.start[ids], self.size[ids], self.flat))])
+
+
+@lru_cache(2)
+def _pieces(ranks: str) -> _Pieces:
+    return _Pieces(ranks)
+
+
+def _assemble(kind: T.DataType, ranks: str | None):
+    """One row per document: its ids, from the ids of its block's words in order of part; with ``ranks`` their bytes too."""
+    fields = [T.StructField("doc_id", kind), T.StructField("ids", T.ArrayType(T.IntegerType(), False))]
+    schema = T.StructType([*fields, T.StructField("bytes", T.BinaryType())] if ranks else fields)
 
     def run(batches):
         from pyspark.sql.pandas.types import to_arrow_schema
 
         shape = to_arrow_schema(schema)
         for batch in batches:
-            for i in range(len(batch)):
-                row = batch.slice(i, 1).to_pylist()[0]
-                if row["payload"]["part"] >= 0:
-                    continue
-                head, sizes, ids = row["payload"], [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
-                for packed in sorted(row["packs"] or [], key=lambda p: p["part"]):
+            payload, packs = batch.column("payload"), batch.column("packs")
+            for i in np.flatnonzero(payload.field("part").to_numpy() < 0).tolist():  # one block at a time
+                sizes, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
+                for packed in sorted(packs[i].as_py() or [], key=lambda p: p["part"]):
                     n = int.from_bytes(packed["ids"][:4], "little")
                     sizes.append(_unpacked(packed["ids"][4 : 4 + n]).astype(np.int64))
                     ids.append(_unpacked(packed["ids"][4 + n :]))
-                numbers, part_of = _unpacked(head["numbers"]), _unpacked(head["part_of"])
+                numbers, part_of = (_unpacked(payload.field(c)[i].as_buffer()) for c in ("numbers", "part_of"))
                 order = np.argsort(part_of, kind="stable")
                 every = np.concatenate(sizes)
                 size, start = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
@@ -145,19 +171,22 @@ def _assemble(kind: T.DataType):
                 lengths = size[numbers]
                 ends = np.append(0, np.cumsum(lengths))
                 tokens = _gather(start[numbers], lengths, np.concatenate(ids)).astype(np.int32)
-                offsets = ends[np.append(0, np.cumsum(head["counts"]))].astype(np.int32)
+                offsets = ends[np.append(0, np.cumsum(payload.field("counts")[i].values.to_numpy()))].astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(tokens))
-                yield pa.RecordBatch.from_arrays([pa.array(head["ids_of_docs"], shape.field(0).type), lists.cast(shape.field(1).type)], schema=shape)
+                columns = [payload.field("ids_of_docs")[i].values, lists.cast(shape.field(1).type)]
+                yield pa.RecordBatch.from_arrays([*columns, _pieces(ranks).of(lists)] if ranks else columns, schema=shape)
 
     return run, schema
 
 
-def encode(docs: DataFrame, ranks: str, text: str = "text", key: str = "doc_id") -> DataFrame:
+def encode(docs: DataFrame, ranks: str, text: str = "text", key: str = "doc_id", decoded: bool = False) -> DataFrame:
     """doc_id and ids of each row, as the rank file's library encodes the whole text without special tokens.
 
+    With ``decoded`` also ``bytes``, as ``decode`` gives them, looked up where the ids are put together.
+
     A null or empty text has no ids. Null and repeated doc_ids are rows like any other, other
     columns are not looked at, and an empty table gives no rows. Memory per task is bounded by
-    a block (4 million characters or one document) and the distinct words of a part; use more
+    a block (2 million bytes or one document) and the distinct words of a part; use more
     shuffle partitions for more words.
     """
     spark = docs.sparkSession
@@ -168,33 +197,17 @@ def encode(docs: DataFrame, ranks: str, text: str = "text", key: str = "doc_id")
     ids = sent.mapInArrow(_encode_words(ranks), "block long, part int, ids binary")
     packs = ids.groupBy("block").agg(F.collect_list(F.struct("part", "ids")).alias("packs"))  # one pack per part
     whole = sent.join(packs.hint("shuffle_hash"), F.col("goal") == F.col("block"), "left")  # no filter here: it would part the exchanges
-    run, schema = _assemble(docs.schema[key].dataType)
+    run, schema = _assemble(docs.schema[key].dataType, ranks if decoded else None)
     return whole.select("payload", "packs").mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, ranks: str) -> DataFrame:
-    """``encoded`` with ``bytes``, the bytes of its ``ids`` (null: empty).
-
-    The table of token bytes is the rank file, fixed in size; ids without an entry are an error.
-    """
+    """``encoded`` with ``bytes``, the bytes of its ``ids`` (null: empty); ids without an entry in the rank file are an error."""
     schema = T.StructType([*encoded.schema.fields, T.StructField("bytes", T.BinaryType())])
 
     def look_up(batches):
-        table = _ranks(ranks)
-        pieces = [b""] * (max(table.values()) + 1)
-        for piece, i in table.items():
-            pieces[i] = piece
-        size = np.array([len(p) for p in pieces], np.int64)
-        start, flat = np.cumsum(size) - size, np.frombuffer(b"".join(pieces), np.uint8)
         for batch in batches:
-            lists = batch.column("ids").fill_null([])
-            ids = lists.flatten().to_numpy(zero_copy_only=False)
-            if len(ids) and not size[ids].all():
-                raise ValueError("an id has no entry in the table of token bytes")
-            ends = np.append(0, np.cumsum(size[ids]))
-            counts = lists.value_lengths().to_numpy(zero_copy_only=False)
-            offsets = ends[np.append(0, np.cumsum(counts))].astype(np.int32)
-            data = pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(offsets), pa.py_buffer(_gather(start[ids], size[ids], flat))])
+            data = _pieces(ranks).of(batch.column("ids").fill_null([]))
             yield pa.RecordBatch.from_arrays([*batch.columns, data], names=[*batch.schema.names, "bytes"])
 
     return encoded.mapInArrow(look_up, schema)

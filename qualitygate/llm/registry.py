@@ -33,7 +33,7 @@ def op2_secret_scan(spark, sf_dir):
 
 def op3_byte_bpe(spark, sf_dir):
     ranks = _tokenizer("byte_bpe_multi_50k.tiktoken")
-    coded = byte_bpe.decode(byte_bpe.encode(documents(spark, sf_dir), ranks), ranks)
+    coded = byte_bpe.encode(documents(spark, sf_dir), ranks, decoded=True)
     listed = F.concat_ws(",", F.col("ids").cast("array<string>"))
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
 
