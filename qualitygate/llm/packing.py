@@ -21,47 +21,49 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from qualitygate.llm.common import spool, text_of
-from qualitygate.llm.pretokens import split, text_blocks
+from qualitygate.llm.pretokens import byte_signs, split, text_blocks
 
 #: Groups of large lengths; lengths over 1 / LARGE of the capacity are large.
 GROUPS, LARGE = 250, 3
-#: Words whose ids a Python worker remembers.
-REMEMBERED = 200_000
+#: Words whose ids a Python worker remembers; those over ``LONG`` characters are encoded anew each time.
+REMEMBERED, LONG = 1_000_000, 100
+#: Runs that are sent to all tasks; more of them are joined by a shuffle.
+SENT_RUNS = 1_000_000
 
 
-@lru_cache(1)
-def _tokenizer(path: str):
-    from tokenizers import Tokenizer
+class _Words:
+    """The ids of pre-tokens, as little-endian bytes, in two halves: when the recent one is full the older one goes, but for what came again."""
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-    return tokenizer
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
 
+        self.model, self.signs = Tokenizer.from_file(path).model, dict(enumerate(byte_signs()))
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-_recent: dict[str, dict[str, bytes]] = {}
-_older: dict[str, dict[str, bytes]] = {}
+    def encoded(self, word: str) -> bytes:
+        """Special strings are ordinary text here: the model sees pre-tokens only."""
+        signs = word.encode().decode("latin-1").translate(self.signs)
+        return np.array([t.id for t in self.model.tokenize(signs)], "<u4").tobytes()
 
+    def ids(self, words: list[str]) -> list[bytes]:
+        if len(self.recent) > REMEMBERED // 2:
+            self.recent, self.older = {}, self.recent
+        known, long = self.recent, {}
+        found = list(map(known.get, words))
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            word = words[i]
+            ids = known.get(word) or long.get(word)
+            if ids is None:
+                ids = self.older.get(word) or self.encoded(word)
+                (known if len(word) <= LONG else long)[word] = ids
+            found[i] = ids
+        return found
 
-def _word_ids(path: str, words: list[str]) -> dict[str, bytes]:
-    """The ids of each word as little-endian bytes; words met again before long are not encoded again.
 
-    What is remembered is in two halves: the older one goes when the recent one is full, except for words
-    that came again meanwhile, so frequent words stay.
-    """
-    recent = _recent.setdefault(path, {})
-    if len(recent) > REMEMBERED // 2:
-        _older[path], _recent[path] = recent, {}
-        recent = _recent[path]
-    older, new = _older.get(path, {}), []
-    for word in dict.fromkeys(words):
-        if word not in recent:
-            if word in older:
-                recent[word] = older[word]
-            else:
-                new.append(word)
-    for word, ids in zip(new, _tokenizer(path).encode_batch(new, add_special_tokens=False), strict=True):
-        recent[word] = np.array(ids.ids, "<u4").tobytes()
-    return recent
+@lru_cache(2)
+def _words(path: str) -> _Words:
+    return _Words(path)
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -80,13 +82,13 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id:
         from pyspark.sql.pandas.types import to_arrow_schema
 
         shape, part, seen = to_arrow_schema(arrow), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
-        last = np.array([end_id], "<u4").tobytes()
+        last, words_of = np.array([end_id], "<u4").tobytes(), _words(tokenizer)
         for batch, texts in text_blocks(batches, 1_000_000):
             words, counts = split(texts)
-            known = _word_ids(tokenizer, words)
+            found = words_of.ids(words)
             rows, a = [], 0
             for i, n in enumerate(counts.tolist()):
-                ids = b"".join(map(known.__getitem__, words[a : a + n])) + last
+                ids = b"".join(found[a : a + n]) + last
                 a += n
                 total = len(ids) // 4
                 first = total % capacity or capacity
@@ -104,41 +106,47 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id:
 
 
 def _configurations(sizes: list[int], capacity: int) -> np.ndarray:
-    """All multisets of sizes that fit into one sequence, one per row of counts."""
+    """All multisets of sizes that fit into one sequence, one per row: their members, filled up with ``len(sizes)``."""
     found: list[list[int]] = []
 
-    def extend(counts, first, room):
-        if any(counts):
-            found.append(list(counts))
+    def extend(members, first, room):
+        if members:
+            found.append(members)
         for g in range(first, len(sizes)):
             if sizes[g] <= room:
-                counts[g] += 1
-                extend(counts, g, room - sizes[g])
-                counts[g] -= 1
+                extend([*members, g], g, room - sizes[g])
 
-    extend([0] * len(sizes), 0, capacity)
-    return np.array(found, np.int64).reshape(-1, len(sizes))
+    extend([], 0, capacity)
+    most = max(map(len, found))
+    return np.array([m + [len(sizes)] * (most - len(m)) for m in found], np.int64)
 
 
 def _solve(sizes: list[int], need: np.ndarray, capacity: int) -> list[tuple[np.ndarray, int]]:
-    """Whole numbers of configurations near the least sum that covers ``need`` (simplex on columns)."""
-    columns = _configurations(sizes, capacity)
+    """Whole numbers of configurations near the least sum that covers ``need``: simplex on columns, keeping the inverse of the base.
+
+    Written without matrix products: the threads of a linear algebra library can stop for good in a
+    process that has forked, as a driver has when it started its JVM.
+    """
+    configurations = _configurations(sizes, capacity)
     k = len(sizes)
-    base = np.diag([capacity // s for s in sizes]).astype(float)
-    names = [np.eye(k, dtype=np.int64)[g] * (capacity // sizes[g]) for g in range(k)]
+    inverse = np.diag([1 / (capacity // s) for s in sizes])
+    names = [np.array([g] * (capacity // sizes[g])) for g in range(k)]
+    level = need / np.array([capacity // s for s in sizes])
     for _ in range(50 * k):
-        inverse = np.linalg.inv(base)
-        gain = columns @ (np.ones(k) @ inverse)
+        price = np.append(inverse.sum(axis=0), 0.0)
+        gain = price[configurations].sum(axis=1)
         enter = int(gain.argmax())
         if gain[enter] <= 1 + 1e-9:
             break
-        step = inverse @ columns[enter]
-        level = inverse @ need
+        members = configurations[enter][configurations[enter] < k]
+        step = inverse[:, members].sum(axis=1)
         ratio = np.where(step > 1e-9, level / np.where(step > 1e-9, step, 1), np.inf)
         leave = int(ratio.argmin())
-        base[:, leave], names[leave] = columns[enter], columns[enter]
-    times = np.linalg.inv(base) @ need
-    return [(c, int(x + 1e-6)) for c, x in zip(names, times, strict=True) if x >= 1 - 1e-6]
+        row, height = inverse[leave] / step[leave], level[leave] / step[leave]
+        inverse -= step[:, None] * row
+        level -= step * height
+        inverse[leave], level[leave], names[leave] = row, height, members
+    return [(np.bincount(m, minlength=k), int(x + 1e-6)) for m, x in zip(names, level, strict=True) if x >= 1 - 1e-6]
 
 
 class _Bins:
@@ -267,5 +275,5 @@ def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     table = pieces.sparkSession.createDataFrame(runs or [(0, 0, 0, 0, 0)], "run_length long, first long, run long, sequence long, offset long")
     numbered = pieces.join(made.select("part", "length", "base"), ["part", "length"]).withColumn("number", F.col("base") + F.col("nth"))
     inside = (F.col("length") == F.col("run_length")) & (F.col("number") >= F.col("first")) & (F.col("number") < F.col("first") + F.col("run"))
-    placed = numbered.join(F.broadcast(table), inside)
+    placed = numbered.join(F.broadcast(table) if len(runs) <= SENT_RUNS else table, inside)
     return placed.select("doc_id", F.col("piece").cast("int").alias("piece"), "start", "length", "ids_crc32", (F.col("sequence") + F.col("number") - F.col("first")).alias("sequence_id"), "offset")

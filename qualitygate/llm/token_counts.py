@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from qualitygate.llm.common import text_of
-from qualitygate.llm.pretokens import split, text_blocks
+from qualitygate.llm.pretokens import byte_signs, split, text_blocks
 
 #: Pre-tokens whose counts a Python worker remembers. Longer ones than ``LONG`` characters are counted anew each time.
 REMEMBERED, LONG = 600_000, 100
@@ -38,14 +38,6 @@ class Merges(NamedTuple):
     special: re.Pattern | None
 
 
-def _signs() -> list[str]:
-    """The character that stands for each byte in a byte-level vocabulary: itself if it can be seen, else from U+0100 on."""
-    seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    hidden = [b for b in range(256) if b not in set(seen)]
-    place = {b: chr(b) for b in seen} | {b: chr(0x100 + i) for i, b in enumerate(hidden)}
-    return [place[b] for b in range(256)]
-
-
 @lru_cache(2)
 def merges_of(path: str) -> Merges:
     """The merges of a byte-level BPE file of the tokenizers library; other kinds of files are an error."""
@@ -62,7 +54,7 @@ def merges_of(path: str) -> Merges:
         a, b = pair if isinstance(pair, list) else pair.split(" ")
         pairs[ids[a] << SYMBOL | ids[b]] = rank << SYMBOL | ids[a + b]
     strings = sorted((t["content"] for t in added if t["content"]), key=len, reverse=True)
-    return Merges([ids[s] for s in _signs()], pairs, re.compile("|".join(map(re.escape, strings))) if strings else None)
+    return Merges([ids[s] for s in byte_signs()], pairs, re.compile("|".join(map(re.escape, strings))) if strings else None)
 
 
 def count_merged(data: bytes, merges: Merges) -> int:
