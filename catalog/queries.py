@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 import qualitygate as qg
 from catalog import tables as t
 from qualitygate.functions import answer_problem, answer_unit, item_of, quality_band, row_key
-from qualitygate.plans import new_folder, small_side
+from qualitygate.plans import new_folder, pin, small_side
 from qualitygate.sources import conform, read_csv, read_json, write_csv, write_json
 from qualitygate.sources.exports import export_dataset
 from qualitygate.spec import MANIFEST, Options
@@ -1246,3 +1246,34 @@ def score_unscored_by_bucket(spark, folder):
     log.append(qg.score(already, t.EVENTS, t.events_evaluator(), unique=True), "before")
     evals = qg.score(rows, t.EVENTS, t.events_evaluator(), scored=log.seen("expression"), unique=True)
     return evals.select("row_id", "deployment_version", F.round("quality", 9).alias("quality"))
+
+
+@query(
+    f"""WITH {t.EVENTS_SCORED_SQL},
+logged AS (SELECT * FROM ev_scored UNION ALL SELECT * FROM ev_scored WHERE CAST(row_id AS BIGINT) % 10 = 1)
+SELECT deployment_version, count(*) AS n_rows, round(avg(quality), 6) AS mean_quality, round(sum(cost_usd), 9) AS total_cost_usd,
+       true AS near_p95, true AS as_trend, 3 AS closed_first, 1 AS closed_again
+FROM logged GROUP BY deployment_version"""
+)
+def history_by_day(spark, folder):
+    """A log of five days, three of them summarised; then rows come late to one of these, and it is summarised again."""
+    evals = events_scored(spark, folder)
+    log = qg.MetricsLog(spark, new_folder(spark, "history-log"))
+    start = F.lit("2024-02-01").cast("date")
+    for day in range(5):
+        log.append(evals.filter(F.col("row_id") % 5 == day), f"run-{day}", F.date_add(start, day).cast("timestamp"))
+    history = qg.DailyHistory(log, new_folder(spark, "history"))
+    first = len(history.close("2024-02-04"))
+    log.append(evals.filter(F.col("row_id") % 10 == 1), "late", F.date_add(start, 1).cast("timestamp"))
+    again = len(history.close("2024-02-04"))
+    report = pin(history.report())
+    below = log.read().join(F.broadcast(report), "deployment_version").groupBy("deployment_version").agg(
+        (F.abs(F.avg((F.col("latency_ms") <= F.col("p95_latency_ms")).cast("int")) - 0.95) < 0.01).alias("near_p95")
+    )
+    trend = history.trend().select("deployment_version", F.col("mean_quality").alias("_mean"))
+    joined = report.join(below, "deployment_version").join(trend, "deployment_version")
+    return joined.select(
+        "deployment_version", "n_rows", F.round("mean_quality", 6).alias("mean_quality"), F.round("total_cost_usd", 9).alias("total_cost_usd"),
+        "near_p95", (F.abs(F.col("_mean") - F.col("mean_quality")) < 1e-12).alias("as_trend"),
+        F.lit(first).alias("closed_first"), F.lit(again).alias("closed_again"),
+    )

@@ -47,7 +47,11 @@ def drift_trend(log: DataFrame, order: str | None = None) -> DataFrame:
     one row per version, after aggregation.
     """
     keys = [VERSION] if order is None else [VERSION, order]
-    means = log.groupBy(*keys).agg(F.avg("quality").alias("mean_quality"))
+    return trend_of_means(log.groupBy(*keys).agg(F.avg("quality").alias("mean_quality")), order)
+
+
+def trend_of_means(means: DataFrame, order: str | None = None) -> DataFrame:
+    """``drift_trend`` from one row per version."""
     before = F.lag("mean_quality").over(Window.orderBy(order or VERSION))
     return means.select(VERSION, "mean_quality", (F.col("mean_quality") - before).alias("drift_vs_previous"))
 

@@ -67,6 +67,19 @@ def exists(spark: SparkSession, path: str) -> bool:
     return store.exists(folder)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder; none if there is no such folder."""
+    store, folder = _store(spark, path)
+    return [x.getPath().getName() for x in store.listStatus(folder)] if store.exists(folder) else []
+
+
+def size_of(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Number and bytes of all files below a folder."""
+    store, folder = _store(spark, path)
+    summary = store.getContentSummary(folder)
+    return summary.getFileCount(), summary.getLength()
+
+
 def pin(df: DataFrame) -> DataFrame:
     """Write a small ``df`` to the shared folder once and go on from the written copy.
 

@@ -11,10 +11,12 @@ from qualitygate.sources.exports import (
     write_csv,
     write_json,
 )
+from qualitygate.sources.history import DailyHistory
 from qualitygate.sources.metrics_log import MetricsLog, as_evaluations, as_metrics, latest_per_key
 from qualitygate.sources.tables import conform, read_table, replace_version, write_table
 
 __all__ = [
+    "DailyHistory",
     "MetricsLog",
     "as_evaluations",
     "as_metrics",
