@@ -1277,3 +1277,26 @@ def history_by_day(spark, folder):
         "near_p95", (F.abs(F.col("_mean") - F.col("mean_quality")) < 1e-12).alias("as_trend"),
         F.lit(first).alias("closed_first"), F.lit(again).alias("closed_again"),
     )
+
+
+@query(ORACLE["deterministic_report_repeated_ids"])
+def check_report_of_parts(spark, folder):
+    """The report over a table that came in four parts, ids repeating across them, one part counted twice."""
+    rows = t.lineitem(spark, folder)
+    ledger = qg.CheckLedger(spark, new_folder(spark, "ledger"), t.LINEITEM)
+    place = F.pmod(F.xxhash64(*rows.columns), F.lit(4))
+    for part in (0, 1, 2, 3, 2):
+        ledger.add(rows.filter(place == part), f"part-{part}")
+    return ledger.report(day(t.LINEITEM_AS_OF))
+
+
+@query(ORACLE["deterministic_report"])
+def stream_checked(spark, folder):
+    """The report of what a stream brought, from what was counted of each micro-batch."""
+    events, arriving = t.table(spark, folder, "events"), new_folder(spark, "arriving")
+    events.repartition(3, "event_id").write.parquet(arriving)
+    source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(arriving)
+    ledger = qg.CheckLedger(spark, new_folder(spark, "ledger"), t.EVENTS)
+    counted = t.as_events(source).writeStream.foreachBatch(lambda batch, number: ledger.add(batch, number))
+    counted.option("checkpointLocation", new_folder(spark, "ledger-checkpoint")).trigger(availableNow=True).start().awaitTermination()
+    return ledger.report(day(t.AS_OF))

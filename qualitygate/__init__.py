@@ -45,6 +45,7 @@ from qualitygate.operators.scoring import (
 from qualitygate.operators.versions import drift_manifest, fork_version, manifest_in_order, stack_versions
 from qualitygate.plans.loop import LoopResult, run_loop, score_into
 from qualitygate.sources import (
+    CheckLedger,
     DailyHistory,
     MetricsLog,
     evaluations_to_json,

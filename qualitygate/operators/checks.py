@@ -57,8 +57,14 @@ def check_report(
             for name in CHECKS
         ],
     )
+    return report_of_sums(report, versions)
+
+
+def report_of_sums(sums: DataFrame, versions: Sequence[str] | None = None) -> DataFrame:
+    """The report from ``total_rows`` and the failures of each version, in the report's order of columns."""
+    report = sums.select(VERSION, "total_rows", *CHECKS)
     if versions is not None:
-        asked = names_table(df.sparkSession, versions, VERSION)
+        asked = names_table(sums.sparkSession, versions, VERSION)
         report = asked.join(report, VERSION, "left").na.fill(0, ["total_rows", *CHECKS])
     return report.withColumn("all_passed", sum((F.col(c) for c in CHECKS), F.lit(0)) == 0)
 

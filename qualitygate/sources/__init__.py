@@ -1,5 +1,6 @@
 """Tables, logs and files."""
 
+from qualitygate.sources.check_ledger import CheckLedger
 from qualitygate.sources.exports import (
     evaluations_to_json,
     export_all,
@@ -16,6 +17,7 @@ from qualitygate.sources.metrics_log import MetricsLog, as_evaluations, as_metri
 from qualitygate.sources.tables import conform, read_table, replace_version, write_table
 
 __all__ = [
+    "CheckLedger",
     "DailyHistory",
     "MetricsLog",
     "as_evaluations",

@@ -86,3 +86,31 @@ def test_report_reads_once_and_moves_partial_rows(spark, tickets, tmp_path):
     assert "ticket_text" not in plan.split("ReadSchema")[1]
     one = qg.check_report(df, qg.TICKETS, versions=["v1"])._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(deployment_version" in one
+
+
+def test_a_ledger_of_parts_equals_one_scan(spark, tickets, tmp_path):
+    df = qg.sources.conform(tickets(DATA), qg.TICKETS)
+    ledger = qg.CheckLedger(spark, str(tmp_path / "ledger"), qg.TICKETS)
+    as_of = F.lit("2024-02-10").cast("date")
+    assert rows(ledger.report(as_of)) == []
+    first = df.filter("resolution_summary = 'ok'")
+    ledger.add(first, "a")
+    assert rows(ledger.report(as_of)) == rows(qg.check_report(first, qg.TICKETS, as_of))
+    for part in ("b", "b"):  # the same part again replaces it
+        ledger.add(df.filter("resolution_summary is null or resolution_summary != 'ok'"), part)
+    for more in ({}, {"versions": ["v2", "v9"]}, {"max_age_days": 10_000}):
+        assert rows(ledger.report(as_of, **more)) == rows(qg.check_report(df, qg.TICKETS, as_of, **more))
+    assert rows(ledger.report()) == rows(qg.check_report(df, qg.TICKETS))
+    assert rows(ledger.repeated_ids()) == rows(qg.duplicated_ids(df))
+    compact = ledger.compact(str(tmp_path / "compact"))
+    compact.add(df, "c")
+    assert rows(compact.report(as_of)) == rows(qg.check_report(df.unionByName(df), qg.TICKETS, as_of))
+    plan = ledger.report(as_of)._jdf.queryExecution().executedPlan().toString()
+    assert "resolution_summary" not in plan and "ticket_text" not in plan
+
+
+def test_a_ledger_where_null_is_invalid(spark, tickets, tmp_path):
+    df = qg.sources.conform(tickets(DATA), qg.TICKETS)
+    ledger = qg.CheckLedger(spark, str(tmp_path / "ledger"), qg.TICKETS, null_is_invalid=True)
+    ledger.add(df, "all")
+    assert rows(ledger.report()) == rows(qg.check_report(df, qg.TICKETS, null_is_invalid=True))
