@@ -13,7 +13,7 @@ import qualitygate as qg
 from catalog import tables as t
 from qualitygate.functions import answer_problem, answer_unit, item_of, quality_band, row_key
 from qualitygate.plans import new_folder, pin, small_side
-from qualitygate.sources import conform, read_csv, read_json, write_csv, write_json
+from qualitygate.sources import conform, read_csv, read_json, write_csv, write_json, write_json_array
 from qualitygate.sources.exports import export_dataset
 from qualitygate.spec import MANIFEST, Options
 
@@ -1300,3 +1300,33 @@ def stream_checked(spark, folder):
     counted = t.as_events(source).writeStream.foreachBatch(lambda batch, number: ledger.add(batch, number))
     counted.option("checkpointLocation", new_folder(spark, "ledger-checkpoint")).trigger(availableNow=True).start().awaitTermination()
     return ledger.report(day(t.AS_OF))
+
+
+@query(
+    f"""WITH {t.DOCUMENTS_SQL}
+SELECT row_id, deployment_version,
+       CASE WHEN n_chars % 10 = 0 THEN 'the response is no JSON object' WHEN lang = 'fr' THEN 'richness: no answer'
+            WHEN lang = 'es' THEN 'long_enough: string is no noul' WHEN n_chars % 10 = 1 THEN 'long_enough: noul is not in [0, 1]' END AS error,
+       CASE WHEN n_chars % 10 > 1 AND lang NOT IN ('fr', 'es') THEN
+         round((0.5::DOUBLE * 0.25::DOUBLE + 0.2::DOUBLE * CASE WHEN lang = 'de' THEN 0.75::DOUBLE ELSE 1.0::DOUBLE END
+                + 0.3::DOUBLE * 0.5::DOUBLE) / (0.5::DOUBLE + 0.2::DOUBLE + 0.3::DOUBLE), 9) END AS quality
+FROM docs"""
+)
+def score_raw_responses(spark, folder):
+    """Responses of changing shape: broken JSON, missing, extra and ill-typed answers, answers with and without confidence."""
+    rows = t.documents(spark, folder).drop("created_at")
+    lang, tenth = F.col("lang"), F.col("n_chars") % 10
+    language = F.when(lang == "de", '{"value": "de", "confidence": 0.75}').otherwise(F.concat(F.lit('"'), lang, F.lit('"')))
+    enough = F.when(lang == "es", '"high"').when(tenth == 1, "1.5").otherwise("0.25")
+    rest = F.when(lang == "fr", ', "mood": [1, {"x": null}]').otherwise(', "richness": 3, "mood": "fine"')
+    response = F.concat(F.lit('{"long_enough": '), enough, F.lit(', "language": '), language, rest, F.when(tenth == 0, "").otherwise("}"))
+    scored = qg.score_with_errors(rows.withColumn("response", response), t.DOCUMENTS, qg.ResponseEvaluator(), unique=True)
+    return scored.select("row_id", "deployment_version", "error", F.round("quality", 9).alias("quality"))
+
+
+@query(_DOCUMENTS_EXPORT_SQL)
+def export_json_array_roundtrip(spark, folder):
+    rows = t.documents(spark, folder).drop("created_at")
+    path = new_folder(spark, "json-arrays")
+    write_json_array(rows.repartition(3), path)
+    return read_json(spark, path, rows.schema, array=True)

@@ -12,6 +12,7 @@ from qualitygate.operators.evaluators import (
     BatchEvaluator,
     Evaluator,
     ExpressionEvaluator,
+    ResponseEvaluator,
     get_evaluator,
     register_evaluator,
 )

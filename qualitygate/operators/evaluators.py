@@ -236,6 +236,54 @@ def _batch_function(score, questions, state, out_columns, options, on_error, clo
     return run
 
 
+@dataclass(frozen=True)
+class ResponseEvaluator:
+    """Answers out of raw responses, one JSON object of any shape per row, that are stored with the rows.
+
+    A question's key holds its answer: a number for ``noul`` and ``score`` (a level counted from 1), a text for
+    ``choice``, or an object with that as ``value`` and a ``confidence``. Other keys do not matter. A row
+    whose response is no object, or whose answer to a question is missing or of another type, gets the reason as
+    its ``error`` and no answers; its neighbours keep theirs. ``tokens`` and ``latency_ms`` name keys with numbers.
+    """
+
+    response: str = "response"
+    tokens: str = "tokens"
+    latency_ms: str = "latency_ms"
+    name: str = "responses"
+    price_per_mtok: float = Options.price_per_mtok
+
+    def answers(self, df: DataFrame, spec: DatasetSpec) -> DataFrame:
+        def at(*keys: str) -> str:
+            return "$" + "".join("['" + k.replace("\\", "\\\\").replace("'", "\\'") + "']" for k in keys)
+
+        def kind_of(column: str) -> Column:
+            """OBJECT, ARRAY, STRING, BOOLEAN, NUMBER or VOID; NULL if there is nothing."""
+            said = F.regexp_extract(F.schema_of_variant(column), "^[A-Z]+", 0)
+            return F.when(said.isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT"), "NUMBER").otherwise(said)
+
+        rows = df.withColumn("_v", F.try_parse_json(self.response))
+        rows = rows.withColumns({f"_i{i}": F.try_variant_get("_v", at(q.key), "variant") for i, q in enumerate(spec.questions)})
+        apart, values, sure, problems = {}, {}, {}, F.when(F.coalesce(kind_of("_v"), F.lit("")) != "OBJECT", "the response is no JSON object")
+        for i, q in enumerate(spec.questions):
+            nested = kind_of(f"_i{i}") == "OBJECT"
+            apart[f"_a{i}"] = F.when(nested, F.try_variant_get(f"_i{i}", at("value"), "variant")).otherwise(F.col(f"_i{i}"))
+            apart[f"_s{i}"] = F.when(nested, F.try_variant_get(f"_i{i}", at("confidence"), "variant"))
+        rows = rows.withColumns(apart)
+        for i, q in enumerate(spec.questions):
+            wanted = "STRING" if q.type == CHOICE else "NUMBER"
+            given, confidence = kind_of(f"_a{i}"), kind_of(f"_s{i}")
+            problems = problems.when(F.coalesce(given, F.lit("VOID")) == "VOID", f"{q.key}: no answer")
+            problems = problems.when(given != wanted, F.concat(F.lit(f"{q.key}: "), F.lower(given), F.lit(f" is no {q.type}")))
+            problems = problems.when(confidence.isNotNull() & ~confidence.isin("NUMBER", "VOID"), F.concat(F.lit(f"{q.key}: "), F.lower(confidence), F.lit(" is no confidence")))
+            values[f"_value_{q.key}"] = F.try_variant_get(f"_a{i}", "$", "string" if q.type == CHOICE else "double")
+            sure[f"_confidence_{q.key}"] = F.try_variant_get(f"_s{i}", "$", "double")
+        read = rows.withColumns(values | sure).withColumn("error", problems.otherwise(F.lit(None).cast("string")))
+        mapped = answer_map(spec.questions, {q.key: f"_value_{q.key}" for q in spec.questions}, {q.key: f"_confidence_{q.key}" for q in spec.questions})
+        number = {c: F.coalesce(F.try_variant_get("_v", at(k), "double"), F.lit(0.0)).alias(c) for c, k in (("tokens", self.tokens), ("latency_ms", self.latency_ms))}
+        kept = [c for c in df.columns if c not in state_columns(df)]
+        return read.select(*kept, F.when(F.col("error").isNull(), mapped).alias("answers"), *number.values(), "error")
+
+
 _EVALUATORS: dict[str, Callable[[], Evaluator]] = {}
 
 

@@ -11,6 +11,7 @@ from qualitygate.sources.exports import (
     rows_from_json,
     write_csv,
     write_json,
+    write_json_array,
 )
 from qualitygate.sources.history import DailyHistory
 from qualitygate.sources.metrics_log import MetricsLog, as_evaluations, as_metrics, latest_per_key
@@ -35,5 +36,6 @@ __all__ = [
     "rows_from_json",
     "write_csv",
     "write_json",
+    "write_json_array",
     "write_table",
 ]

@@ -22,9 +22,10 @@ def write_csv(df: DataFrame, path: str) -> None:
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, line_breaks: bool = False) -> DataFrame:
     """Such files back. A bare empty field is NULL, a quoted one an empty string.
 
-    ``line_breaks`` says that texts may hold line breaks; each file is then read by one task.
+    ``line_breaks`` says that texts may hold line breaks; each file is then read by one task. Without it a
+    record that a line break tears apart ends the job instead of giving broken rows.
     """
-    reader = spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", line_breaks)
+    reader = spark.read.option("mode", "FAILFAST").schema(schema).option("header", True).option("escape", '"').option("multiLine", line_breaks)
     # the mark that stands for a bare empty field while parsing; by default it equals the empty string
     return reader.option("nullValue", "\u0000").option("enforceSchema", False).csv(path)
 
@@ -34,6 +35,32 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
+def write_json_array(df: DataFrame, path: str) -> None:
+    """A folder of files that hold one JSON array each, NULLs written out; written in parallel.
+
+    Rows are rebalanced first, so that no file is larger than a task reads at once; ``read_json`` with ``array``
+    and other tools take each file as a whole.
+    """
+    rows = df.hint("rebalance").select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"}).alias("value"))
+
+    def lines(batches):
+        import pyarrow as pa
+
+        begun = False
+        for batch in batches:
+            if batch.num_rows:
+                texts = ["," + text for text in batch.column("value").to_pylist()]
+                if not begun:
+                    texts[0], begun = "[" + texts[0][1:], True
+                yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["value"])
+        yield pa.RecordBatch.from_arrays([pa.array(["]" if begun else "[]"], pa.string())], names=["value"])
+
+    arrays = rows.mapInArrow(lines, "value string")
+    if df.isEmpty():  # then the plan may have no partition that could write the empty array
+        arrays = df.sparkSession.range(1, numPartitions=1).select(F.lit("[]").alias("value"))
+    arrays.write.mode("overwrite").text(path)
+
+
 def read_json(spark: SparkSession, path: str, schema: T.StructType, array: bool = False) -> DataFrame:
     """JSON lines, or with ``array`` files that hold one JSON array each."""
     return spark.read.schema(schema).option("multiLine", array).json(path)

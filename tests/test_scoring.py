@@ -333,6 +333,42 @@ def test_bookkeeping_columns_stay_whatever_repeats(notes, monkeypatch, limit, co
     assert rows(got, "row_id", "_from", "_copies") == [("1", "here", copies), ("7", "here", 1)]
 
 
+def test_raw_responses_of_any_shape(notes):
+    bodies = {
+        "fine": '{"good": 1, "kind": {"value": "a", "confidence": 0.5}, "depth": {"value": 3.0}, "tokens": 1000, "more": []}',
+        "null": '{"good": null, "kind": "a", "depth": 3}',
+        "missing": '{"kind": "a", "depth": 3}',
+        "bool": '{"good": true, "kind": "a", "depth": 3}',
+        "empty object": '{"good": 1, "kind": {}, "depth": 3}',
+        "list": '{"good": 1, "kind": "a", "depth": [3]}',
+        "confidence": '{"good": 1, "kind": {"value": "a", "confidence": "high"}, "depth": 3}',
+        "range": '{"good": 1, "kind": {"value": "a", "confidence": 7}, "depth": 3}',
+        "array": "[1]",
+        "broken": '{"good": 1',
+        "none": None,
+    }
+    df = notes([(name, "v1", "w", "a") for name in bodies])
+    response = F.coalesce(*[F.when(F.col("row_id") == name, F.lit(body)) for name, body in bodies.items()])
+    got = {r.row_id: r for r in qg.score_with_errors(df.withColumn("response", response), SPEC, qg.ResponseEvaluator()).collect()}
+    assert {name: r.error for name, r in got.items()} == {
+        "fine": None,
+        "null": "good: no answer",
+        "missing": "good: no answer",
+        "bool": "good: boolean is no noul",
+        "empty object": "kind: no answer",
+        "list": "depth: array is no score",
+        "confidence": "kind: string is no confidence",
+        "range": "kind: confidence is not in [0, 1]",
+        "array": "the response is no JSON object",
+        "broken": "the response is no JSON object",
+        "none": "the response is no JSON object",
+    }
+    fine = got["fine"]
+    assert (fine.answers["kind"].choice, fine.answers["kind"].confidence, fine.answers["depth"].score) == ("a", 0.5, 3.0)
+    assert round(fine.quality, 9) == round(0.5 + 0.2 * 0.5 + 0.3 * 0.5, 9) and fine.cost_usd > 0
+    assert all(r.answers is None and r.quality is None for name, r in got.items() if name != "fine")
+
+
 def test_registry():
     qg.register_evaluator("Mine", lambda: EXPRESSION)
     assert qg.get_evaluator(" mine ") is EXPRESSION

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import qualitygate as qg
 from qualitygate.operators.versions import _ids_that_differ
-from qualitygate.sources import as_metrics, conform, read_csv, read_json, write_csv, write_json
+from qualitygate.sources import as_metrics, conform, read_csv, read_json, write_csv, write_json, write_json_array
 from qualitygate.spec import EVALUATION, MANIFEST
 from tests.conftest import rows
 
@@ -191,6 +191,24 @@ def test_a_log_with_key_buckets_reads_those_asked_for(spark, tmp_path):
         plain.compact("2024-01-01")
 
 
+def test_json_arrays(spark, tickets, tmp_path):
+    df = conform(tickets(AWKWARD), qg.TICKETS)
+    for i, some in enumerate((df.coalesce(1), df.repartition(3), df.limit(0))):
+        path = str(tmp_path / str(i))
+        write_json_array(some, path)
+        files = [json.loads(f.read_text()) for f in (tmp_path / str(i)).glob("part-*")]
+        assert sum(map(len, files)) == some.count() and all(list(r) == df.columns for f in files for r in f)
+        assert rows(read_json(spark, path, df.schema, array=True)) == rows(some)
+
+
+def test_torn_csv_records_end_the_job(spark, tickets, tmp_path):
+    df = conform(tickets(AWKWARD), qg.TICKETS)
+    write_csv(df, str(tmp_path / "csv"))
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_csv(spark, str(tmp_path / "csv"), df.schema).collect()
+    assert rows(read_csv(spark, str(tmp_path / "csv"), df.schema, line_breaks=True)) == rows(df)
+
+
 def test_rows_in_and_evaluations_out(spark):
     body = json.dumps({"rows": [
         {"row_id": "T1", "deployment_version": "v2", "ticket_text": "charged twice", "category": "billing",
