@@ -105,4 +105,18 @@ ORACLE = {
         SELECT b.doc_id, g.keep_id, g.group_size, b.doc_id = g.keep_id AS kept, sha256(b.normal) AS text_sha256
         FROM b JOIN g USING (normal)
     """,
+    "op5_substring_dedup": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+        words AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS j FROM d),
+        starts AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS i FROM d),
+        windows AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 34], ' ')) AS code FROM starts),
+        repeated AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY code) AS n FROM windows) AS w WHERE n > 1),
+        covered AS (
+            SELECT words.doc_id, j, word, max(i) OVER (PARTITION BY words.doc_id ORDER BY j ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS hit
+            FROM words LEFT JOIN repeated ON words.doc_id = repeated.doc_id AND j = i
+        ),
+        kept AS (SELECT doc_id, count(hit) AS n_removed, string_agg(word, ' ' ORDER BY j) FILTER (WHERE hit IS NULL) AS rest FROM covered GROUP BY doc_id)
+        SELECT d.doc_id, len(ws) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(rest, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (doc_id)
+    """,
 }
