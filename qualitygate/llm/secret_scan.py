@@ -273,8 +273,11 @@ def secret_findings(docs: DataFrame, text: str = "text", key: str = "doc_id", fi
     return outer.select("doc_id", "start", "stop", "secret", "score")
 
 
-def redact(docs: DataFrame, text: str = "text", key: str = "doc_id", mark: str = "[SECRET]", findings=None) -> DataFrame:
-    """``docs`` with each found secret replaced by ``mark``; all rows and columns stay, a null text stays null."""
+def redact(docs: DataFrame, text: str = "text", key: str = "doc_id", mark: str = "[SECRET]", findings=None, count: str | None = None) -> DataFrame:
+    """``docs`` with each found secret replaced by ``mark``; all rows and columns stay, a null text stays null.
+
+    ``count`` names a column, if ``docs`` has it, that gets the new number of characters where a text changed.
+    """
     rows = spool(numbered(docs, F.col(key).alias("doc_id"), text_of(text).alias("text"), carry=True), "secrets")
     found = _scored(rows, findings).where(F.col("score") >= KEEP)
     earlier = Window.partitionBy("row").orderBy("start", F.desc("stop")).rowsBetween(Window.unboundedPreceding, -1)
@@ -284,4 +287,7 @@ def redact(docs: DataFrame, text: str = "text", key: str = "doc_id", mark: str =
     clean = F.aggregate("spans", F.col("text"), lambda t, s: F.overlay(t, F.lit(mark), (s["start"] + 1).cast("int"), (s["stop"] - s["start"]).cast("int")))
     whole = rows.select("row", "kept_row").join(spans, "row", "left").withColumn("text", F.col(f"kept_row.{text}"))
     new = F.when(F.col("spans").isNull(), F.col("text")).otherwise(clean)
-    return whole.select(*[new.alias(c) if c == text else F.col(f"kept_row.`{c}`").alias(c) for c in docs.columns])
+    columns = {c: F.col(f"kept_row.`{c}`") for c in docs.columns} | {text: new}
+    if count in columns:
+        columns[count] = F.when(F.col("spans").isNull(), columns[count]).otherwise(F.length(clean)).cast(docs.schema[count].dataType)
+    return whole.select(*[column.alias(c) for c, column in columns.items()])

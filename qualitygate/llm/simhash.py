@@ -3,11 +3,6 @@
 A fingerprint is cut into so few segments that, of two fingerprints to be linked, one
 segment differs by at most one bit. Each segment is indexed once per bit position with that
 bit left out; equal variants meet by an equality shuffle and are verified on all bits.
-
-``drop_near_copies`` asks for a Jaccard similarity of shingle sets, which fingerprints can't find
-or tell. It uses none: all texts share one order of shingles, rarest first, and two sets can only
-reach 4/5 if they share one of their first n - ceil(4n/5) + 1, so these meet by an equality
-shuffle and the sets of the pairs are compared exactly.
 """
 
 from __future__ import annotations
@@ -16,7 +11,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,11 +23,7 @@ from qualitygate.plans.broadcasting import small_side
 LOWER = bytes(range(256)).lower()
 #: Buckets up to this size compare all pairs at once; larger ones grow trees of links instead.
 PAIRWISE = 64
-#: Shingle sets of near copies share at least this part of their union: numerator, denominator.
-SIMILAR = (4, 5)
-#: The order of shingles is learned from about so many texts and names at most so many frequent shingles; it has no influence on what is found.
-ORDER_TEXTS, ORDER_SHINGLES = 2000, 200_000
-#: Rows and pairs that are named to all tasks instead of shuffling the texts or sets, if they are not more than this.
+#: Rows that are named to all tasks instead of shuffling the texts, if they are not more than this.
 NAMED = 1_000_000
 
 
@@ -67,9 +58,10 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int(sum(1 << i for i in np.flatnonzero(2 * counts > n).tolist()))
 
 
-def fingerprints(docs: DataFrame, words: int, text: str, key: str, carry: bool = False) -> DataFrame:
-    """row, doc_id, fingerprint (and the input row), written to the shared folder."""
-    rows = numbered(docs, F.col(key).alias("doc_id"), text_of(text).alias("text"), carry=carry)
+def fingerprints(docs: DataFrame, words: int, text: str, key: str, row: str | None = None) -> DataFrame:
+    """row, doc_id and fingerprint, written to the shared folder. ``row`` names a column that numbers the rows already."""
+    columns = F.col(key).alias("doc_id"), text_of(text).alias("text")
+    rows = numbered(docs, *columns) if row is None else docs.select(F.col(row).alias("row"), *columns)
     kept = T.StructType([f for f in rows.schema.fields if f.name != "text"])
     schema = T.StructType([*kept.fields, T.StructField("fingerprint", T.LongType())])
 
@@ -138,16 +130,20 @@ def _links(bits: int):
         return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["u", "v"])
 
     def run(batches):
-        keys, codes = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        held: list[tuple[np.ndarray, np.ndarray]] = []  # the last bucket, which may go on; joined only when it is left
         for batch in batches:
-            keys = np.append(keys, batch.column("key").to_numpy())
-            codes = np.append(codes, batch.column("fingerprint").to_numpy().view(np.uint64))
-            whole = np.searchsorted(keys, keys[-1]) if len(keys) else 0  # the last bucket may go on
-            if whole:
-                if (out := within(keys[:whole], codes[:whole])) is not None:
-                    yield out
-                keys, codes = keys[whole:], codes[whole:]
-        if len(keys) and (out := within(keys, codes)) is not None:
+            keys, codes = batch.column("key").to_numpy(), batch.column("fingerprint").to_numpy().view(np.uint64)
+            if not len(keys):
+                continue
+            held.append((keys, codes))
+            if held[0][0][0] == keys[-1]:
+                continue
+            keys, codes = (np.concatenate(x) for x in zip(*held, strict=True))
+            whole = np.searchsorted(keys, keys[-1])
+            if (out := within(keys[:whole], codes[:whole])) is not None:
+                yield out
+            held = [(keys[whole:], codes[whole:])]
+        if held and (out := within(*(np.concatenate(x) for x in zip(*held, strict=True)))) is not None:
             yield out
 
     return run
@@ -177,163 +173,16 @@ def near_duplicates(docs: DataFrame, words: int = 4, bits: int = 4, text: str =
     return codes.join(named, "fingerprint").select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def _set_of(text: str, words: int) -> np.ndarray:
-    return np.unique(shingle_hashes(text, words))
-
-
-def _sketch(own: np.ndarray) -> np.ndarray:
-    """256 parities of a set: two sketches differ in no more bits than their sets in elements."""
-    odd = np.bincount((own & np.uint64(255)).astype(np.int64), minlength=256) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64)
-
-
-def _sets(texts: DataFrame, words: int) -> DataFrame:
-    """row, doc_id, size, digest and sketch of the shingle set of each text, written to the shared folder."""
-    import xxhash
-
-    kept = T.StructType([f for f in texts.schema.fields if f.name != "text"])
-    schema = T.StructType([*kept.fields, T.StructField("size", T.IntegerType()), T.StructField("digest", T.BinaryType()), *[T.StructField(f"s{i}", T.LongType()) for i in range(4)]])
-
-    def run(batches):
-        for batch in batches:
-            sizes, digests, sketches = [], [], []
-            for t in batch.column("text"):
-                own = _set_of(t.as_py(), words)  # one text at a time
-                sizes.append(len(own))
-                digests.append(xxhash.xxh3_128_digest(own.tobytes()))
-                sketches.append(_sketch(own))
-            parts = np.array(sketches, np.int64).reshape(-1, 4)
-            columns = [batch.column(f.name) for f in kept.fields]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(sizes, pa.int32()), pa.array(digests, pa.binary()), *[pa.array(parts[:, i].copy()) for i in range(4)]], names=schema.names)
-
-    return spool(texts.mapInArrow(run, schema), "near")
-
-
-def _frequent(texts: DataFrame, total: int, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that several texts of a sample have, ascending, and how many: a table of fixed size."""
-
-    def run(batches):
-        for batch in batches:
-            for t in batch.column("text"):
-                yield pa.RecordBatch.from_arrays([pa.array(_set_of(t.as_py(), words).view(np.int64))], names=["shingle"])
+def drop_near_copies(docs: DataFrame, words: int = 4, bits: int = 4, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """One row of each group of ``near_duplicates`` stays, with all its columns: that of the smallest id, null ids last.
 
-    some = texts.where(F.pmod(F.xxhash64("row"), F.lit(total // ORDER_TEXTS + 1)) == 0).select("text")
-    counted = some.mapInArrow(run, "shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 2")
-    top = counted.orderBy(F.desc("n"), "shingle").limit(ORDER_SHINGLES).toArrow()
-    shingles = top.column("shingle").to_numpy().view(np.uint64)
-    order = np.argsort(shingles)
-    return shingles[order], top.column("n").to_numpy()[order]
-
-
-def first_shingles(own: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """The shingles of a set, rarest first, of which one must be shared by any set that is similar enough."""
-    shingles, counts = frequent
-    weight = np.zeros(len(own), np.int64)
-    if len(shingles):
-        at = np.minimum(np.searchsorted(shingles, own), len(shingles) - 1)
-        weight = np.where(shingles[at] == own, counts[at], 0)
-    top, bottom = SIMILAR
-    return own[np.lexsort((own, weight))[: len(own) + top * len(own) // -bottom + 1]]
-
-
-def _keyed(texts: DataFrame, words: int, frequent) -> DataFrame:
-    """key, row, at: the first shingles of each text (six bytes of them) and their places."""
-
-    def run(batches):
-        def out():
-            keys, size = np.concatenate(held), [len(h) for h in held]
-            at = np.concatenate([np.arange(n, dtype=np.int32) for n in size])
-            return pa.RecordBatch.from_arrays([pa.array((keys >> np.uint64(16)).view(np.int64)), pa.array(np.repeat(np.array(rows, np.int64), size)), pa.array(at)], names=["key", "row", "at"])
-
-        for batch in batches:
-            rows, held, n = [], [], 0
-            for row, t in zip(batch.column("row").to_pylist(), batch.column("text"), strict=True):
-                own = _set_of(t.as_py(), words)
-                if len(own):
-                    rows.append(row)
-                    held.append(first_shingles(own, frequent))
-                    n += len(held[-1])
-                if n > 200_000:
-                    yield out()
-                    rows, held, n = [], [], 0
-            if held:
-                yield out()
-
-    return texts.select("row", "text").mapInArrow(run, "key long, row long, at int")
-
-
-def _possible(a: str, b: str) -> Column:
-    """What holds for two sets that share a key if they are similar enough; ``a`` is not the larger one."""
-    top, bottom = SIMILAR
-    m, n, i, j = (F.col(f"{side}.{name}") for name in ("size", "at") for side in (a, b))
-    shared = F.ceil(F.lit(top) * (m + n) / F.lit(top + bottom) - 1e-9)
-    differing = sum((F.bit_count(F.col(f"{a}.s{k}").bitwiseXOR(F.col(f"{b}.s{k}"))) for k in range(4)), F.lit(0))
-    return (bottom * m >= top * n) & (F.least(i, j) + F.least(m - i, n - j) >= shared) & (differing <= m + n - 2 * shared)
-
-
-def _similar(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
-    """Those of the pairs (u, v) whose shingle sets are similar enough, compared exactly."""
-    top, bottom = SIMILAR
-    pairs = spool(pairs.select("u", "v").distinct(), "near")
-    named = small_side(pairs.select(F.explode(F.array("u", "v")).alias("row")).distinct(), NAMED)
-
-    def sets(batches):
-        for batch in batches:
-            for row, t in zip(batch.column("row").to_pylist(), batch.column("text"), strict=True):
-                yield pa.RecordBatch.from_arrays([pa.array([row]), pa.array([_set_of(t.as_py(), words).tobytes()], pa.binary())], names=["row", "own"])
-
-    def compare(batches):
-        for batch in batches:
-            good = []
-            for x, y in zip(batch.column("a"), batch.column("b"), strict=True):
-                a, b = (np.frombuffer(z.as_buffer(), np.uint64) for z in (x, y))
-                shared = len(np.intersect1d(a, b, assume_unique=True))
-                good.append((top + bottom) * shared >= top * (len(a) + len(b)))
-            yield batch.select(["u", "v"]).filter(pa.array(good, pa.bool_()))
-
-    own = spool(texts.join(named, "row", "left_semi").select("row", "text").mapInArrow(sets, "row long, own binary"), "near")
-    both = pairs.join(own.toDF("u", "a"), "u").join(own.toDF("v", "b"), "v")
-    return spool(both.mapInArrow(compare, "u long, v long"), "near")
-
-
-def _similar_links(texts: DataFrame, own: DataFrame, least: DataFrame, total: int, words: int) -> DataFrame:
-    """Links (u, v) that connect all classes of equal sets that are connected by similar sets.
-
-    Two neighbours by size of each set, of all its keys, are compared first; then, of all that share a key, only
-    those that are not connected yet, so that a large group of near copies does not list its pairs.
-    """
-    keyed = _keyed(texts, words, _frequent(texts, total, words))
-    shared = keyed.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("n > 1").select("key", "row", "at")
-    classes = own.select(F.col("row").alias("of"), "digest").join(least.select("digest", F.col("place.row").alias("row"), "size", "s0", "s1", "s2", "s3"), "digest").drop("digest")
-    shared = shared.withColumnRenamed("row", "of").join(classes, "of").drop("of").distinct()
-    shared = spool(shared.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("n > 1").drop("n"), "near")
-    whole = F.struct("row", "size", "at", "s0", "s1", "s2", "s3")
-    chain = shared.select(whole.alias("b"), F.lag(whole).over(Window.partitionBy("key").orderBy("size", "row")).alias("a")).where("a.row != b.row")
-    ends = chain.where(_possible("a", "b")).groupBy(F.col("b.row").alias("v")).agg(F.array(F.min("a.row"), F.max("a.row")).alias("us"))
-    near = _similar(ends.select(F.explode("us").alias("u"), "v"), texts, words)
-    labels = spool(components(near), "near")
-    named = spool(shared.join(labels, F.col("row") == F.col("node"), "left").withColumn("component", F.coalesce("component", "row")).drop("node"), "near")
-    apart = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
-    open_ = spool(named.join(apart, "key", "left_semi"), "near")
-    ordered = F.struct("a.size", "a.row") < F.struct("b.size", "b.row")
-    cross = open_.alias("a").join(open_.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.component") != F.col("b.component")) & ordered & _possible("a", "b"))
-    return near.union(_similar(cross.select(F.col("a.row").alias("u"), F.col("b.row").alias("v")), texts, words))
-
-
-def drop_near_copies(docs: DataFrame, words: int = 5, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One row of each group stays, with all its columns: that of the smallest id, null ids last.
-
-    Texts link if the Jaccard similarity of their sets of shingles is 4/5 or more (``SIMILAR``); a
-    group is all that links connect. Every such pair counts and no other. Texts without words
-    are equal. Shingles are compared by their 64-bit hashes.
+    An empty table gives no rows; of rows with equal texts and ids one stays.
     """
     rows = spool(numbered(docs, F.col(key).alias("doc_id"), carry=True), "near")
-    texts = rows.select("row", "doc_id", F.coalesce(F.col(f"kept_row.`{text}`"), F.lit("")).alias("text"))
-    own = _sets(texts, words)
-    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
-    least = spool(own.groupBy("digest").agg(F.min(place).alias("place"), *[F.min(c).alias(c) for c in ("size", "s0", "s1", "s2", "s3")]), "near")
-    labels = components(_similar_links(texts, own, least, own.count(), words))
-    groups = least.join(labels, F.col("place.row") == F.col("node"), "left").groupBy(F.coalesce("component", "place.row").alias("component")).agg(F.min("place").alias("place"))
-    stay = spool(groups.select("place.row"), "near")
-    gone = small_side(own.select("row").join(stay, "row", "left_anti"), NAMED)
+    codes = fingerprints(rows.select("row", "doc_id", F.col(f"kept_row.`{text}`").alias("text")), words, "text", "doc_id", "row")
+    own = _components_of(codes, bits).select("fingerprint", "component")
+    place = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")).alias("place")
+    firsts = codes.groupBy("fingerprint").agg(place).join(own, "fingerprint").groupBy("component").agg(F.min("place").alias("place"))
+    stay = spool(firsts.select("place.row"), "near")
+    gone = small_side(codes.select("row").join(stay, "row", "left_anti"), NAMED)
     return rows.join(gone, "row", "left_anti").select("kept_row.*")

@@ -70,61 +70,30 @@ def test_one_row_of_each_group_stays(spark):
     assert drop_near_copies(docs.limit(0)).count() == near_duplicates(docs.limit(0)).count() == 0
 
 
-def brute_sets(rows):
-    return {r[0]: {" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if (w := (r[1] or "").lower().split()) else set() for r in rows}
-
-
-def jaccard(a, b):
-    return len(a & b) / len(a | b) if a | b else 1.0
-
-
-def near_pairs():
-    """Texts in pairs on both sides of a similarity of 0.8, chains, a hot passage and a large group of near copies."""
-    rnd = random.Random(8)
-    pool, passage = [f"w{i}" for i in range(3000)], " ".join(f"hot{i}" for i in range(40))
-    out = [None, "", "  ", "one", "One", "two words"]
-    for changes in range(1, 9):
-        for n in (60, 150, 300):
-            base = [rnd.choice(pool) for _ in range(n)]
-            out.append(" ".join(base))
-            for at in rnd.sample(range(n), min(n, changes * n // 150 + 1)):
-                base[at] = f"new{rnd.random()}"
-            out.append(" ".join(base))
-    chain = [rnd.choice(pool) for _ in range(200)]
-    for k in range(6):
-        chain[30 * k : 30 * k + 12] = [f"c{k}_{i}" for i in range(12)]
-        out.append(" ".join(chain))
-    out += [passage + " " + " ".join(rnd.choice(pool) for _ in range(60)) for _ in range(90)]
-    group = [rnd.choice(pool) for _ in range(120)]
-    out += [" ".join([*group[:k], f"own{k}", *group[k + 1 :]]) for k in range(90)]
-    return list(enumerate(out))
-
-
-def test_near_copies_against_brute_force_similarity(spark):
-    """Fingerprints within five bits miss most pairs of 0.8; here every pair counts."""
-    rows = near_pairs()
-    sets = brute_sets(rows)
-    label = {i: i for i in sets}
-    links = [(a, b) for a in sets for b in sets if a < b and jaccard(sets[a], sets[b]) >= 0.8]
-    assert any(jaccard(sets[a], sets[b]) < 0.82 for a, b in links)
-    changed = True
-    while changed:
-        changed = False
-        for a, b in links:
-            low = min(label[a], label[b])
-            changed |= label[a] != low or label[b] != low
-            label[a] = label[b] = low
+def test_near_copies_against_brute_force(spark):
+    rows = [(i, t, "f", 1, 2) for i, t in enumerate(texts())]
     random.Random(1).shuffle(rows)
-    docs = spark.createDataFrame([(i, t, "f", 1, 2) for i, t in rows], SCHEMA).repartition(4)
-    assert {r.doc_id for r in drop_near_copies(docs).collect()} == set(label.values())
-
-
-def test_equal_fingerprints_are_no_near_copies(spark):
-    """A shingle that makes up over half of a text sets the whole fingerprint, whatever else is in it."""
-    texts = ["same " * 150 + " ".join(f"{name}{i}" for i in range(100)) for name in "ab"]
-    assert brute_code(texts[0], 5) == brute_code(texts[1], 5)
-    docs = spark.createDataFrame([(i, t, "f", 1, 2) for i, t in enumerate(texts)], SCHEMA)
-    assert {r.doc_id for r in drop_near_copies(docs).collect()} == {0, 1}
+    codes = {r[0]: brute_code(r[1], 4) for r in rows}
+    label = brute_components(set(codes.values()), 4)
+    least: dict = {}
+    for i, c in codes.items():
+        least[label[c]] = min(i, least.get(label[c], i))
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    assert {r.doc_id for r in drop_near_copies(docs).collect()} == set(least.values())
+
+
+def test_a_bucket_over_many_batches():
+    import pyarrow as pa
+
+    rnd = random.Random(6)
+    keys = sorted([1] * 400 + [2] * 3 + [3] * 900 + [4])
+    codes = [rnd.getrandbits(64) for _ in keys]
+    codes[500] = codes[1200] ^ 5
+    whole = pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(np.array(codes, np.uint64).view(np.int64))], names=["key", "fingerprint"])
+    for size in (7, 100, 5000):
+        pieces = [whole.slice(i, size) for i in range(0, len(keys), size)] + [whole.slice(0, 0)]
+        found = [tuple(np.array(list(r.values()), np.int64).view(np.uint64).tolist()) for b in simhash._links(4)(iter(pieces)) for r in b.to_pylist()]
+        assert {frozenset(f) for f in found} == {frozenset((codes[500], codes[1200]))}
 
 
 def test_every_pair_within_reach_shares_a_variant(spark):
