@@ -6,9 +6,7 @@ one returns token pieces with their places in sequences.
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from qualitygate.llm import packing, quality, secret_scan, simhash
 from qualitygate.llm.common import documents, spool
@@ -26,17 +24,19 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near copies stays: sets of five-word shingles with a Jaccard similarity of 0.8 or more."""
-    return simhash.drop_near_copies(docs)
+    """One row of each group of near copies stays: fingerprints of four-word shingles that differ in at most four bits, and what they connect."""
+    return simhash.drop_near_copies(docs, words=4, bits=4)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are replaced by a mark; all documents stay."""
-    return secret_scan.redact(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    """Secrets are replaced by a mark; all documents stay. ``n_chars`` follows the text where that changed."""
+    return secret_scan.redact(docs, count="n_chars")
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces in sequences of 2048."""
+    import public_tokenizers  # only here, so that the other stages do not need it
+
     return packing.pack(packing.token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json")))
 
 
