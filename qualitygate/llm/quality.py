@@ -11,17 +11,17 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from qualitygate.llm.common import text_of
+from qualitygate.llm.common import spool, text_of
 from qualitygate.llm.pretokens import text_blocks
 
 #: Bytes of a passage.
 PASSAGE = 512
-#: Bound of the labelled sample for fitting: documents, and passages of each, evenly spread.
-TRAIN_DOCS, TRAIN_PASSAGES = 3000, 24
+#: Bound of the labelled sample for fitting: documents, and bytes of all their texts together. Every passage of a sampled text is used.
+TRAIN_DOCS, TRAIN_BYTES = 3000, 200_000_000
 #: Widths of representation and attention; rounds over the sample.
 WIDTH, GATE, ROUNDS = 24, 12, 30
 #: Characters by class; what is not listed is upper case, digit, other sign, or part of a longer character.
@@ -69,8 +69,13 @@ def passages(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([np.sqrt(pairs / np.maximum(length, 1)[:, None]), rest], axis=1).astype(np.float32), counts
 
 
+def packed(encodings: np.ndarray) -> np.ndarray:
+    """Encodings, which lie between 0 and 1, in steps of 1/255."""
+    return np.rint(encodings * 255).astype(np.uint8)
+
+
 class Attention:
-    """Gated attention over passages; fitted with Adam on whole bags."""
+    """Gated attention over passages; fitted with Adam on whole bags, whose encodings are ``packed``."""
 
     def __init__(self, width: int, seed: int = 7):
         rnd = np.random.default_rng(seed)
@@ -109,7 +114,7 @@ class Attention:
             order = rnd.permutation(len(y))
             for i in range(0, len(y), 64):
                 own = order[i : i + 64]
-                x, counts = np.concatenate([bags[j] for j in own]), np.array([len(bags[j]) for j in own])
+                x, counts = np.concatenate([bags[j] for j in own]).astype(np.float32) / 255, np.array([len(bags[j]) for j in own])
                 grads, step = self.gradients(x, counts, y[own], self.forward(x, counts)), step + 1
                 for k, g in grads.items():
                     m[k], v[k] = 0.9 * m[k] + 0.1 * g, 0.999 * v[k] + 0.001 * g * g
@@ -123,7 +128,10 @@ def held_out(key: str):
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str = "text", key: str = "doc_id") -> Attention:
-    """Fit on at most ``TRAIN_DOCS`` labelled documents that are not held out, chosen by a hash of the id.
+    """Fit on all passages of labelled documents that are not held out, chosen by a hash of the id.
+
+    These are at most ``TRAIN_DOCS``, and as many of them, in that order, as have ``TRAIN_BYTES`` of text together.
+    The driver holds a byte for each number of an encoding, about half as many as the texts have.
 
     Null labels and null ids are left out; of repeated ids the label with the largest value
     and the smallest text count. Without any label the score is one half everywhere.
@@ -133,18 +141,21 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str
     texts = docs.select(F.col(key).alias("doc_id"), text_of(text).alias("text")).join(F.broadcast(chosen), "doc_id")
     texts = texts.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 
+    texts = spool(texts, "train")
+    sizes = Window.orderBy("order", "doc_id").rowsBetween(Window.unboundedPreceding, 0)  # of at most TRAIN_DOCS rows
+    within = texts.select("doc_id", F.xxhash64("doc_id").alias("order"), F.octet_length("text").cast("long").alias("size")).withColumn("reached", F.sum("size").over(sizes))
+    texts = texts.join(F.broadcast(within.where(F.col("reached") <= TRAIN_BYTES).select("doc_id")), "doc_id")
+
     def encode(batches):
         for batch in batches:
-            bags = []
-            for t in batch.column("text").to_pylist():
-                own, _ = passages([t])
-                bags.append(own[np.unique(np.linspace(0, len(own) - 1, TRAIN_PASSAGES).astype(int))].tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("label"), pa.array(bags, pa.binary())], names=["key", "label", "bag"])
+            for i, t in enumerate(batch.column("text")):  # one text at a time
+                bag = pa.array([packed(passages([t.as_py()])[0]).tobytes()], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column("key").slice(i, 1), batch.column("label").slice(i, 1), bag], names=["key", "label", "bag"])
 
     sample = texts.select(F.xxhash64("doc_id").alias("key"), F.col("label").cast("double").alias("label"), "text").mapInArrow(encode, "key long, label double, bag binary")
-    rows = sorted(sample.collect(), key=lambda r: r.key)  # at most TRAIN_DOCS rows
+    rows = sorted(sample.collect(), key=lambda r: r.key)  # at most TRAIN_DOCS rows of TRAIN_BYTES of text
     width = N_CLASSES**2 + 4
-    return Attention(width).fit([np.frombuffer(r.bag, np.float32).reshape(-1, width) for r in rows], np.array([r.label for r in rows]))
+    return Attention(width).fit([np.frombuffer(r.bag, np.uint8).reshape(-1, width) for r in rows], np.array([r.label for r in rows]))
 
 
 def score(docs: DataFrame, model: Attention, text: str = "text") -> DataFrame:
@@ -161,7 +172,7 @@ def score(docs: DataFrame, model: Attention, text: str = "text") -> DataFrame:
         network.p = weights
         for batch, texts in text_blocks(batches, 500_000):
             x, counts = passages(texts)
-            yield pa.RecordBatch.from_arrays([batch.column("kept"), pa.array(network.forward(x, counts)["score"])], names=["kept", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("kept"), pa.array(network.forward(packed(x).astype(np.float32) / 255, counts)["score"])], names=["kept", "score"])
 
     return rows.mapInArrow(run, schema)
 
