@@ -1,4 +1,5 @@
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -28,6 +29,19 @@ def test_held_out_findings(spark, docs):
     assert got.where("prediction = label").count() >= 0.93 * len(rows)
 
 
+def test_findings_labelled_by_hand(spark, docs):
+    """Lines that were written and labelled by hand, not by the rule that makes the training examples."""
+    lines = [line.split("\t") for line in (Path(__file__).parent / "findings.txt").read_text().splitlines()]
+    rows = [(10**6 + i, text) for i, (_, text, _) in enumerate(lines)]
+    found: dict = {}
+    for r in secret_findings(docs.limit(300).union(spark.createDataFrame(rows, "doc_id long, text string"))).where("doc_id >= 1000000").collect():
+        found.setdefault(r.doc_id - 10**6, []).append(r.secret)
+    secret = {i for i, (label, _, _) in enumerate(lines) if label == "1"}
+    caught = {i for i in secret if lines[i][2] in found.get(i, [])}
+    wrong = {i for i in set(range(len(lines))) - secret if i in found}
+    assert len(caught) >= 0.9 * len(secret) and len(wrong) <= 1, ([lines[i] for i in secret - caught], [lines[i] for i in wrong])
+
+
 def test_every_planted_token_and_nothing_else(docs):
     want = {(r.doc_id, m.start(1), m.end(1)) for r in docs.collect() for m in re.finditer(r'(?i)token = "([0-9a-f]{40})"', r.text or "")}
     assert {(r.doc_id, r.start, r.stop) for r in secret_findings(docs).collect()} == want
