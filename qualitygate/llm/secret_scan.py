@@ -278,14 +278,15 @@ def redact(docs: DataFrame, text: str = "text", key: str = "doc_id", mark: str =
 
     ``count`` names a column, if ``docs`` has it, that gets the new number of characters where a text changed.
     """
-    rows = spool(numbered(docs, F.col(key).alias("doc_id"), text_of(text).alias("text"), carry=True), "secrets")
+    rows = spool(numbered(docs, F.col(key).alias("doc_id"), carry=True), "secrets")  # the text once
+    rows = rows.withColumn("text", F.coalesce(F.col(f"kept_row.`{text}`"), F.lit("")))
     found = _scored(rows, findings).where(F.col("score") >= KEEP)
     earlier = Window.partitionBy("row").orderBy("start", F.desc("stop")).rowsBetween(Window.unboundedPreceding, -1)
     reached = found.withColumn("reached", F.coalesce(F.max("stop").over(earlier), F.lit(-1))).where("stop > reached")
     apart = reached.select("row", F.greatest("start", "reached").alias("start"), "stop")  # what overlaps is cut where the one before it ends
     spans = apart.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "stop")), asc=False).alias("spans"))  # bounded by the text
     clean = F.aggregate("spans", F.col("text"), lambda t, s: F.overlay(t, F.lit(mark), (s["start"] + 1).cast("int"), (s["stop"] - s["start"]).cast("int")))
-    whole = rows.select("row", "kept_row").join(spans, "row", "left").withColumn("text", F.col(f"kept_row.{text}"))
+    whole = rows.select("row", "kept_row").join(spans, "row", "left").withColumn("text", F.col(f"kept_row.`{text}`"))
     new = F.when(F.col("spans").isNull(), F.col("text")).otherwise(clean)
     columns = {c: F.col(f"kept_row.`{c}`") for c in docs.columns} | {text: new}
     if count in columns:
