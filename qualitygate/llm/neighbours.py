@@ -1,8 +1,12 @@
 """Approximate nearest neighbours by learned partitions.
 
-The neighbour graph of a bounded sample is cut into balanced parts; a small classifier learns
-which part a vector belongs to. It assigns every row of the index to a part and routes each
-query to its several most probable parts, whose rows are compared exactly.
+The neighbour graph of a bounded sample is cut into balanced parts, and a small classifier learns
+which part a row belongs to and assigns every row of the index. Another one learns in which parts the rows of
+largest inner product with a query lie, and routes each query to its several most probable
+parts, whose rows are compared exactly.
+
+Rows get one more component, such that all have the same length and, with a zero there, queries keep their
+order: near in direction then means large in inner product, also where lengths differ.
 """
 
 from __future__ import annotations
@@ -36,12 +40,24 @@ def _directions(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.sqrt((scaled**2).sum(axis=1, keepdims=True))
 
 
-def neighbour_graph(x: np.ndarray) -> np.ndarray:
-    """The nearest rows of each row, without itself."""
+def _lengths(vectors: np.ndarray) -> np.ndarray:
+    largest = np.abs(vectors).max(axis=1)
+    return largest * np.sqrt(((vectors / largest[:, None]) ** 2).sum(axis=1))
+
+
+def lifted(vectors: np.ndarray, longest: float) -> np.ndarray:
+    """Rows as unit vectors with one more component, which takes what they are shorter than the longest."""
+    share = np.minimum(_lengths(vectors) / longest, 1.0)
+    return np.hstack([_directions(vectors) * share[:, None], np.sqrt(1 - share**2)[:, None]])
+
+
+def neighbour_graph(x: np.ndarray, rows: np.ndarray | None = None) -> np.ndarray:
+    """For each of ``x`` the rows (``x`` itself if not given) of largest inner product, without the one of the same number."""
     n = len(x)
+    rows = x if rows is None else rows
     near = np.empty((n, min(DEGREE, n - 1)), np.int64)
     for a in range(0, n, 1000):
-        s = x[a : a + 1000] @ x.T
+        s = x[a : a + 1000] @ rows.T
         s[np.arange(len(s)), np.arange(a, a + len(s))] = -np.inf
         near[a : a + 1000] = np.argpartition(-s, near.shape[1] - 1, axis=1)[:, : near.shape[1]]
     return near
@@ -160,37 +176,40 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, key: str = "vec_id
 
     Queries are the rows whose id is divisible by ``every``; all rows but the query's own are
     candidates. Rows with a null id take no part, nor do vectors that are null, zero, of
-    another length than most sampled ones, or hold null or non-finite components. Equal
+    another length than most, or hold null or non-finite components. Equal
     scores go by id, then by row; rows with a repeated id are rows of their own. Fewer
     than ``k`` other rows are all returned, and an empty table gives no rows.
     """
     spark = vectors.sparkSession
     usable = vectors.where(F.col(key).isNotNull() & _usable(vector)).select(F.monotonically_increasing_id().alias("row"), F.col(key).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector"))
     usable = spool(usable, "vectors")
-    sample = [r.vector for r in usable.orderBy(F.xxhash64("vec_id"), "row").limit(SAMPLE).collect()]
     schema = "query_id long, rank int, vec_id long, score double"
-    if not sample:
+    lengths = usable.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
+    if lengths is None:
         return spark.createDataFrame([], schema)
-    lengths = [len(v) for v in sample]
-    width = max(set(lengths), key=lambda n: (lengths.count(n), n))
+    width, total = lengths["n"], lengths["count"]
     usable = usable.where(F.size("vector") == width)
-    total = usable.count()
-    x = _directions(np.array([v for v in sample if len(v) == width]))
+    largest = F.array_max(F.transform("vector", F.abs))
+    longest = usable.agg(F.max(largest * F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + (x / largest) * (x / largest))))).first()[0]
+    x = np.array([r.vector for r in usable.orderBy(F.xxhash64("vec_id"), "row").limit(SAMPLE).collect()])
     parts = max(1, min(len(x) // SAMPLE_PER_PART, total // PART_ROWS))
-    weights = np.zeros((width + 1, 1))
+    home, router = np.zeros((width + 2, 1)), np.zeros((width + 1, 1))
     if parts > 1:
-        near = neighbour_graph(x)
-        weights = train_router(x, np.eye(parts)[balanced_parts(x, near, parts)[near]].mean(axis=1))
+        rows, asked = lifted(x, longest), _directions(x)
+        near = neighbour_graph(rows)
+        home = train_router(rows, np.eye(parts)[balanced_parts(rows, near, parts)[near]].mean(axis=1))
+        part = (rows @ home[:-1] + home[-1]).argmax(axis=1)
+        router = train_router(asked, np.eye(parts)[part[neighbour_graph(asked, rows[:, :-1])]].mean(axis=1))
 
     def shares(column) -> np.ndarray:
-        s = _directions(_matrix(column, width)) @ weights[:-1] + weights[-1]
+        s = _directions(_matrix(column, width)) @ router[:-1] + router[-1]
         s = np.exp(s - s.max(axis=1, keepdims=True))
         return s / s.sum(axis=1, keepdims=True)
 
     def assign(batches):
         for batch in batches:
-            part = shares(batch.column("vector")).argmax(axis=1) if len(batch) else np.zeros(0, int)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(part.astype(np.int32))], names=[*batch.schema.names, "part"])
+            likes = lifted(_matrix(batch.column("vector"), width), longest) @ home[:-1] + home[-1] if len(batch) else np.zeros((0, 1))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(likes.argmax(axis=1).astype(np.int32))], names=[*batch.schema.names, "part"])
 
     fields = "row long, vec_id long, vector array<double>, part int"
     index = spool(usable.mapInArrow(assign, fields), "vectors")

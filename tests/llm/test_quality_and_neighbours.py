@@ -39,6 +39,20 @@ def test_quality_edge_rows(spark):
     assert kept.columns == docs.columns
 
 
+def test_the_sample_is_bounded_by_bytes_too(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    seen = []
+    monkeypatch.setattr(quality.Attention, "fit", lambda self, bags, y: seen.append([len(b) for b in bags]) or self)
+    for bound in (10**9, 100_000, 1):
+        monkeypatch.setattr(quality, "TRAIN_BYTES", bound)
+        quality.train(docs, labels)
+    sizes = {r.doc_id: len((r.text or "").encode()) for r in docs.collect()}
+    kept = [r.doc_id for r in labels.collect() if zlib.crc32(str(r.doc_id).encode()) % 5]
+    assert sorted(seen[0]) == sorted(max(1, -(-sizes[d] // quality.PASSAGE)) for d in kept)  # every passage
+    assert 0 < len(seen[1]) < len(seen[0]) and sum(seen[1]) * quality.PASSAGE < 2 * 100_000 and not seen[2]
+
+
 def test_gradients_against_differences():
     rnd = np.random.default_rng(0)
     model = quality.Attention(5)
@@ -65,6 +79,7 @@ def test_passages_cover_the_whole_text_alike_alone_and_together():
     together, counts = quality.passages(texts)
     assert counts.tolist() == [1, 1, 4, 2]
     assert np.array_equal(together, np.concatenate([quality.passages([t])[0] for t in texts]))
+    assert 0 <= together.min() and together.max() <= 1
 
 
 def test_small_table_is_exact_with_ties_and_bad_vectors(spark, monkeypatch):
@@ -92,6 +107,39 @@ def test_recall_with_many_parts(spark, monkeypatch):
     assert len(got) == len(want) and len(got & want) >= 0.9 * len(want)
 
 
+@pytest.mark.parametrize("spread", [0.0, 0.7])
+def test_recall_of_clustered_vectors_of_any_length(spark, monkeypatch, spread):
+    monkeypatch.setattr(neighbours, "PART_ROWS", 50)
+    monkeypatch.setattr(neighbours, "SAMPLE_PER_PART", 50)
+    rnd = np.random.default_rng(4)
+    centres = rnd.normal(size=(40, 24))
+    x = centres[rnd.integers(0, 40, 2000)] + 0.5 * rnd.normal(size=(2000, 24))
+    x *= np.exp(spread * rnd.normal(size=2000))[:, None]
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {(r.query_id, r.vec_id) for r in nearest(vectors).collect()}
+    s = x[::20] @ x.T
+    s[np.arange(100), np.arange(0, 2000, 20)] = -np.inf
+    want = {(20 * q, int(v)) for q, row in enumerate(s) for v in np.argsort(-row)[:20]}
+    assert len(got) == len(want) and len(got & want) >= 0.9 * len(want)
+
+
+def test_equal_scores_in_different_parts_go_by_id(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "PART_ROWS", 20)
+    monkeypatch.setattr(neighbours, "SAMPLE_PER_PART", 20)
+    rnd = np.random.default_rng(5)
+    rows = [[1.0, float(s), float(z)] for s in (-3, 3) for z in rnd.integers(-2, 3, 60)]
+    vectors = spark.createDataFrame([(i, [2.0, 0.0, 0.0] if i % 20 == 0 else v) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    got = sorted((r.query_id, r.rank, r.vec_id) for r in nearest(vectors, k=30).collect())
+    assert got == sorted(t[:3] for t in nearest_exact(vectors, k=30))
+
+
+def test_lifted_rows_keep_the_order_of_inner_products():
+    rnd = np.random.default_rng(6)
+    x, q = rnd.normal(size=(300, 7)) * np.exp(rnd.normal(size=(300, 1))), rnd.normal(size=7)
+    up = neighbours.lifted(x, neighbours._lengths(x).max())
+    assert np.allclose((up**2).sum(axis=1), 1) and np.array_equal(np.argsort(up[:, :-1] @ q), np.argsort(x @ q))
+
+
 @pytest.mark.parametrize("parts", [1, 7])
 def test_parts_are_balanced(parts):
     x = neighbours._directions(np.random.default_rng(2).normal(size=(500, 8)) + [3, 0, 0, 0, 0, 0, 0, 0])
