@@ -189,8 +189,13 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, key: str = "vec_id
         return spark.createDataFrame([], schema)
     width, total = lengths["n"], lengths["count"]
     usable = usable.where(F.size("vector") == width)
-    largest = F.array_max(F.transform("vector", F.abs))
-    longest = usable.agg(F.max(largest * F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + (x / largest) * (x / largest))))).first()[0]
+
+    def of_batch(batches):
+        for batch in batches:
+            if len(batch):
+                yield pa.RecordBatch.from_arrays([pa.array([_lengths(_matrix(batch.column("vector"), width)).max()])], names=["longest"])
+
+    longest = usable.select("vector").mapInArrow(of_batch, "longest double").agg(F.max("longest")).first()[0]
     x = np.array([r.vector for r in usable.orderBy(F.xxhash64("vec_id"), "row").limit(SAMPLE).collect()])
     parts = max(1, min(len(x) // SAMPLE_PER_PART, total // PART_ROWS))
     home, router = np.zeros((width + 2, 1)), np.zeros((width + 1, 1))
