@@ -85,8 +85,8 @@ class BatchEvaluator:
     take its neighbours along. Rows left after ``max_retries`` fail the job (``on_error="fail"``)
     or come out with an ``error`` text and no answers (``"quarantine"``).
 
-    ``throttle`` limits calls in flight to ``max_concurrency``: rows wait in files of ``task_rows`` in a
-    ``WorkQueue`` and are scored and written, by that many tasks at a time, when ``answers`` is called.
+    ``throttle`` limits calls in flight to ``max_concurrency``: rows wait in files of ``task_rows`` (more in
+    a long queue, see ``WorkQueue.fill``) in a ``WorkQueue`` and are scored and written, by that many tasks at a time, when ``answers`` is called.
     Without it parallelism follows the data, which is right for scorers that run locally.
 
     ``queue`` names the queue's folder, for the rows of one call of ``answers``: if that was killed, a
@@ -128,8 +128,9 @@ class BatchEvaluator:
         schema = T.StructType([*kept, *raw, *tail])
         run = _batch_function(self.score, spec.questions, state, schema.fieldNames(), self.options, self.on_error, self.clock, self.pause)
         if self.throttle:
-            waiting = WorkQueue(df.sparkSession, self.queue or new_folder(df.sparkSession, "queue")).fill(df, self.task_rows)
-            answered = waiting.work(run, schema, KEYS, self.options.max_concurrency)
+            slots = self.options.max_concurrency
+            waiting = WorkQueue(df.sparkSession, self.queue or new_folder(df.sparkSession, "queue")).fill(df, self.task_rows, slots)
+            answered = waiting.work(run, schema, KEYS, slots)
         else:
             answered = df.mapInPandas(run, schema)
 

@@ -252,7 +252,7 @@ def score_queued(
     if not queue.filled():
         rows, repeats = _to_score(df, scored, unique)
         once = rows.withColumn("_copies", F.lit(1).cast("long")) if unique else first_per_key(rows, tie_break, repeats)
-        queue.fill(once, evaluator.task_rows)
+        queue.fill(once, evaluator.task_rows, evaluator.options.max_concurrency)
     answered = replace(evaluator, queue=folder, throttle=True).answers(df.sparkSession.read.parquet(queue.tasks), spec)
     every = spool(_checked(answered, spec, evaluator))
     fine = accepted(every)

@@ -12,6 +12,8 @@ from qualitygate.plans.scratch import empty_table, exists
 
 #: Files that one slot takes in a turn. A turn costs some fixed time; a killed run repeats the turn it was in.
 FILES_PER_SLOT = 4
+#: About so many turns work off a queue of any length; files hold more rows where that takes it.
+TURNS = 64
 
 
 @dataclass(frozen=True)
@@ -20,7 +22,7 @@ class WorkQueue:
 
     Results are written turn by turn and each turn counts whole or not at all, so working again on a
     folder that was left in the middle goes on with the files that are not done yet. Plan and
-    driver memory are the same for any number of rows.
+    driver memory are the same for any number of rows, and so is what turns and files cost.
     """
 
     spark: SparkSession
@@ -37,10 +39,14 @@ class WorkQueue:
     def filled(self) -> bool:
         return exists(self.spark, f"{self.tasks}/_SUCCESS")
 
-    def fill(self, rows: DataFrame, task_rows: int) -> WorkQueue:
-        """Write ``rows`` in files of at most ``task_rows``; a queue that was filled before keeps its rows."""
+    def fill(self, rows: DataFrame, task_rows: int, slots: int) -> WorkQueue:
+        """Write ``rows`` in files of at most ``task_rows``, or of a turn's share where that is more; a queue that was filled before keeps its rows.
+
+        A turn is what ``slots`` tasks take at a time. The rows are counted first, which reads no more columns than choosing them does.
+        """
         if not self.filled():
-            rows.hint("rebalance").write.mode("overwrite").option("maxRecordsPerFile", task_rows).parquet(self.tasks)
+            share = -(-rows.count() // (TURNS * slots * FILES_PER_SLOT))
+            rows.hint("rebalance").write.mode("overwrite").option("maxRecordsPerFile", max(task_rows, share)).parquet(self.tasks)
         return self
 
     def work(self, run: Callable, schema: T.StructType, keys: Sequence[str], slots: int) -> DataFrame:

@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -315,6 +317,24 @@ def test_a_queue_goes_on_where_it_was_killed(spark, notes, tmp_path, monkeypatch
     assert plan.count("FileScan") == 1
 
 
+def test_a_long_queue_takes_no_more_turns(spark, notes, tmp_path, monkeypatch):
+    monkeypatch.setattr("qualitygate.plans.work_queue.FILES_PER_SLOT", 1)
+    monkeypatch.setattr("qualitygate.plans.work_queue.TURNS", 2)
+
+    def scorer(state, questions, answer):
+        return answer(state, questions)
+
+    def turns(n):
+        folder = str(tmp_path / f"queue-{n}")
+        batches = qg.BatchEvaluator(by_value(scorer), options=Options(batch_size=8, max_concurrency=2), task_rows=1)
+        evals, bad = qg.score_queued(notes([(str(i), "v1", f"text {i}", "a") for i in range(n)]), SPEC, batches, folder)
+        assert rows(evals, "row_id") == sorted(((str(i),) for i in range(n)), key=repr) and bad.count() == 0
+        return len([f for f in (Path(folder) / "progress" / "commits").iterdir() if f.name.isdigit()])
+
+    assert turns(3) == 2  # files of one row, as asked for
+    assert turns(40) <= 4 and turns(160) <= 4  # a partition may end with a file that is not full
+
+
 def test_an_empty_queue_has_no_results(notes, tmp_path):
     def scorer(state, questions, answer):
         return answer(state, questions)
