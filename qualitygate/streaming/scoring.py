@@ -16,6 +16,10 @@ from qualitygate.plans.scratch import spool, temporary
 from qualitygate.sources.metrics_log import MetricsLog
 from qualitygate.spec import KEYS, DatasetSpec
 
+#: Rows of a file that a batch is written to. Spark counts a file as 4 MB at least and gives a task 128 MB, so no task gets more
+#: than 32 such files, however well they compress, and what it sorts and counts has a limit.
+ROWS_PER_FILE = 50_000
+
 
 def drop_repeats(stream: DataFrame, event_time: str, delay: str = "1 hour") -> DataFrame:
     """Drop repeated keys that arrive within ``delay`` of each other, with state bounded by it.
@@ -69,7 +73,7 @@ def score_stream(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         with temporary(batch.sparkSession):
-            arrived = spool(batch)  # read and routed once, for checks and for scoring
+            arrived = spool(batch, ROWS_PER_FILE)  # read and routed once, for checks and for scoring
             if on_batch is not None:
                 on_batch(arrived, batch_id)
             rows = passing_rows(arrived, spec, as_of) if only_passing else arrived

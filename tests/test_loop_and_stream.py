@@ -83,6 +83,20 @@ def test_stream_equals_batch_and_replays_add_nothing(spark, two_versions, tmp_pa
     assert len(run("c1")) == 39
 
 
+def test_a_batch_that_comes_in_one_file_is_worked_off_in_many(spark, two_versions, tmp_path, monkeypatch):
+    monkeypatch.setattr("qualitygate.streaming.scoring.ROWS_PER_FILE", 4)
+    source, log, held = str(tmp_path / "in"), qg.MetricsLog(spark, str(tmp_path / "log")), []
+    two_versions.coalesce(1).write.parquet(source)
+
+    def look(batch, batch_id):
+        held.extend(r["count"] for r in batch.groupBy(F.input_file_name()).count().collect())
+
+    job = qg.score_stream(stream_of(spark, source), qg.TICKETS, GOOD, log, str(tmp_path / "checkpoint"), on_batch=look)
+    job.awaitTermination()
+    assert sum(held) == 26 and max(held) <= 4
+    assert log.read().count() == 26 and rows(qg.distinct_keys(log.read())) == [(26,)]
+
+
 def test_a_version_that_could_not_be_scored_is_blocked(spark, two_versions, tmp_path):
     values = {**GOOD.values, "category_correct": "CASE WHEN deployment_version = 'v2' THEN 2.0D ELSE 0.9D END"}
     log, rejects = qg.MetricsLog(spark, str(tmp_path / "log")), str(tmp_path / "rejects")
