@@ -163,7 +163,9 @@ def _batch_function(score, questions, state, out_columns, options, on_error, clo
             reason = pd.Series([None] * len(part), index=part.index, dtype=object)
 
             def blame(bad, text):
-                reason[reason.isna() & bad] = text
+                bad = reason.isna() & bad
+                if bad.any():  # assigning by a mask is dear in pandas, even by an empty one
+                    reason.loc[bad] = text
 
             for key, kind in kinds:
                 if key not in got:

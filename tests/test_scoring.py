@@ -335,6 +335,20 @@ def test_a_long_queue_takes_no_more_turns(spark, notes, tmp_path, monkeypatch):
     assert turns(40) <= 4 and turns(160) <= 4  # a partition may end with a file that is not full
 
 
+def test_throttled_scoring_of_many_rows_takes_no_more_turns(notes, tmp_path, monkeypatch):
+    monkeypatch.setattr("qualitygate.plans.work_queue.FILES_PER_SLOT", 1)
+    monkeypatch.setattr("qualitygate.plans.work_queue.TURNS", 2)
+
+    def scorer(state, questions, answer):
+        return answer(state, questions)
+
+    options = Options(batch_size=8, max_concurrency=2)
+    batches = qg.BatchEvaluator(by_value(scorer), options=options, task_rows=1, queue=str(tmp_path / "queue"))
+    evals = qg.score(notes([(str(i), "v1", f"text {i}", "a") for i in range(60)]), SPEC, batches, unique=True)
+    assert rows(evals, "row_id") == sorted(((str(i),) for i in range(60)), key=repr)
+    assert len([f for f in (tmp_path / "queue" / "progress" / "commits").iterdir() if f.name.isdigit()]) <= 4
+
+
 def test_an_empty_queue_has_no_results(notes, tmp_path):
     def scorer(state, questions, answer):
         return answer(state, questions)
